@@ -51,9 +51,9 @@ def classification_metrics(spark, sf_dir):
 
 @query(
     "classification_metrics_seen",
-    f"""WITH {Q.PREDICTIONS}, only AS (SELECT * FROM predictions WHERE label_normalized <> 'neutral'
+    f"""WITH {Q.PREDICTIONS}, seen AS (SELECT * FROM predictions WHERE label_normalized <> 'neutral'
       AND prediction <> 'neutral'),
-    {Q.metric_ctes('only', 'model_key', "(VALUES ('negative'), ('positive')) c(class)")}
+    {Q.metric_ctes('seen', 'model_key', "(VALUES ('negative'), ('positive')) c(class)")}
     SELECT model_key, eval_rows, {_round_sql(*_METRICS)} FROM metrics""",
 )
 def classification_metrics_seen(spark, sf_dir):
