@@ -11,6 +11,7 @@ from ledgertone.functions.text import (
 )
 from ledgertone.operators.dedup import keep_first
 from ledgertone.schemas import BRONZE, CURATED, GOLD, LABELS, SILVER, SPLITS
+from ledgertone.session import computed_once
 from ledgertone.sources.columns import require_columns, resolve_column
 
 HASH_COLUMNS = (
@@ -84,9 +85,8 @@ def technical_columns(df: DataFrame, batch_id: str) -> DataFrame:
 
 
 def silver_base(bronze: DataFrame) -> DataFrame:
-    base = bronze.withColumns(
+    base = computed_once(bronze, text_clean=clean_silver(F.col("raw_text"))).withColumns(
         {
-            "text_clean": clean_silver(F.col("raw_text")),
             "label_normalized": normalize_label(F.col("raw_label"), "silver", unknown="null"),
             "source_split_clean": F.lower(F.trim("source_split")),
         }
@@ -119,9 +119,10 @@ def silver_v1(df: DataFrame, order: tuple[str, ...], keep: tuple[str, ...] = ())
     """First-version silver: any text, label and split in domain, one row per (text, label, split)."""
     rows = df.select(
         *keep, "dataset_id", "dataset_label", "source_platform", F.lower(F.trim("split")).alias("split"),
-        F.trim("text").alias("text_raw"), clean_v1(F.col("text")).alias("text_clean"),
-        F.lower(F.trim("label_normalized")).alias("label_normalized"),
-    ).withColumn("text_hash", text_hash(F.col("text_clean")))
+        F.trim("text").alias("text_raw"), F.lower(F.trim("label_normalized")).alias("label_normalized"),
+    )
+    rows = computed_once(rows, text_clean=clean_v1(F.col("text_raw")))
+    rows = rows.withColumn("text_hash", text_hash(F.col("text_clean")))
     rows = rows.where(
         (F.length("text_clean") > 0) & F.col("label_normalized").isin(*LABELS) & F.col("split").isin(*SPLITS)
     )

@@ -14,6 +14,7 @@ from ledgertone.functions.text import char_count, np_round, word_count
 from ledgertone.operators.dedup import duplicate_flags
 from ledgertone.operators.medallion import fill_defaults
 from ledgertone.schemas import LABELS, MODEL_FEATURES, SPLITS
+from ledgertone.session import computed_once, cut_lineage
 
 REPORT_LABELS = (*LABELS, "missing")
 REPORT_SPLITS = (*SPLITS, "unspecified")
@@ -21,9 +22,8 @@ REPORT_SPLITS = (*SPLITS, "unspecified")
 
 def text_features(df: DataFrame) -> DataFrame:
     """Defaults filled, character and word counts added."""
-    return fill_defaults(df).withColumns(
-        {"char_count": char_count(F.col("text")), "word_count": word_count(F.col("text"))}
-    )
+    text = F.col("text")
+    return computed_once(fill_defaults(df), char_count=char_count(text), word_count=word_count(text))
 
 
 def model_features(df: DataFrame, key: Sequence[str], snapshot_date: str) -> DataFrame:
@@ -145,8 +145,8 @@ def summarize_splits(df: DataFrame) -> DataFrame:
 
 
 def _trimmed(features: DataFrame, quantile: float = 0.99) -> DataFrame:
-    """Length histogram up to the overall quantile."""
-    counted = word_histogram(features, "dataset_label", "label_normalized")
+    """Length histogram up to the overall quantile; kept, because every figure comes from it."""
+    counted = cut_lineage(word_histogram(features, "dataset_label", "label_normalized"))
     # Group rows are few; the overall quantile reads the per-length totals.
     overall = counted.groupBy("word_count").agg(F.sum("n").alias("n"))
     limit = overall.agg(percentile_of("word_count", quantile).alias("limit"))
@@ -179,7 +179,7 @@ def word_count_box(features: DataFrame, by_dataset: bool = True, trim: bool | No
     """
     by = ["dataset_label", "label_normalized"] if by_dataset else ["label_normalized"]
     trim = by_dataset if trim is None else trim
-    counted = _trimmed(features) if trim else word_histogram(features, "dataset_label", "label_normalized")
+    counted = _trimmed(features) if trim else cut_lineage(word_histogram(features, *by))
     counted = counted.groupBy(*by, "word_count").agg(F.sum("n").alias("n"))
     # Quartiles join back onto the histogram, which has one row per length.
     quartiles = counted.groupBy(*by).agg(percentile_of("word_count", [0.25, 0.5, 0.75]).alias("q"))

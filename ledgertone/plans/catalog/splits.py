@@ -8,6 +8,7 @@ from ledgertone.plans import inputs as I
 from ledgertone.plans.catalog import sql as Q
 from ledgertone.plans.catalog.registry import query
 from ledgertone.schemas import LABELS
+from ledgertone.session import stage
 from ledgertone.sources.specs import canonical_valid
 
 _CUT = """CASE WHEN rk <= n - 2 * CAST(round(n * 0.2) AS BIGINT) THEN 'train'
@@ -18,9 +19,11 @@ _IN_DOMAIN = "label_normalized IN ('negative', 'neutral', 'positive')"
 
 
 def _rows(spark, sf_dir):
-    return canonical_valid(I.canonical_records(spark, sf_dir)).select(
+    """The canonical table as a table: finding the cuts reads its key columns several times."""
+    rows = canonical_valid(I.canonical_records(spark, sf_dir)).select(
         "record_seq", "dataset_label", "split", "text", "label_normalized"
     )
+    return stage(rows, "canonical")
 
 
 @query(

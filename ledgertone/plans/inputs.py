@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgertone.functions.labels import normalize_label, source_split, split_from_bucket
 from ledgertone.functions.text import clean_ascii_letters, hash_bucket, record_hash, seeded_hash
 from ledgertone.schemas import LABELS
+from ledgertone.session import computed_once
 from ledgertone.sources.specs import source_spec, standardize
 
 # (model, seed, share kept): predictions agree with the label in that share of the rows.
@@ -68,11 +69,11 @@ def canonical_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = raw.select(
         "record_seq", "dataset_id", "dataset_label", "source_platform",
         source_split(F.lower(F.trim("split"))).alias("split"),
-        clean_ascii_letters(F.col("text")).alias("text"),
+        "text",
         F.col("label").alias("label_raw"),
         normalize_label(F.col("label"), "signed").alias("label_normalized"),
     )
-    return rows.withColumn(
+    return computed_once(rows, text=clean_ascii_letters(F.col("text"))).withColumn(
         "source_record_hash", record_hash("dataset_label", "split", "text", "label_normalized")
     )
 

@@ -9,8 +9,17 @@ SPLITS = ("train", "validation", "test")
 PROMOTION_ALIASES = ("Champion", "Challenger_1", "Challenger_2")
 
 
-def _table(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+    "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
+    "map<string,double>": T.MapType(T.StringType(), T.DoubleType()),
+}
+
+
+def _table(columns: str) -> T.StructType:
+    """Schema from "name type" pairs; unlike the DDL parser this needs no running session."""
+    pairs = [column.split() for column in columns.split(", ")]
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
 
 
 CANONICAL = _table(
@@ -96,3 +105,10 @@ EVIDENCE_ORDER = {
 
 STREAM_REQUEST = _table("position bigint, data string")
 PREDICTION = _table("label string, score double, probabilities map<string,double>")
+STREAM_ERROR = _table("type string, message string")
+STREAM_RESULT = T.StructType([
+    *_table("position string, request_id string, status string, text string").fields,
+    T.StructField("prediction", PREDICTION),
+    T.StructField("error", STREAM_ERROR),
+    *_table("submitted_at string, processed_at string, date string, batch bigint").fields,
+])

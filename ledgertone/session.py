@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
@@ -45,6 +45,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds costly columns through a generator of exactly one row.
+
+    The optimizer copies an ordinary column's expression into every filter on it and pushes that below joins
+    and shuffles, where it runs again. Filters on generated columns stay above the generator, so the
+    expressions run once per row.
+    """
+    value = F.struct(*[c.alias(name) for name, c in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(value)))
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint for a lookup that proves to be small, otherwise the plain frame.
 

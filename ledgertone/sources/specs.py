@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgertone.functions.labels import label_index_to_name, normalize_label
 from ledgertone.functions.text import CLEANERS
 from ledgertone.schemas import CANONICAL
+from ledgertone.session import computed_once
 from ledgertone.sources.columns import find_column, resolve_column
 
 
@@ -92,15 +93,17 @@ def standardize(
         label = label_index_to_name(label, spec.class_names)
     if split is None:
         split = spec.default_split
-    return df.select(
+    rows = df.select(
         *keep,
         F.lit(spec.dataset_id).alias("dataset_id"),
         F.lit(spec.dataset_label).alias("dataset_label"),
         F.lit(spec.source_platform).alias("source_platform"),
         (F.lit(split) if isinstance(split, str) else split).alias("split"),
-        CLEANERS[spec.cleaner](text).alias("text"),
+        text.alias("text"),
         normalize_label(label, spec.label_profile).alias("label_normalized"),
     )
+    cleaned = computed_once(rows, text=CLEANERS[spec.cleaner](F.col("text")))
+    return cleaned.select(*keep, *CANONICAL.fieldNames())
 
 
 def canonical_valid(df: DataFrame, labels: tuple[str, ...] | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgertone.functions.text import strip_ws
+from ledgertone.session import computed_once
 
 ERROR_TYPE = "InferenceError"
 MISSING_DATA = "Record is missing data."
@@ -27,14 +28,13 @@ def decode_request(records: DataFrame, data: str = "data") -> DataFrame:
     """
     body = F.try_to_binary(F.col(data), F.lit("base64"))
     json = F.try_validate_utf8(body.cast("string"))
-    rows = records.withColumn("_json", json)
-    rows = rows.withColumns(
-        {
-            "_list": F.try_parse_json(F.concat(F.lit("["), "_json", F.lit("]"))),
-            "_object": F.try_parse_json(F.concat(F.lit('{"v":'), "_json", F.lit("}"))),
-        }
+    rows = computed_once(
+        records,
+        _list=F.try_parse_json(F.concat(F.lit("["), json, F.lit("]"))),
+        _object=F.try_parse_json(F.concat(F.lit('{"v":'), json, F.lit("}"))),
     )
-    kind = F.schema_of_variant(F.try_variant_get("_object", "$.v", "variant"))
+    value = F.try_variant_get("_object", "$.v", "variant")
+    kind = F.schema_of_variant(value)
     is_json = F.col("_list").isNotNull() & kind.isNotNull()
     error = (
         F.when(F.coalesce(F.col(data), F.lit("")) == "", F.lit(MISSING_DATA))
@@ -42,8 +42,7 @@ def decode_request(records: DataFrame, data: str = "data") -> DataFrame:
         .when(~kind.startswith("OBJECT"), F.lit(NOT_AN_OBJECT))
     )
     rows = rows.withColumn("decode_error", error)
-    payload = F.when(F.col("decode_error").isNull(), F.try_variant_get("_object", "$.v", "variant"))
-    return rows.withColumn("payload", payload).drop("_json", "_list", "_object")
+    return rows.withColumn("payload", F.when(F.col("decode_error").isNull(), value)).drop("_list", "_object")
 
 
 def validate_request(decoded: DataFrame, position: str = "position") -> DataFrame:
@@ -51,12 +50,11 @@ def validate_request(decoded: DataFrame, position: str = "position") -> DataFram
 
     A record without an id gets one from its place in the log, which a retry does not change.
     """
-    rows = decoded.withColumns(
-        {
-            "_id": F.coalesce(_field(F.col("payload"), "request_id"), F.lit("")),
-            "text": F.coalesce(_field(F.col("payload"), "text"), F.lit("")),
-            "submitted_at": F.coalesce(_field(F.col("payload"), "submitted_at"), F.lit("")),
-        }
+    rows = computed_once(
+        decoded,
+        _id=_field(F.col("payload"), "request_id"),
+        text=_field(F.col("payload"), "text"),
+        submitted_at=_field(F.col("payload"), "submitted_at"),
     )
     error = (
         F.when(F.col("decode_error").isNotNull(), F.col("decode_error"))

@@ -9,20 +9,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgertone.operators.dedup import keep_first
 from ledgertone.operators.scoring import Scorer, score_texts
+from ledgertone.schemas import STREAM_RESULT
 from ledgertone.streaming.requests import build_result, decode_request, validate_request
 
-RESULT = T.StructType.fromDDL(
-    "position string, request_id string, status string, text string, "
-    "prediction struct<label: string, score: double, probabilities: map<string,double>>, "
-    "error struct<type: string, message: string>, submitted_at string, processed_at string, "
-    "date string, batch bigint"
-)
-
 Score = Callable[[DataFrame], DataFrame]
 
 
@@ -71,5 +64,5 @@ def stream_result_sink(
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """Newest result per (date, request)."""
-    stored = spark.read.schema(RESULT).json(path)
+    stored = spark.read.schema(STREAM_RESULT).json(path)
     return keep_first(stored, ["date", "request_id"], [F.col("batch").desc(), F.col("position").desc()])
