@@ -21,7 +21,7 @@ _ENTITY = r"&[#a-zA-Z]"
 # class of single Latin-1 characters by bit set, and is some ten times slower once it holds two ranges.
 _NOT_KEPT_IN_SILVER = r"[^abcdefghijklmnopqrstuvwxyz0123456789áéíóúñü$%.,;:!?\- ]"
 # Marks a character that folds to several letters while others fold to one.
-_SEVERAL = "\x00"
+_SEVERAL = "\ue000"
 _URL = r"https?://\S+|www\.\S+"
 
 

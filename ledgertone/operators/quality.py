@@ -14,7 +14,7 @@ class QualityError(RuntimeError):
     """A check that must stop the pipeline failed."""
 
 
-def _classes_seen(label: str = "label_normalized") -> Column:
+def classes_seen(label: str = "label_normalized") -> Column:
     """Number of domain labels present, without a distinct aggregation."""
     seen = F.lit(0)
     for name in LABELS:
@@ -55,10 +55,15 @@ def dq_silver(base: DataFrame) -> DataFrame:
     valid = base.withColumn("_valid_label", F.when(ok, F.col("label_normalized"))).agg(
         F.count("*").alias("bronze_has_rows"),
         F.count_if(ok).alias("silver_has_rows"),
-        _classes_seen("_valid_label").alias("valid_label_count"),
+        classes_seen("_valid_label").alias("valid_label_count"),
         F.count_if(~ok).alias("quarantine_rows"),
     )
-    return _long_form(valid, "silver", [
+    return silver_checks(valid)
+
+
+def silver_checks(measured: DataFrame) -> DataFrame:
+    """The silver checks from one row of measurements, however they were taken."""
+    return _long_form(measured, "silver", [
         ("bronze_has_rows", _positive("bronze_has_rows"), "> 0"),
         ("silver_has_rows", _positive("silver_has_rows"), "> 0"),
         ("valid_label_count", _all_classes("valid_label_count"), CLASS_RULE),
@@ -71,7 +76,7 @@ def dq_gold(gold: DataFrame) -> DataFrame:
         F.count("*").alias("gold_has_rows"),
         F.count_if(F.col("split") == "train").alias("train_has_rows"),
         F.count_if(F.col("split") == "test").alias("test_has_rows"),
-        _classes_seen().alias("class_count"),
+        classes_seen().alias("class_count"),
     )
     return _long_form(measured, "gold", [
         ("gold_has_rows", _positive("gold_has_rows"), "> 0"),

@@ -13,7 +13,10 @@ from ledgertone.schemas import LABELS
 from ledgertone.sources import columns as C
 from ledgertone.sources import specs as S
 
-_ENTITY_SQL = "replace(replace(replace(replace(html, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+# The entities of the pages; each also counts without its semicolon.
+_ENTITY_SQL = "html"
+for _name, _character in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+    _ENTITY_SQL = f"regexp_replace({_ENTITY_SQL}, '&{_name};?', '{_character}', 'g')"
 
 
 @query("clean_ascii_letters", f"SELECT doc_id, {Q.letters('text')} AS cleaned FROM documents")
