@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgertone.schemas import LABELS, PROMOTION_ALIASES
+from ledgertone.session import cut_lineage
 
 METRICS = ("accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_f1")
 
@@ -24,8 +25,8 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def per_class(cells: DataFrame, by: Sequence[str] = (), labels: Sequence[str] | None = LABELS) -> DataFrame:
-    """Precision, recall, F1 and support per class. ``labels=None`` takes the classes that occur."""
+def _class_counts(cells: DataFrame, by: Sequence[str], labels: Sequence[str] | None) -> DataFrame:
+    """Support, predictions, hits and scores per class, for every class met and every class asked for."""
     zero = F.lit(0).cast("bigint")
     n, hit = F.col("n"), F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(zero)
 
@@ -35,44 +36,52 @@ def per_class(cells: DataFrame, by: Sequence[str] = (), labels: Sequence[str] |
         )
 
     entries = [entry(F.col("label"), n, zero, hit), entry(F.col("prediction"), zero, n, zero)]
-    if labels is not None:
-        entries += [entry(F.lit(name), zero, zero, zero) for name in labels]
+    entries += [entry(F.lit(name), zero, zero, zero) for name in labels or ()]
     counts = (
         cells.select(*by, F.inline(F.array(*entries)))
         .groupBy(*by, "class")
         .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "true_positive")])
     )
-    if labels is not None:
-        counts = counts.where(F.col("class").isin(*labels))
     tp, support, predicted = F.col("true_positive"), F.col("support"), F.col("predicted")
     return counts.withColumns(
         {
             "precision": _ratio(tp, predicted),
             "recall": _ratio(tp, support),
             "f1_score": _ratio(2 * tp, support + predicted),
+            "counted": F.lit(True) if labels is None else F.coalesce(F.col("class").isin(*labels), F.lit(False)),
         }
     )
 
 
+def _averages() -> list[Column]:
+    """Aggregates over the classes of a group; accuracy covers all rows, the averages the counted classes."""
+
+    def counted(c: Column) -> Column:
+        return F.when(F.col("counted"), c)
+
+    weight = F.sum(counted(F.col("support")))
+    scores = ("precision", "recall", "f1_score")
+    return [
+        F.sum("support").alias("eval_rows"),
+        (F.sum("true_positive") / F.sum("support")).alias("accuracy"),
+        weight.alias("support"),
+        *[F.avg(counted(F.col(s))).alias(f"macro_{s}") for s in scores],
+        *[_ratio(F.sum(counted(F.col(s) * F.col("support"))), weight).alias(f"weighted_{s}") for s in scores],
+    ]
+
+
 def classification_metrics(
     predictions: DataFrame, by: Sequence[str] = (), label: str = "label_normalized",
     prediction: str = "prediction", labels: Sequence[str] | None = LABELS,
 ) -> DataFrame:
-    """Accuracy, macro precision/recall/F1 and weighted F1 per group, for any number of models at once."""
-    cells = confusion_cells(predictions, by, label, prediction)
-    classes = per_class(cells, by, labels)
-    averages = classes.groupBy(*by).agg(
-        F.avg("precision").alias("macro_precision"),
-        F.avg("recall").alias("macro_recall"),
-        F.avg("f1_score").alias("macro_f1"),
-        _ratio(F.sum(F.col("f1_score") * F.col("support")), F.sum("support")).alias("weighted_f1"),
-    )
-    hits = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0))
-    totals = cells.groupBy(*by).agg(F.sum("n").alias("eval_rows"), (hits / F.sum("n")).alias("accuracy"))
-    if by:
-        return totals.join(averages, list(by))
-    return averages.withColumns(
-        {"eval_rows": totals.select("eval_rows").scalar(), "accuracy": totals.select("accuracy").scalar()}
+    """Accuracy, macro precision/recall/F1 and weighted F1 per group, for any number of models at once.
+
+    ``labels`` fixes the classes averaged over; None takes those that occur.
+    """
+    classes = _class_counts(confusion_cells(predictions, by, label, prediction), by, labels)
+    return classes.groupBy(*by).agg(*_averages()).select(
+        *by, "eval_rows", "accuracy", "macro_precision", "macro_recall", F.col("macro_f1_score").alias("macro_f1"),
+        F.col("weighted_f1_score").alias("weighted_f1"),
     )
 
 
@@ -81,27 +90,28 @@ def classification_report(
     prediction: str = "prediction", labels: Sequence[str] | None = LABELS,
 ) -> DataFrame:
     """Per-class rows plus accuracy, macro avg and weighted avg; the accuracy row repeats one value."""
-    cells = confusion_cells(predictions, by, label, prediction)
-    classes = per_class(cells, by, labels)
-    measures = ("precision", "recall", "f1_score")
-    rows = classes.select(
-        *by, F.col("class").alias("row"), *measures, F.col("support").cast("double").alias("support")
-    )
-    support = F.sum("support")
-    macro = classes.groupBy(*by).agg(
-        F.lit("macro avg").alias("row"), *[F.avg(m).alias(m) for m in measures],
-        support.cast("double").alias("support"),
-    )
-    weighted = classes.groupBy(*by).agg(
-        F.lit("weighted avg").alias("row"),
-        *[_ratio(F.sum(F.col(m) * F.col("support")), support).alias(m) for m in measures],
-        support.cast("double").alias("support"),
+    classes = cut_lineage(_class_counts(confusion_cells(predictions, by, label, prediction), by, labels))
+    scores = ("precision", "recall", "f1_score")
+
+    def line(name: str, values: Sequence[Column], support: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("row"), *[v.alias(s) for s, v in zip(scores, values)],
+            support.cast("double").alias("support"),
+        )
+
+    accuracy = F.col("accuracy")
+    summary = classes.groupBy(*by).agg(*_averages()).select(
+        *by,
+        F.inline(F.array(
+            line("accuracy", [accuracy] * 3, accuracy),
+            line("macro avg", [F.col(f"macro_{s}") for s in scores], F.col("support")),
+            line("weighted avg", [F.col(f"weighted_{s}") for s in scores], F.col("support")),
+        )),
     )
-    hits = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0))
-    accuracy = cells.groupBy(*by).agg((hits / F.sum("n")).alias("v")).select(
-        *by, F.lit("accuracy").alias("row"), *[F.col("v").alias(m) for m in (*measures, "support")]
+    rows = classes.where("counted").select(
+        *by, F.col("class").alias("row"), *scores, F.col("support").cast("double").alias("support")
     )
-    return rows.unionByName(accuracy).unionByName(macro).unionByName(weighted)
+    return rows.unionByName(summary)
 
 
 def confusion_matrix(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgertone.operators.evaluation import class_weights
 from ledgertone.schemas import LABELS
-from ledgertone.session import small_side
+from ledgertone.session import computed_once, small_side
 
 # Characters a sequence tokenizer turns into blanks, and the term pattern of the vectorizer.
 SEQUENCE_FILTERS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n'
@@ -38,31 +38,30 @@ def build_vocabulary(df: DataFrame, size: int, text: str = "text") -> DataFrame:
 def encode_sequences(
     df: DataFrame, vocabulary: DataFrame, key: str, length: int, text: str = "text"
 ) -> DataFrame:
-    """Vocabulary ids of each text in order, unknown tokens dropped, cut or padded at the end.
+    """Key and vocabulary ids of each text in order, unknown tokens dropped, cut or padded at the end.
 
-    A text's tokens start in one task, so the collecting aggregation packs them up again before the shuffle.
+    A text's tokens start in one task, so the collecting aggregation packs them up again before the shuffle;
+    texts without a known token stay through the outer explode and join.
     """
-    tokens = df.select(key, F.posexplode(sequence_tokens(F.col(text))).alias("pos", "token"))
-    known = tokens.join(small_side(vocabulary.select("token", "index")), "token")
-    ids = known.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "index"))).alias("found")).select(
-        key, F.slice(F.col("found.index"), 1, length).alias("ids")
-    )
-    padding = F.array_repeat(F.lit(0), F.lit(length) - F.size("ids"))
-    joined = df.join(ids, key, "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
-    return joined.withColumn("sequence", F.concat("ids", padding)).drop("ids")
+    tokens = df.select(key, F.posexplode_outer(sequence_tokens(F.col(text))).alias("pos", "token"))
+    known = tokens.join(small_side(vocabulary.select("token", "index")), "token", "left")
+    found = F.collect_list(F.when(F.col("index").isNotNull(), F.struct("pos", "index")))
+    packed = known.groupBy(key).agg(F.array_sort(found).alias("_found"))
+    ids = packed.select(key, F.slice(F.col("_found.index"), 1, length).alias("_ids"))
+    return ids.select(key, F.concat("_ids", F.array_repeat(F.lit(0), F.lit(length) - F.size("_ids"))).alias("sequence"))
+
 
+def with_terms(df: DataFrame, text: str = "text_clean") -> DataFrame:
+    """Adds ``terms``: lower-case words of two or more characters, and the pairs of neighbours.
 
-def text_terms(c: Column) -> Column:
-    """Lower-case words of two or more characters, and the pairs of neighbours."""
-    words = F.regexp_extract_all(F.lower(c), F.lit(TERM_PATTERN), F.lit(0))
-    pairs = F.when(
-        F.size(words) > 1,
-        F.transform(
-            F.arrays_zip(F.slice(words, 1, F.size(words) - 1).alias("a"), F.slice(words, 2, F.size(words)).alias("b")),
-            lambda p: F.concat_ws(" ", p["a"], p["b"]),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
-    return F.concat(words, pairs)
+    The words are found once per text; the pairs refer to them several times.
+    """
+    words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM_PATTERN), F.lit(0))
+    w = F.col("_words")
+    zipped = F.arrays_zip(F.slice(w, 1, F.size(w) - 1).alias("a"), F.slice(w, 2, F.size(w)).alias("b"))
+    pairs = F.when(F.size(w) > 1, F.transform(zipped, lambda p: F.concat_ws(" ", p["a"], p["b"])))
+    terms = F.concat(w, F.coalesce(pairs, F.array().cast("array<string>")))
+    return computed_once(computed_once(df, _words=words), terms=terms).drop("_words")
 
 
 def tfidf_weights(df: DataFrame, key: str, text: str = "text_clean", max_features: int = 10_000) -> DataFrame:
@@ -72,17 +71,15 @@ def tfidf_weights(df: DataFrame, key: str, text: str = "text_clean", max_feature
     must be unique). The texts are then partitioned by document once, while they are still text; counts per
     document and norms need no further shuffle. The feature table has at most ``max_features`` rows.
     """
-    terms = text_terms(F.col(text))
-    once = F.transform(F.array_distinct(F.col("_terms")), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first")))
-    each = F.transform(F.col("_terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("first")))
+    once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first")))
+    each = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("first")))
     features = (
-        df.select(terms.alias("_terms")).select(F.inline(F.concat(each, once)))
+        with_terms(df.select(text), text).select(F.inline(F.concat(each, once)))
         .groupBy("term").agg(F.count_if(F.col("first") == 0).alias("_total"), F.sum("first").alias("df"))
         .orderBy(F.col("_total").desc(), "term").limit(max_features).select("term", "df")
     )
     counted = (
-        df.select(key, F.col(text).alias("_text")).repartition(key)
-        .select(key, F.explode(text_terms(F.col("_text"))).alias("term"))
+        with_terms(df.select(key, text).repartition(key), text).select(key, F.explode("terms").alias("term"))
         .groupBy(key, "term").agg(F.count("*").alias("tf"))
     )
     documents = df.agg(F.count("*").alias("n")).scalar()
@@ -93,13 +90,9 @@ def tfidf_weights(df: DataFrame, key: str, text: str = "text_clean", max_feature
     return weighted.withColumn("weight", F.col("_raw") / norm).drop("_raw")
 
 
-def with_terms(df: DataFrame, text: str = "text_clean") -> DataFrame:
-    return df.withColumn("terms", text_terms(F.col(text)))
-
-
 def tfidf_logreg_fit(
     train: DataFrame, text: str = "text_clean", label: str = "label_normalized", max_features: int = 10_000,
-    max_iter: int = 500,
+    max_iter: int = 500, tol: float = 1e-4,
 ) -> PipelineModel:
     """TF-IDF with balanced multinomial logistic regression.
 
@@ -122,7 +115,7 @@ def tfidf_logreg_fit(
         prepared = unit.transform(scale.transform(counted))
         fitted = LogisticRegression(
             labelCol="label_id", featuresCol="features", weightCol="weight", family="multinomial",
-            maxIter=max_iter, regParam=1.0 / max(counted.count(), 1), elasticNetParam=0.0, standardization=False,
+            maxIter=max_iter, tol=tol, regParam=1.0 / max(counted.count(), 1), elasticNetParam=0.0, standardization=False,
         ).fit(prepared)
     finally:
         counted.unpersist()

@@ -25,11 +25,11 @@ CANDIDATES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. One file with one row group is one task, however many cores there are; such an
-    input is spread out before the text work. Inputs of many files are left as they lie."""
+    """A driver table. A small file is a task or two, however many cores there are; such an input is spread
+    out before the text work. Inputs with enough partitions are left as they lie."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < min(cores, 4) else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:

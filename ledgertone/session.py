@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -57,11 +58,13 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, F.inline(F.array(value)))
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint for a lookup that proves to be small, otherwise the plain frame.
 
-    The rows are staged first so the size check does not run the lookup twice. Larger lookups fall
-    through to a shuffled join, where AQE splits skewed partitions of the other side.
+    The rows are kept first so the size check does not run the lookup twice. Larger lookups fall through
+    to a shuffled join, where AQE splits skewed partitions of the other side.
     """
-    staged = cut_lineage(df)
-    return F.broadcast(staged) if staged.limit(max_rows + 1).count() <= max_rows else staged
+    kept = cut_lineage(df)
+    width = F.octet_length(F.to_json(F.struct(*kept.columns)))
+    rows, size = kept.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(kept) if rows <= max_rows and size <= max_bytes else kept
