@@ -5,7 +5,7 @@ import sys
 import unicodedata
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,13 +62,15 @@ def _fold_table() -> tuple[str, str]:
 
 
 def _python_ascii(c: Column) -> Column:
-    @F.pandas_udf(T.StringType())
-    def unescape_and_fold(values: pd.Series) -> pd.Series:
-        def convert(value: str) -> str:
+    @F.arrow_udf(T.StringType())
+    def unescape_and_fold(values: pa.Array) -> pa.Array:
+        def convert(value: str | None) -> str | None:
+            if value is None:
+                return None
             folded = unicodedata.normalize("NFKD", html.unescape(value))
             return folded.encode("ascii", "ignore").decode("ascii")
 
-        return values.map(convert, na_action="ignore")
+        return pa.array([convert(v) for v in values.to_pylist()], type=pa.string())
 
     return unescape_and_fold(c)
 

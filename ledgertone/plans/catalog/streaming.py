@@ -9,7 +9,7 @@ from ledgertone.plans.catalog import sql as Q
 from ledgertone.plans.catalog.features import BucketScorer
 from ledgertone.plans.catalog.registry import query
 from ledgertone.schemas import LABELS
-from ledgertone.session import scratch_path
+from ledgertone.session import computed_once, scratch_path
 from ledgertone.sources import readers as S
 from ledgertone.streaming import requests as R
 from ledgertone.streaming import results as K
@@ -33,8 +33,9 @@ def hash_probabilities(validated):
         (hash_bucket(F.sha2(F.concat(F.lit(f"{name}|"), "text"), 256)).cast("double") / 100) for name in LABELS
     ]
     pairs = [part for name, score in zip(LABELS, scores) for part in (F.lit(name), score)]
-    prediction = F.when(F.col("error_message").isNull(), canonical_prediction(F.create_map(*pairs)))
-    return validated.withColumn("prediction", prediction)
+    scored = computed_once(validated, _scores=F.when(F.col("error_message").isNull(), F.create_map(*pairs)))
+    prediction = F.when(F.col("_scores").isNotNull(), canonical_prediction(F.col("_scores")))
+    return scored.withColumn("prediction", prediction).drop("_scores")
 
 
 def flat(results):

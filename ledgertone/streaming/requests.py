@@ -85,6 +85,8 @@ def build_result(validated: DataFrame, processed_at: Column | None = None) -> Da
 
     Expects ``prediction`` (struct label, score, probabilities) and optionally ``score_error``.
     """
+    columns = [c for c in validated.columns if c == "position"]
+    validated = computed_once(validated, prediction=F.col("prediction"))
     failed = F.col("error_message")
     if "score_error" in validated.columns:
         failed = F.coalesce(failed, F.col("score_error"))
@@ -94,7 +96,7 @@ def build_result(validated: DataFrame, processed_at: Column | None = None) -> Da
     rows = validated.withColumns({"_failed": failed, "processed_at": stamped})
     ok = F.col("_failed").isNull()
     return rows.select(
-        *[c for c in validated.columns if c == "position"],
+        *columns,
         "request_id",
         F.when(ok, "success").otherwise("error").alias("status"),
         "text",
