@@ -99,7 +99,7 @@ def repeated_words(texts: list[list[bytes]], window: int = WINDOW) -> np.ndarray
 
 def quality_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20, max_repeat_pct: int = 30,
-    max_lost_pct: int = 50, notice_words: int = 20,
+    max_lost_pct: int = 60, notice_words: int = 20,
 ) -> DataFrame:
     """One row per document: counts, the base rule, the verdict and the cleaned text.
 

@@ -85,7 +85,7 @@ class Novelty:
 
 def novel_spans(
     text: str, taken: list[tuple[int, int, int]], novelty: Novelty, reach: int = 48, around: int = 400,
-    least: float = 0.6,
+    least: float = 0.75,
 ) -> list[tuple[int, int, int]]:
     """Tokens of 16 or more characters, with a digit and a letter, that start within ``reach`` characters after a
     sensitive word, lie outside the spans already taken, and whose marginal share is at least ``least``."""
@@ -109,7 +109,7 @@ def novel_spans(
 
 def secret_scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 48, around: int = 400,
-    least: float = 0.6,
+    least: float = 0.75,
 ) -> DataFrame:
     """One row per document: ``spans``, an array of (kind, start, stop) in code points, stop exclusive."""
 

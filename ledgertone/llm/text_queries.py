@@ -49,7 +49,7 @@ r AS (
         (length(text) - length(regexp_replace(text, '[^\x20\x09-\x0D]', '', 'g')))::BIGINT AS word_chars,
         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
-        100 * coalesce(lost, 0) <= 50 * coalesce(solid, 0) AS enough
+        100 * coalesce(lost, 0) <= 60 * coalesce(solid, 0) AS enough
     FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
