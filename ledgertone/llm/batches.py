@@ -5,12 +5,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import LongType, StructField, StructType, _parse_datatype_string
 
 SLICE_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
 _SLICE_ROWS = 20_000
 
 
@@ -73,3 +75,24 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def id_type(docs: DataFrame, id_col: str = "doc_id") -> str:
     return docs.schema[id_col].dataType.simpleString()
+
+
+def in_blocks(rows: DataFrame, text: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
+    """The rows with a column ``block`` in front: runs of rows of one partition with at most ``limit`` bytes of text
+    (a longer text is a block of its own). Write the result before using it: another run may cut elsewhere."""
+    target = StructType([StructField("block", LongType(), False), *rows.schema.fields])
+
+    def deal(batches):
+        fields = to_arrow_schema(target)
+        block, room = TaskContext.get().partitionId() << 32, limit
+        for batch in batches:
+            for piece in slices(batch, text, limit // 16):
+                size = pc.sum(pc.binary_length(piece.column(text))).as_py() or 0
+                if room < size:
+                    block, room = block + 1, limit
+                room -= size
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(piece), block)), *piece.columns], schema=fields
+                )
+
+    return rows.mapInArrow(deal, target)

@@ -4,9 +4,11 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ledgertone.llm.digest_tree import exact_dedup
+from ledgertone.llm.jaccard_join import jaccard_components
 from ledgertone.llm.language_id import fit_on, predict
 from ledgertone.llm.line_dedup import line_dedup
 from ledgertone.llm.packing import pack
+from ledgertone.llm.ppm_scoring import ppm_scores
 from ledgertone.llm.registry import documents, query
 
 END_ID = 1
@@ -87,3 +89,45 @@ def op10(spark, sf_dir):
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query("op8_ppm_scoring")
+def op8(spark, sf_dir):
+    held_out = F.coalesce(remainder(5) == 1, F.lit(True))
+    return ppm_scores(documents(spark, sf_dir), ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+OP4_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+),
+e AS (
+    SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+),
+r AS (
+    SELECT doc_id, doc_id AS reached FROM d
+    UNION
+    SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached
+)
+SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(reached) AS component_id
+FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+"""
+
+
+@query("op4_jaccard_join", OP4_SQL)
+def op4(spark, sf_dir):
+    return jaccard_components(documents(spark, sf_dir)).drop("class_id")
