@@ -96,3 +96,22 @@ def in_blocks(rows: DataFrame, text: str = "text", limit: int = BLOCK_BYTES) ->
                 )
 
     return rows.mapInArrow(deal, target)
+
+
+def whole_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns as one struct ``row``, beside the id and the text under fixed names, so that no names can clash."""
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("doc_id"),
+        F.col(f"`{text_col}`").cast("string").alias("text"),
+    )
+
+
+def with_new_text(done: DataFrame, columns: list[str], text_col: str = "text") -> DataFrame:
+    """The columns of ``row`` as they were, but for the text, which is ``new_text``."""
+    return done.select(*[
+        F.col("new_text").alias(c) if c.lower() == text_col.lower() else F.col("row")[c].alias(c) for c in columns
+    ])
+
+
+def row_schema(rows: DataFrame, *fields: StructField) -> StructType:
+    return StructType([rows.schema["row"], *fields])

@@ -130,4 +130,4 @@ FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
 
 @query("op4_jaccard_join", OP4_SQL)
 def op4(spark, sf_dir):
-    return jaccard_components(documents(spark, sf_dir)).drop("class_id")
+    return jaccard_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgertone.llm.batches import in_blocks, map_slices, parsed
+from ledgertone.llm.batches import in_blocks, map_slices, parsed, whole_rows, with_new_text
 from ledgertone.llm.components import components
 from ledgertone.session import cut_lineage, scratch_path
 
@@ -235,7 +235,7 @@ def list_lengths(runs: DataFrame) -> DataFrame:
     return runs.groupBy("span").applyInArrow(count, target)
 
 
-SETS = "kind byte, doc_id long, n int, sig long, text string, token long, place int"
+SETS = "kind byte, doc_id long, key long, n int, sig long, text string, token long, place int"
 
 
 def sets_and_tokens(
@@ -278,13 +278,14 @@ def sets_and_tokens(
                 place.append(p)
         a, b = len(ids), len(own)
         return pa.Table.from_arrays([
-            pa.array([0] * a + [1] * b, pa.int8()), pa.array(ids + own, pa.int64()), pa.array(sizes + n, pa.int32()),
+            pa.array([0] * a + [1] * b, pa.int8()), pa.array(ids + own, pa.int64()),
+            pa.concat_arrays([*mine.column("key").chunks, pa.nulls(b, pa.int64())]), pa.array(sizes + n, pa.int32()),
             pa.array(sigs + sig, pa.int64()), pa.array(bodies + [None] * b, pa.string()),
             pa.concat_arrays([pa.nulls(a, pa.int64()), pa.array(np.array(token, np.uint64).view(np.int64))]),
             pa.array([None] * a + place, pa.int32()),
         ], schema=fields)
 
-    return blocks.select("block", "doc_id", "text").groupBy("block").cogroup(
+    return blocks.select("block", "doc_id", "key", "text").groupBy("block").cogroup(
         lengths.select("block", "span", "lengths").groupBy("block")
     ).applyInArrow(make, target)
 
@@ -361,7 +362,8 @@ def crossing_pairs(members: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = 80,
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, class_id (hash of its set; null without shingles) and component_id.
+    """One row per document: doc_id, text_key (hash of the text), n_shingles, class_id (hash of its set; null without
+    shingles), group_id (one class of its component) and component_id.
 
     Documents whose shingle sets have at least ``percent`` percent of their union in common are linked; a component is
     what links connect. Texts are lower-cased (A to Z) first.
@@ -373,7 +375,10 @@ def jaccard_components(
         df.write.option("compression", "zstd").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+        F.xxhash64(F.col(text_col).cast("string")).alias("key"),
+    )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(32, min(48, total.bit_length() + 5))
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE_BYTES)
@@ -383,7 +388,7 @@ def jaccard_components(
     s1, s2 = lengths.agg(F.coalesce(F.sum("s1"), F.lit(0.0)), F.coalesce(F.sum("s2"), F.lit(0.0))).first()
     light = boundary(s2 / s1 if s1 else 0.0, percent)
     found = staged(sets_and_tokens(blocks, lengths, size, percent, bits, light), "sets")
-    sets = found.where("kind = 0").select("doc_id", "n", "sig")
+    sets = found.where("kind = 0").select("doc_id", "key", "n", "sig")
 
     members = found.where("kind = 1").select("token", "sig", "n", "place")
     lists = members.groupBy("token").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi")
@@ -406,8 +411,33 @@ def jaccard_components(
 
     comp = sets.join(of, "sig", "left").withColumn("comp", F.coalesce("label", "sig")).drop("label")
     comp = comp.join(merged, "comp", "left").withColumn("comp", F.coalesce("top", "comp")).drop("top")
-    smallest = comp.where("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("smallest"))
+    alone = F.col("n") == 0
+    smallest = comp.where(~alone).groupBy("comp").agg(F.min("doc_id").alias("smallest"))
     return comp.join(smallest, "comp", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("sig").alias("class_id"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"),
+        "doc_id", F.col("key").alias("text_key"), F.col("n").cast("long").alias("n_shingles"),
+        F.col("sig").alias("class_id"), F.col("comp").alias("group_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"),
+    )
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = 80,
+) -> DataFrame:
+    """The documents, all columns, without those linked to one that stays: of each component the smallest id (a null
+    id only if there is no other), and among rows that share it the smallest hash of the text. Documents without
+    shingles stay. Rows that repeat an id and its text count as one document."""
+    found = jaccard_components(docs, id_col, text_col, size, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    linked = found.where("n_shingles > 0").groupBy("group_id").agg(F.min(order).alias("first")).select("first.*")
+    stays = linked.select("doc_id", "text_key").unionByName(
+        found.where("n_shingles = 0").select("doc_id", "text_key").distinct()
     )
+    # Two independent hashes of id and text stand for a row in one equality without nulls.
+    rows = whole_rows(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+
+    def named(df):
+        key = (F.col("doc_id").cast("long"), F.col("text_key"))
+        return df.withColumn("k1", F.xxhash64(*key)).withColumn("k2", F.hash(F.lit(7), *key))
+
+    kept = named(rows).join(named(stays).select("k1", "k2"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    return with_new_text(kept.select("row", F.col("text").alias("new_text")), docs.columns, text_col)

@@ -15,9 +15,9 @@ import hashlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField
 
-from ledgertone.llm.batches import id_type, map_slices
+from ledgertone.llm.batches import id_type, map_slices, row_schema, whole_rows, with_new_text
 from ledgertone.session import scratch_path, small_side
 
 WINDOW, SPACING, MIN_LINES = 2, 3, 2
@@ -84,10 +84,7 @@ def line_dedup(
     """
     spark = docs.sparkSession
     id_kind = id_type(docs, id_col)
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("doc_id"),
-        F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(text_col).cast("string")).alias("key"),
-    )
+    rows = whole_rows(docs, id_col, text_col).withColumn("key", F.xxhash64("text"))
     path = scratch_path(spark, "chunks")
     found = find_chunks(rows.select("doc_id", "key", "text"), id_kind, window, spacing, min_lines)
     found.write.option("compression", "zstd").parquet(path)
@@ -137,8 +134,5 @@ def line_dedup(
             marked.select("doc_id", "text", "removed"), f"doc_id {id_kind}, n_chunks long, n_removed_chunks long, "
             "n_removed_lines long, text string", start,
         )
-    schema = StructType([rows.schema["row"], StructField("new_text", StringType())])
-    done = map_slices(marked.select("row", "text", "removed"), schema, start)
-    return done.select(*[
-        F.col("new_text").alias(c) if c.lower() == text_col.lower() else F.col("row")[c].alias(c) for c in docs.columns
-    ])
+    schema = row_schema(rows, StructField("new_text", StringType()))
+    return with_new_text(map_slices(marked.select("row", "text", "removed"), schema, start), docs.columns, text_col)

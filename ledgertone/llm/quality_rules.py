@@ -9,9 +9,11 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StringType, StructField
 
-from ledgertone.llm.batches import id_and_text, id_type, map_slices
+from ledgertone.llm.batches import id_and_text, id_type, map_slices, row_schema, whole_rows, with_new_text
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -97,6 +99,38 @@ def repeated_words(texts: list[list[bytes]], window: int = WINDOW) -> np.ndarray
     return np.bincount(owner[np.cumsum(cover[:-1]) > 0], minlength=len(texts))
 
 
+def judged(texts: list[str | None], min_words: int, max_repeat_pct: int, max_lost_pct: int, notice_words: int) -> dict:
+    """Counts, verdicts and cleaned texts of a slice of documents, by column."""
+    raw = [t.encode() if t else b"" for t in texts]
+    words = [t.split() for t in raw]
+    n_words = np.fromiter(map(len, words), np.int64, len(words))
+    repeats = repeated_words(words)
+    base_failed = (n_words < min_words) | (100 * repeats > max_repeat_pct * n_words)
+    chars, symbols, dups, bad, lost_pct, kept, clean = [], [], [], [], [], [], []
+    for i, (text, data) in enumerate(zip(texts, raw)):
+        text = text or ""
+        chars.append(len(text) - sum(map(text.count, SPACES)))
+        symbols.append(sum(map(text.count, SYMBOLS)))
+        lines = data.split(b"\n")
+        full = [x for x in lines if x.strip()]
+        dups.append(len(full) - len(set(full)))
+        rule = [line_rule(x, notice_words) for x in lines]
+        failed = sum(map(bool, rule))
+        solid = sum(map(len, words[i]))
+        lost = sum(sum(map(len, x.split())) for x, r in zip(lines, rule) if r) if failed else 0
+        bad.append(failed)
+        lost_pct.append(100.0 * lost / solid if solid else 0.0)
+        kept.append(bool(not base_failed[i] and 100 * lost <= max_lost_pct * solid))
+        if texts[i] is None or not failed:
+            clean.append(texts[i])
+        else:
+            clean.append(b"\n".join(x for x, r in zip(lines, rule) if not r).decode())
+    return {
+        "n_words": n_words, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": dups, "n_repeat_words": repeats,
+        "base_failed": base_failed, "kept": kept, "n_bad_lines": bad, "lost_pct": lost_pct, "clean_text": clean,
+    }
+
+
 def quality_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20, max_repeat_pct: int = 30,
     max_lost_pct: int = 60, notice_words: int = 20,
@@ -108,38 +142,34 @@ def quality_rules(
     """
 
     def start():
-        def judge(piece):
-            ids, texts = piece.column("doc_id"), piece.column("text").to_pylist()
-            raw = [t.encode() if t else b"" for t in texts]
-            words = [t.split() for t in raw]
-            n_words = np.fromiter(map(len, words), np.int64, len(words))
-            repeats = repeated_words(words)
-            base_failed = (n_words < min_words) | (100 * repeats > max_repeat_pct * n_words)
-            chars, symbols, dups, bad, lost_pct, kept, clean = [], [], [], [], [], [], []
-            for i, (text, data) in enumerate(zip(texts, raw)):
-                text = text or ""
-                chars.append(len(text) - sum(map(text.count, SPACES)))
-                symbols.append(sum(map(text.count, SYMBOLS)))
-                lines = data.split(b"\n")
-                full = [x for x in lines if x.strip()]
-                dups.append(len(full) - len(set(full)))
-                rule = [line_rule(x, notice_words) for x in lines]
-                failed = sum(map(bool, rule))
-                solid = sum(map(len, words[i]))
-                lost = sum(sum(map(len, x.split())) for x, r in zip(lines, rule) if r) if failed else 0
-                bad.append(failed)
-                lost_pct.append(100.0 * lost / solid if solid else 0.0)
-                kept.append(not base_failed[i] and 100 * lost <= max_lost_pct * solid)
-                if texts[i] is None or not failed:
-                    clean.append(texts[i])
-                else:
-                    clean.append(b"\n".join(x for x, r in zip(lines, rule) if not r).decode())
-            return [ids, n_words, chars, symbols, dups, repeats, base_failed, kept, bad, lost_pct, clean]
-
-        return judge
+        return lambda piece: [
+            piece.column("doc_id"),
+            *judged(piece.column("text").to_pylist(), min_words, max_repeat_pct, max_lost_pct, notice_words).values(),
+        ]
 
     schema = (
         f"doc_id {id_type(docs, id_col)}, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
         "n_repeat_words long, base_failed boolean, kept boolean, n_bad_lines long, lost_pct double, clean_text string"
     )
     return map_slices(id_and_text(docs, id_col, text_col), schema, start)
+
+
+def cleaned(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20, max_repeat_pct: int = 30,
+    max_lost_pct: int = 60, notice_words: int = 20,
+) -> DataFrame:
+    """The documents that ``quality_rules`` keeps, all columns, with the cleaned text."""
+    rows = whole_rows(docs, id_col, text_col)
+
+    def start():
+        def run(piece):
+            found = judged(
+                piece.column("text").to_pylist(), min_words, max_repeat_pct, max_lost_pct, notice_words
+            )
+            stays = pa.array(found["kept"])
+            return [piece.column("row").filter(stays), pa.array(found["clean_text"], pa.string()).filter(stays)]
+
+        return run
+
+    schema = row_schema(rows, StructField("new_text", StringType()))
+    return with_new_text(map_slices(rows.select("row", "text"), schema, start), docs.columns, text_col)

@@ -12,8 +12,9 @@ import re
 
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StringType, StructField
 
-from ledgertone.llm.batches import id_and_text, id_type, map_slices
+from ledgertone.llm.batches import id_and_text, id_type, map_slices, row_schema, whole_rows, with_new_text
 
 KINDS = ("assign", "access", "hex", "novel")
 _ASSIGN = re.compile(
@@ -107,6 +108,22 @@ def novel_spans(
     return found
 
 
+def scanner(reach: int, around: int, least: float):
+    """A function from a text to its sorted spans (start, kind, stop), for use within a task."""
+    novelty = Novelty()
+
+    def spans(text: str | None) -> list[tuple[int, int, int]]:
+        if not text:
+            return []
+        low = text.encode().lower()
+        found = base_spans(text, low)
+        if any(w in low for w in _SENSITIVE_BYTES):
+            found = found + novel_spans(text, found, novelty, reach, around, least)
+        return sorted(found)
+
+    return spans
+
+
 def secret_scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 48, around: int = 400,
     least: float = 0.75,
@@ -114,22 +131,12 @@ def secret_scan(
     """One row per document: ``spans``, an array of (kind, start, stop) in code points, stop exclusive."""
 
     def start():
-        novelty = Novelty()
-
-        def scan(piece):
-            out = []
-            for text in piece.column("text").to_pylist():
-                spans = []
-                if text:
-                    low = text.encode().lower()
-                    spans = base_spans(text, low)
-                    if any(w in low for w in _SENSITIVE_BYTES):
-                        spans = spans + novel_spans(text, spans, novelty, reach, around, least)
-                    spans.sort()
-                out.append([{"kind": KINDS[k], "start": s, "stop": e} for s, k, e in spans])
-            return [piece.column("doc_id"), out]
-
-        return scan
+        spans = scanner(reach, around, least)
+        return lambda piece: [
+            piece.column("doc_id"),
+            [[{"kind": KINDS[k], "start": s, "stop": e} for s, k, e in spans(t)]
+             for t in piece.column("text").to_pylist()],
+        ]
 
     schema = f"doc_id {id_type(docs, id_col)}, spans array<{SPAN}>"
     return map_slices(id_and_text(docs, id_col, text_col), schema, start)
@@ -145,4 +152,24 @@ def redact(text: str, spans: list[tuple[int, int]], mask: str = "[secret]") -> s
     return "".join([*out, text[at:]])
 
 
-__all__ = ["KINDS", "Novelty", "base_spans", "novel_spans", "redact", "secret_scan"]
+def redacted(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 48, around: int = 400,
+    least: float = 0.75, mask: str = "[secret]",
+) -> DataFrame:
+    """The documents, all columns, with every span of ``secret_scan`` replaced by a mark."""
+    rows = whole_rows(docs, id_col, text_col)
+
+    def start():
+        spans = scanner(reach, around, least)
+
+        def run(piece):
+            texts = []
+            for t in piece.column("text").to_pylist():
+                found = spans(t)
+                texts.append(redact(t, [(s, e) for s, _, e in found], mask) if found else t)
+            return [piece.column("row"), texts]
+
+        return run
+
+    schema = row_schema(rows, StructField("new_text", StringType()))
+    return with_new_text(map_slices(rows.select("row", "text"), schema, start), docs.columns, text_col)
