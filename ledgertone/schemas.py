@@ -64,8 +64,8 @@ CONTROL_TABLES = {
     ),
     "source_dataset_manifest": _table(
         "download_batch_id string, dataset_key string, dataset_id string, source_platform string, status string, "
-        "split_name string, rows_written bigint, raw_parquet_path string, canonical_parquet_path string, "
-        "error_message string, event_ts timestamp"
+        "split_name string, rows_written bigint, label_counts string, raw_parquet_path string, "
+        "canonical_parquet_path string, error_message string, event_ts timestamp"
     ),
     "ingestion_file_audit": _table(
         "source_path string, source_name string, file_size bigint, modification_time timestamp, "
@@ -103,12 +103,15 @@ EVIDENCE_ORDER = {
     "batch_predictions": "prediction_ts",
 }
 
-STREAM_REQUEST = _table("position bigint, data string")
+STREAM_REQUEST = _table("position bigint, data string, arrived_at timestamp")
 PREDICTION = _table("label string, score double, probabilities map<string,double>")
 STREAM_ERROR = _table("type string, message string")
 STREAM_RESULT = T.StructType([
-    *_table("position string, request_id string, status string, text string").fields,
+    *_table(
+        "position string, arrived_at timestamp, log_partition int, log_offset bigint, request_id string, "
+        "status string, text string"
+    ).fields,
     T.StructField("prediction", PREDICTION),
     T.StructField("error", STREAM_ERROR),
-    *_table("submitted_at string, processed_at string, date string, batch bigint").fields,
+    *_table("submitted_at string, processed_at string, run string, batch bigint, date string").fields,
 ])

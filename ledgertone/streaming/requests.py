@@ -7,6 +7,8 @@ from ledgertone.functions.text import strip_ws
 from ledgertone.session import computed_once
 
 ERROR_TYPE = "InferenceError"
+# Where a record lies in its log: for people, and what orders records.
+LOG_COLUMNS = ("position", "arrived_at", "log_partition", "log_offset")
 MISSING_DATA = "Record is missing data."
 INVALID_JSON = "Record data is not valid JSON."
 NOT_AN_OBJECT = "Record JSON must be an object."
@@ -71,9 +73,9 @@ def fallback_id(request_id: str, position: str = "position") -> Column:
     return F.when(given != "", given).otherwise(F.concat(F.lit("invalid-record-"), F.col(position).cast("string")))
 
 
-def result_date(submitted_at: Column, processed_at: Column) -> Column:
-    """Date part of the submission time, else of the processing time."""
-    return F.substring_index(F.coalesce(F.nullif(submitted_at, F.lit("")), processed_at), "T", 1)
+def result_date(submitted_at: Column, otherwise: Column) -> Column:
+    """Date part of the submission time, else of another time, which should not change when a batch is retried."""
+    return F.substring_index(F.coalesce(F.nullif(submitted_at, F.lit("")), otherwise), "T", 1)
 
 
 def utc_text(moment: Column) -> Column:
@@ -83,9 +85,10 @@ def utc_text(moment: Column) -> Column:
 def build_result(validated: DataFrame, processed_at: Column | None = None) -> DataFrame:
     """Exactly one result row per record: a prediction, or an error with its type and message.
 
-    Expects ``prediction`` (struct label, score, probabilities) and optionally ``score_error``.
+    Expects ``prediction`` (struct label, score, probabilities) and optionally ``score_error``. The date of a record
+    without submission time is that of its arrival in the log (``arrived_at``), if the source tells.
     """
-    columns = [c for c in validated.columns if c == "position"]
+    columns = [c for c in LOG_COLUMNS if c in validated.columns]
     validated = computed_once(validated, prediction=F.col("prediction"))
     failed = F.col("error_message")
     if "score_error" in validated.columns:
@@ -94,6 +97,7 @@ def build_result(validated: DataFrame, processed_at: Column | None = None) -> Da
     failed = F.coalesce(failed, missing)
     stamped = utc_text(F.current_timestamp()) if processed_at is None else processed_at
     rows = validated.withColumns({"_failed": failed, "processed_at": stamped})
+    arrival = utc_text(F.col("arrived_at")) if "arrived_at" in columns else F.lit(None).cast("string")
     ok = F.col("_failed").isNull()
     return rows.select(
         *columns,
@@ -104,7 +108,7 @@ def build_result(validated: DataFrame, processed_at: Column | None = None) -> Da
         F.when(~ok, F.struct(F.lit(ERROR_TYPE).alias("type"), F.col("_failed").alias("message"))).alias("error"),
         "submitted_at",
         "processed_at",
-        result_date(F.col("submitted_at"), F.col("processed_at")).alias("date"),
+        result_date(F.col("submitted_at"), F.coalesce(arrival, "processed_at")).alias("date"),
     )
 
 

@@ -1,11 +1,14 @@
 """Streaming scoring job and its result store.
 
-Results are kept as a log: every micro-batch owns its ``date=/batch=`` folders and a retried batch
-replaces just those, which makes the output exactly-once without rewriting older days. A re-delivered
-request replaces its earlier result when reading, where the newest batch wins.
+Results are kept as a log of Parquet files in ``run=/batch=/date=`` folders. A run is a streaming query with its
+checkpoint; its batches are numbered. A retried batch replaces its own folder, whatever dates it had, and a new
+checkpoint is a new run that replaces nothing. A re-delivered request replaces its earlier result when reading, where
+the record that arrived last wins. ``compact_results`` leaves one row per request and few files.
 """
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,17 +17,19 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgertone.operators.dedup import keep_first
 from ledgertone.operators.scoring import Scorer, score_texts
 from ledgertone.schemas import STREAM_RESULT
+from ledgertone.session import remove_path
 from ledgertone.streaming.requests import build_result, decode_request, validate_request
 
 Score = Callable[[DataFrame], DataFrame]
 
 
 def scorer_predictions(load: Callable[[], Scorer], text: str = "text") -> Score:
-    """A streaming scoring step from a batch scorer; invalid records are not scored."""
+    """A streaming scoring step from a batch scorer. Invalid records are not scored; a text that the scorer fails on,
+    or every text if it cannot be loaded, gets a ``score_error``."""
 
     def score(validated: DataFrame) -> DataFrame:
         valid = validated.withColumn("_text", F.when(F.col("error_message").isNull(), F.col(text)))
-        scored = score_texts(valid, load, text="_text")
+        scored = score_texts(valid, load, text="_text", errors="score_error")
         prediction = F.struct(
             F.col("prediction").alias("label"), F.col("score"),
             F.lit(None).cast("map<string,double>").alias("probabilities"),
@@ -41,28 +46,81 @@ def score_requests(records: DataFrame, score: Score, processed_at=None) -> DataF
     return build_result(score(validate_request(decode_request(records))), processed_at)
 
 
-def write_results(results: DataFrame, batch_id: int, path: str) -> None:
-    """One micro-batch: last result per (date, request), into this batch's own folders."""
-    last = keep_first(results, ["date", "request_id"], [F.col("position").desc()])
-    rows = last.withColumns({"position": F.col("position").cast("string"), "batch": F.lit(batch_id)})
-    (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch").json(path)
+def _newest_first(*more: str) -> list:
+    """The log's time, then the batch, then the place in the log, by number."""
+    return [F.col(c).desc_nulls_last() for c in ("arrived_at", *more, "log_partition", "log_offset")]
+
+
+def _stored(results: DataFrame) -> DataFrame:
+    """Result rows with all columns of the store; a numeric position is the place in a log of one partition."""
+    given = {
+        "position": F.col("position").cast("string"), "arrived_at": F.lit(None).cast("timestamp"),
+        "log_partition": F.lit(0), "log_offset": F.col("position").try_cast("bigint"),
+    }
+    missing = {c: v for c, v in given.items() if c == "position" or c not in results.columns}
+    return results.withColumns(missing)
+
+
+def write_results(results: DataFrame, batch_id: int, path: str, run: str = "single") -> None:
+    """One micro-batch: last result per (date, request), into this batch's own folder, in files of a good size."""
+    last = keep_first(_stored(results), ["date", "request_id"], _newest_first())
+    columns = [f.name for f in STREAM_RESULT if f.name not in ("run", "batch")]
+    last.select(*columns).hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(
+        f"{path}/run={run}/batch={batch_id}"
     )
 
 
 def stream_result_sink(
     records: DataFrame, score: Score, path: str, checkpoint: str, available_now: bool = False,
-    interval: str = "10 seconds", processed_at=None,
+    interval: str = "10 seconds", processed_at=None, run: str | None = None,
 ) -> StreamingQuery:
+    """Starts the job. Its run is named by the id that the checkpoint gives the query, unless the caller names it."""
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    results = score_requests(records, score, processed_at)
-    return (
-        results.writeStream.foreachBatch(lambda batch, number: write_results(batch, number, path))
+    named, known = {"run": run}, Event()
+
+    def write(batch: DataFrame, number: int) -> None:
+        known.wait()
+        write_results(batch, number, path, named["run"])
+
+    query = (
+        score_requests(records, score, processed_at).writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
+    named["run"] = run or str(query.id)
+    known.set()
+    return query
+
 
+def _all_results(spark: SparkSession, path: str, dates: Sequence[str] | None) -> DataFrame:
+    stored = spark.read.schema(STREAM_RESULT).parquet(path)
+    return stored if dates is None else stored.where(F.col("date").isin(*dates))
 
-def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Newest result per (date, request)."""
-    stored = spark.read.schema(STREAM_RESULT).json(path)
-    return keep_first(stored, ["date", "request_id"], [F.col("batch").desc(), F.col("position").desc()])
+
+def _newest(stored: DataFrame) -> DataFrame:
+    return keep_first(stored, ["date", "request_id"], [*_newest_first("batch"), "run"])
+
+
+def read_results(spark: SparkSession, path: str, dates: Sequence[str] | None = None) -> DataFrame:
+    """Newest result per (date, request); given dates are read alone."""
+    return _newest(_all_results(spark, path, dates))
+
+
+def compact_results(spark: SparkSession, path: str, dates: Sequence[str] | None = None) -> int:
+    """Replaces the files of the given dates (default: all) by one row per request; returns the folders removed.
+
+    Run it for dates that no running query still writes. The compacted rows are complete before anything is removed,
+    and a reader in between sees both and the same result.
+    """
+    stored = _all_results(spark, path, dates)
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]+$", "")
+    folders = [r.folder for r in stored.select(folder.alias("folder")).distinct().collect()]  # names, not rows
+    if not folders:
+        return 0
+    kept = _newest(spark.read.schema(STREAM_RESULT).option("basePath", path).parquet(*folders))
+    # The batch number stays with the rows' order: all that is compacted counts as the oldest batch.
+    kept.drop("run", "batch").hint("rebalance", "date").write.partitionBy("date").parquet(
+        f"{path}/run=compacted-{uuid.uuid4().hex}/batch=-1"
+    )
+    for name in folders:
+        remove_path(spark, name)
+    return len(folders)

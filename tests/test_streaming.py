@@ -1,9 +1,13 @@
 import base64
 import json
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from ledgertone.operators.scoring import score_texts
+
 from ledgertone.plans import inputs as I
 from ledgertone.plans.catalog.streaming import PROCESSED, flat, hash_probabilities
 from ledgertone.sources import readers as S
@@ -11,6 +15,9 @@ from ledgertone.streaming import requests as R
 from ledgertone.streaming import results as K
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers do not see the test folder
+
+
 def encoded(value):
     text = value if isinstance(value, str) else json.dumps(value)
     return base64.b64encode(text.encode()).decode()
@@ -81,10 +88,106 @@ def test_stream_equals_batch_and_retry_changes_nothing(spark, sf_dir, tmp_path):
     for run in range(2):
         K.stream_result_sink(
             S.stream_requests(spark, landed, 1000), hash_probabilities, stored, str(tmp_path / f"c{run}"),
-            available_now=True, processed_at=F.lit(PROCESSED),
+            available_now=True, processed_at=F.lit(PROCESSED), run="r",
         ).awaitTermination()
         assert sorted(map(str, flat(K.read_results(spark, stored)).collect())) == want
-        assert spark.read.json(stored).count() == len(want)
+        assert spark.read.parquet(stored).count() == len(want)
+
+
+def land(spark, folder, name, rows):
+    spark.createDataFrame(rows, "position bigint, data string").coalesce(1).write.json(f"{folder}/{name}")
+
+
+def request(i, day=None):
+    body = {"request_id": f"r{i}", "text": f"text {i}"}
+    return (i, encoded(body | {"submitted_at": f"{day}T01:00:00Z"} if day else body))
+
+
+def stream(spark, landed, stored, checkpoint, **options):
+    records = S.stream_requests(spark, f"{landed}/*")
+    K.stream_result_sink(records, predicted, stored, checkpoint, available_now=True, **options).awaitTermination()
+
+
+def test_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    landed, stored = str(tmp_path / "in"), str(tmp_path / "out")
+    land(spark, landed, "a", [request(i, "2026-05-21") for i in range(5)])
+    stream(spark, landed, stored, str(tmp_path / "c1"))
+    other = str(tmp_path / "in2")
+    land(spark, other, "b", [request(i, "2026-05-21") for i in (10, 11)])
+    stream(spark, other, stored, str(tmp_path / "c2"))
+    assert sorted(r.request_id for r in K.read_results(spark, stored).collect()) == ["r0", "r1", "r10", "r11", "r2", "r3", "r4"]
+    assert K.read_results(spark, stored, ["2026-05-20"]).count() == 0
+
+
+def test_a_retry_after_midnight_doubles_nothing(spark, tmp_path):
+    """The date of a record without submission time is that of its arrival; the folder of a batch is replaced whole."""
+    stored = str(tmp_path / "out")
+    rows = [(1, request(1)[1]), (2, request(2)[1])]
+    plain = spark.createDataFrame(rows, "position bigint, data string")
+    arrived = plain.withColumn("arrived_at", F.to_timestamp(F.lit("2026-05-21 23:59:59")))
+    for df, dates in ((arrived, {"2026-05-21"}), (plain, {"2026-05-22"})):
+        for at in ("2026-05-21T23:59:59Z", "2026-05-22T00:00:01Z"):
+            K.write_results(K.score_requests(df, predicted, F.lit(at)), 0, stored, "r")
+        found = K.read_results(spark, stored).collect()
+        assert len(found) == 2 and {r.date for r in found} == dates
+
+
+def test_positions_are_numbers(spark, tmp_path):
+    stored = str(tmp_path / "out")
+    rows = [(9, encoded({"request_id": "r", "text": "older"})), (10, encoded({"request_id": "r", "text": "newer"}))]
+    df = spark.createDataFrame(rows, "log_offset bigint, data string").withColumns({
+        "position": F.concat(F.lit("0-"), "log_offset"), "log_partition": F.lit(0),
+        "arrived_at": F.to_timestamp(F.lit("2026-05-21 10:00:00")),
+    })
+    K.write_results(K.score_requests(df, predicted), 0, stored)
+    assert [r.text for r in K.read_results(spark, stored).collect()] == ["newer"]
+    later = df.where("log_offset = 9").withColumns({
+        "log_partition": F.lit(1), "arrived_at": F.to_timestamp(F.lit("2026-05-21 11:00:00")),
+        "position": F.lit("1-9"),
+    })
+    K.write_results(K.score_requests(later, predicted), 1, stored)
+    assert [r.text for r in K.read_results(spark, stored).collect()] == ["older"]  # the log's time decides
+
+
+def test_compaction_keeps_the_newest(spark, tmp_path):
+    stored = str(tmp_path / "out")
+    for batch in range(4):
+        df = spark.createDataFrame([request(i, f"2026-05-2{i % 3}") for i in range(batch, batch + 6)], "position bigint, data string")
+        K.write_results(K.score_requests(df, predicted), batch, stored)
+    columns = ("request_id", "text", "date", "status")
+    want = sorted(map(str, K.read_results(spark, stored).select(*columns).collect()))
+    assert K.compact_results(spark, stored) > 3
+    assert sorted(map(str, K.read_results(spark, stored).select(*columns).collect())) == want
+    assert spark.read.parquet(stored).count() == len(want)
+    K.write_results(K.score_requests(df, predicted), 9, stored)
+    assert sorted(map(str, K.read_results(spark, stored).select(*columns).collect())) == want
+
+
+class Touchy:
+    def predict(self, texts):
+        import pandas as pd
+
+        if any("bad" in t for t in texts):
+            raise ValueError("cannot score this")
+        return pd.DataFrame({"prediction": ["positive" for _ in texts], "score": [0.5 for _ in texts]})
+
+
+class Missing:
+    def __init__(self):
+        raise OSError("no model file")
+
+
+def test_a_failing_text_becomes_an_error_row(spark):
+    texts = ["good", "bad one", "good too", "a bad one", "fine"]
+    rows = [(i, encoded({"request_id": f"r{i}", "text": t})) for i, t in enumerate(texts)] + [(9, encoded("{"))]
+    df = spark.createDataFrame(rows, "position bigint, data string").coalesce(1)
+    got = {r.position: r for r in K.score_requests(df, K.scorer_predictions(Touchy)).collect()}
+    assert {i: r.status for i, r in got.items()} == {0: "success", 1: "error", 2: "success", 3: "error", 4: "success", 9: "error"}
+    assert got[1].error.message == "cannot score this" and got[9].error.message == R.INVALID_JSON
+    lost = {r.position: r.error.message for r in K.score_requests(df, K.scorer_predictions(Missing)).collect()}
+    assert lost == {**{i: "no model file" for i in range(5)}, 9: R.INVALID_JSON}
+    with pytest.raises(Exception, match="cannot score this"):
+        score_texts(spark.createDataFrame([("bad",)], "text_clean string"), Touchy).collect()
 
 
 def test_redelivery_replaces_the_result(spark, tmp_path):
@@ -113,6 +216,7 @@ def test_requests_round_trip(spark):
 def test_log_source_options():
     options = S.kafka_options("host:9092", "requests", 500)
     assert options["startingOffsets"] == "latest" and options["maxOffsetsPerTrigger"] == "500"
+    assert "failOnDataLoss" not in options  # lost records must not vanish silently
 
 
 def test_jdbc_options():
