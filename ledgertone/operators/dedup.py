@@ -26,30 +26,25 @@ def new_rows(batch: DataFrame, existing: DataFrame, key: str = "source_record_ha
     return batch.join(existing.select(key), key, "left_anti")
 
 
-def salt_count(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def duplicate_flags(
     df: DataFrame, key: Sequence[str], dataset: str = "dataset_label", text: str = "text"
 ) -> DataFrame:
     """Flags every row but the first of its lower-cased text, within its dataset and overall.
 
-    Each text's rows are spread over as many salts as there are shuffle partitions. Only the first row
-    per (text, dataset, salt) can be the first of all, so the second window meets at most
-    salts x datasets rows per text, however often the text occurs.
+    ``key`` must be unique. The first key per text comes from aggregations that combine map-side, so a hot text ships
+    a row per task. The rows meet it in a join without further grouping, where a text with very many rows can be
+    split over tasks.
     """
-    salt = F.pmod(F.xxhash64(*key), F.lit(salt_count(df)))
-    rows = df.withColumns({"_text": F.sha2(F.lower(F.col(text)), 256), "_salt": salt})
-    order = [F.col(k) for k in key]
-    rows = rows.withColumn(
-        "_local", F.row_number().over(W.partitionBy("_text", "_salt", dataset).orderBy(*order))
+    rows = df.withColumn("_text", F.coalesce(F.sha2(F.lower(F.col(text)), 256), F.lit("")))
+    order = F.struct(*key)
+    local = rows.groupBy("_text", dataset).agg(F.min(order).alias("_first_here"))
+    overall = local.groupBy("_text").agg(F.min("_first_here").alias("_first"))
+    first = local.join(overall, "_text").select(
+        F.col("_text").alias("_t"), F.col(dataset).alias("_d"), "_first_here", "_first"
+    )
+    met = rows.join(
+        first, (F.col("_text") == F.col("_t")) & F.col(dataset).eqNullSafe(F.col("_d")), "left"
     )
-    # Rows already known to be copies stay in their own salted groups.
-    rows = rows.withColumn("_group", F.when(F.col("_local") == 1, F.lit(-1)).otherwise(F.col("_salt")))
-    in_dataset = F.row_number().over(W.partitionBy("_text", "_group", dataset).orderBy(*order))
-    overall = F.row_number().over(W.partitionBy("_text", "_group").orderBy(*order))
-    copy = F.col("_local") > 1
-    return rows.withColumns(
-        {"duplicate_within_dataset": copy | (in_dataset > 1), "duplicate_global": copy | (overall > 1)}
-    ).drop("_text", "_salt", "_local", "_group")
+    return met.withColumns(
+        {"duplicate_within_dataset": order != F.col("_first_here"), "duplicate_global": order != F.col("_first")}
+    ).drop("_text", "_t", "_d", "_first_here", "_first")

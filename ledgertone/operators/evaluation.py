@@ -152,20 +152,36 @@ HISTORY_FIELDS = {
 }
 
 
-def training_history(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Event log to one row per epoch (rounded to four decimals); the last value logged wins."""
+def training_history(events: DataFrame, by: Sequence[str] = (), first_seq: bool = False) -> DataFrame:
+    """Event log to one row per epoch (rounded to four decimals); the last value logged wins.
+
+    ``first_seq`` adds the place of the epoch's first event in the log.
+    """
     rows = events.where(F.col("epoch").isNotNull()).withColumn("epoch", F.round(F.col("epoch").cast("double"), 4))
     last = [
         F.max_by(F.col(field), F.when(F.col(field).isNotNull(), F.col("seq"))).alias(name)
         for name, field in HISTORY_FIELDS.items() if field in events.columns
     ]
+    if first_seq:
+        last.append(F.min("seq").alias("first_seq"))
     return rows.groupBy(*by, "epoch").agg(*last)
 
 
-def phase_epochs(history: DataFrame, run: Sequence[str], phase: str = "phase", epoch: str = "epoch") -> DataFrame:
-    """Training phases of a run put one after the other under one epoch index."""
-    index = F.row_number().over(W.partitionBy(*run).orderBy(phase, epoch))
-    return history.withColumn("epoch_index", index)
+def phase_epochs(
+    history: DataFrame, run: Sequence[str], phase: str = "phase", epoch: str = "epoch",
+    phases: Sequence[str] | None = None, first_seq: str = "first_seq",
+) -> DataFrame:
+    """Training phases of a run put one after the other under one epoch index, in the order in which they ran.
+
+    That order is given by ``phases`` (others follow by name), or else by each phase's first event in the log.
+    """
+    if phases is None:
+        place = F.min(first_seq).over(W.partitionBy(*run, phase))
+    else:
+        place = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, phases)), F.col(phase)), F.lit(0)),
+                           F.lit(len(phases) + 1))
+    index = F.row_number().over(W.partitionBy(*run).orderBy("_place", phase, epoch))
+    return history.withColumn("_place", place).withColumn("epoch_index", index).drop("_place")
 
 
 def metrics_long(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -240,5 +256,6 @@ def candidate_metrics(predictions: DataFrame, candidates: DataFrame, by: Sequenc
     ).withColumnsRenamed({"macro_precision": "precision_macro", "macro_recall": "recall_macro"})
 
 
-def sample_predictions(eval_rows: DataFrame, scored: DataFrame, key: str) -> DataFrame:
-    return eval_rows.join(scored.select(key, "prediction", "score"), key)
+def sample_predictions(eval_rows: DataFrame, scored: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
+    """Evaluation rows with their predictions; ``by`` names what tells several models apart."""
+    return eval_rows.join(scored.select(*by, key, "prediction", "score"), key)

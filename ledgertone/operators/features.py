@@ -1,16 +1,20 @@
 """Vocabulary, encoded sequences, TF-IDF weights and the trainable baseline."""
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, IDF, Normalizer, StringIndexerModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, IDF, Normalizer, StringIndexerModel
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgertone.operators.evaluation import class_weights
 from ledgertone.schemas import LABELS
-from ledgertone.session import computed_once, small_side
+from ledgertone.session import BROADCAST_BYTES, BROADCAST_ROWS, computed_once, cut_lineage, small_side
 
 # Characters a sequence tokenizer turns into blanks, and the term pattern of the vectorizer.
 SEQUENCE_FILTERS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n'
@@ -40,11 +44,45 @@ def encode_sequences(
 ) -> DataFrame:
     """Key and vocabulary ids of each text in order, unknown tokens dropped, cut or padded at the end.
 
-    A text's tokens start in one task, so the collecting aggregation packs them up again before the shuffle;
-    texts without a known token stay through the outer explode and join.
+    A vocabulary that proves to be small goes to the tasks, which look tokens up in Arrow batches: no shuffle. A
+    larger one is joined.
     """
+    kept = cut_lineage(vocabulary.select("token", "index"))
+    rows, size = kept.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("token") + 8), F.lit(0))).first()
+    if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
+        return _encode_by_lookup(df, kept, key, length, text)
+    return _encode_by_join(df, kept, key, length, text)
+
+
+def _encode_by_lookup(df: DataFrame, vocabulary: DataFrame, key: str, length: int, text: str) -> DataFrame:
+    known = vocabulary.toArrow()
+    names, numbers = known.column("token").combine_chunks(), known.column("index").combine_chunks().cast(pa.int32())
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def look_up(tokens: pa.Array) -> pa.Array:
+        flat = tokens.flatten().cast(names.type)
+        found = pc.index_in(flat, value_set=names)
+        ids = np.append(numbers.to_numpy(), 0).astype(np.int32)[pc.fill_null(found, -1).to_numpy()]
+        owner = np.repeat(np.arange(len(tokens)), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy())
+        good = pc.is_valid(found).to_numpy(zero_copy_only=False)
+        owner, ids = owner[good], ids[good]
+        counts = np.bincount(owner, minlength=len(tokens))
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+        inside = place < length
+        out = np.zeros(len(tokens) * length, np.int32)
+        out[owner[inside] * length + place[inside]] = ids[inside]
+        offsets = np.arange(0, len(out) + 1, length, dtype=np.int32) if length else np.zeros(len(tokens) + 1, np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out))
+
+    tokens = F.coalesce(sequence_tokens(F.col(text)), F.array().cast("array<string>"))
+    return df.select(key, look_up(tokens).alias("sequence"))
+
+
+def _encode_by_join(df: DataFrame, vocabulary: DataFrame, key: str, length: int, text: str) -> DataFrame:
+    """A text's tokens start in one task, so the collecting aggregation packs them up again before the shuffle;
+    texts without a known token stay through the outer explode and join."""
     tokens = df.select(key, F.posexplode_outer(sequence_tokens(F.col(text))).alias("pos", "token"))
-    known = tokens.join(small_side(vocabulary.select("token", "index")), "token", "left")
+    known = tokens.join(vocabulary, "token", "left")
     found = F.collect_list(F.when(F.col("index").isNotNull(), F.struct("pos", "index")))
     packed = known.groupBy(key).agg(F.array_sort(found).alias("_found"))
     ids = packed.select(key, F.slice(F.col("_found.index"), 1, length).alias("_ids"))
@@ -64,24 +102,27 @@ def with_terms(df: DataFrame, text: str = "text_clean") -> DataFrame:
     return computed_once(computed_once(df, _words=words), terms=terms).drop("_words")
 
 
-def tfidf_weights(df: DataFrame, key: str, text: str = "text_clean", max_features: int = 10_000) -> DataFrame:
+def term_counts(df: DataFrame, key: str, text: str = "text_clean") -> DataFrame:
+    """(key, term, tf), partitioned by key. The texts are partitioned while they are still text, so that counting and
+    what follows per document needs no further shuffle; the counts are kept, since several steps read them."""
+    terms = with_terms(df.select(key, text).repartition(key), text).select(key, F.explode("terms").alias("term"))
+    return cut_lineage(terms.groupBy(key, "term").agg(F.count("*").alias("tf")))
+
+
+def top_terms(counted: DataFrame, max_features: int) -> DataFrame:
+    """The ``max_features`` most frequent terms with their document frequency; equally frequent ones by name."""
+    totals = counted.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
+    return totals.orderBy(F.col("total").desc(), "term").limit(max_features)
+
+
+def tfidf_weights(df: DataFrame, key: str, max_features: int, text: str = "text_clean") -> DataFrame:
     """Smoothed TF-IDF over the most frequent 1- and 2-grams, each document at unit length.
 
-    Term and document frequencies come from one map-side combined count over the rows as they lie (``key``
-    must be unique). The texts are then partitioned by document once, while they are still text; counts per
-    document and norms need no further shuffle. The feature table has at most ``max_features`` rows.
+    Terms are extracted and counted once per document (``key`` must be unique); term and document frequencies come
+    from those counts. The feature table has at most ``max_features`` rows.
     """
-    once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("first")))
-    each = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("first")))
-    features = (
-        with_terms(df.select(text), text).select(F.inline(F.concat(each, once)))
-        .groupBy("term").agg(F.count_if(F.col("first") == 0).alias("_total"), F.sum("first").alias("df"))
-        .orderBy(F.col("_total").desc(), "term").limit(max_features).select("term", "df")
-    )
-    counted = (
-        with_terms(df.select(key, text).repartition(key), text).select(key, F.explode("terms").alias("term"))
-        .groupBy(key, "term").agg(F.count("*").alias("tf"))
-    )
+    counted = term_counts(df, key, text)
+    features = top_terms(counted, max_features).select("term", "df")
     documents = df.agg(F.count("*").alias("n")).scalar()
     weighted = counted.join(small_side(features), "term").withColumn(
         "_raw", F.col("tf") * (F.log((1 + documents) / (1 + F.col("df"))) + 1)
@@ -91,19 +132,23 @@ def tfidf_weights(df: DataFrame, key: str, text: str = "text_clean", max_feature
 
 
 def tfidf_logreg_fit(
-    train: DataFrame, text: str = "text_clean", label: str = "label_normalized", max_features: int = 10_000,
-    max_iter: int = 500, tol: float = 1e-4,
+    train: DataFrame, max_features: int, text: str = "text_clean", label: str = "label_normalized",
+    max_iter: int = 500, tol: float = 1e-4, key: str = "source_record_hash",
 ) -> PipelineModel:
     """TF-IDF with balanced multinomial logistic regression.
 
     Spark's IDF lacks the "+1" of the smoothed weight, so counts are scaled by idf + 1. The balanced weights
-    sum to the row count, which makes a ridge penalty of 1/n equal a unit inverse penalty on summed losses.
+    sum to the row count, which makes a ridge penalty of 1/n equal a unit inverse penalty on summed losses. The
+    vocabulary is that of ``tfidf_weights``, in its order.
     """
-    rows = with_terms(train.where(F.col(label).isin(*LABELS)), text)
+    train = train.where(F.col(label).isin(*LABELS))
+    top = top_terms(term_counts(train, key, text), max_features)
+    vocabulary = [r.term for r in top.collect()]  # at most max_features terms
+    rows = with_terms(train, text)
     weights = class_weights(rows, label).select(label, "weight")  # at most one row per label
     rows = rows.join(F.broadcast(weights), label)
     labels = StringIndexerModel.from_labels(list(LABELS), inputCol=label, outputCol="label_id", handleInvalid="error")
-    counts = CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=max_features).fit(rows)
+    counts = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="terms", outputCol="tf")
     counted = labels.transform(counts.transform(rows)).select("label_id", "weight", "tf")
     counted = counted.cache()
     try:

@@ -1,6 +1,7 @@
 """Bronze, silver, gold, curated and training projections."""
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgertone.functions.labels import (
@@ -99,7 +100,13 @@ def _silver_ok() -> Column:
     return (F.length("text_clean") >= 5) & F.col("label_normalized").isin(*LABELS)
 
 
+def silver_flag(base: DataFrame) -> DataFrame:
+    """Adds ``is_valid``: whether a row belongs into silver or into quarantine."""
+    return base.withColumn("is_valid", F.coalesce(_silver_ok(), F.lit(False)))
+
+
 def silver_valid(base: DataFrame) -> DataFrame:
+    """Valid rows of bronze, whose record hashes are unique; deduplicate other input first."""
     return base.where(_silver_ok()).select(*[c for c in SILVER.fieldNames() if c in base.columns])
 
 
@@ -143,18 +150,21 @@ def split_priority(split: Column) -> Column:
 def gold(silver: DataFrame, leak_free: bool = True) -> DataFrame:
     """Training table. Leak-free: texts with several labels go, the others keep one row.
 
-    Conflict check and survivor come out of one aggregation, so a text is shuffled once and a hot text
-    is reduced before the shuffle.
+    Texts are compared by hash. First each (text, label) keeps its best row, with a map-side limit, so a hot text
+    ships a row per label and task; then the few rows per text that are left show conflict and survivor. The corpus
+    is shuffled once.
     """
     rows = silver.withColumn("split", split_or_hash(F.col("source_split_clean"), "source_record_hash"))
     if leak_free:
-        best = F.struct(
-            split_priority(F.col("split")).alias("priority"), "source_dataset", "label_normalized",
-            "source_record_hash", "split", "source_path",
+        order = ["_priority", "source_dataset", "label_normalized", "source_record_hash"]
+        rows = rows.withColumns(
+            {"_text": F.sha2("text_clean", 256), "_priority": split_priority(F.col("split"))}
         )
-        labels = F.bit_or(domain_bit(F.col("label_normalized"), LABELS))
-        per_text = rows.groupBy("text_clean").agg(labels.alias("_labels"), F.min(best).alias("_best"))
-        rows = per_text.where(F.bit_count("_labels") == 1).select("text_clean", "_best.*")
+        rows = keep_first(rows, ["_text", "label_normalized"], order)
+        of_text = W.partitionBy("_text")
+        rows = rows.withColumns(
+            {"_labels": F.count("*").over(of_text), "_place": F.row_number().over(of_text.orderBy(*order))}
+        ).where((F.col("_labels") == 1) & (F.col("_place") == 1))
     return rows.withColumns(
         {"feature_text_length": F.length("text_clean"), "gold_created_ts": F.current_timestamp()}
     ).select(*GOLD.fieldNames())

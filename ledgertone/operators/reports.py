@@ -13,12 +13,9 @@ from pyspark.sql import functions as F
 from ledgertone.functions.text import char_count, np_round, word_count
 from ledgertone.operators.dedup import duplicate_flags
 from ledgertone.operators.medallion import fill_defaults
-from ledgertone.schemas import LABELS, MODEL_FEATURES, SPLITS
+from ledgertone.schemas import LABELS, MODEL_FEATURES
 from ledgertone.session import computed_once, cut_lineage
 
-REPORT_LABELS = (*LABELS, "missing")
-REPORT_SPLITS = (*SPLITS, "unspecified")
-
 
 def text_features(df: DataFrame) -> DataFrame:
     """Defaults filled, character and word counts added."""
@@ -74,33 +71,16 @@ def dataset_summary(features: DataFrame) -> DataFrame:
     )
 
 
-def _domain(df: DataFrame, column: str, values: Sequence[str] | None) -> list[str]:
-    """Pivot values; without a given domain they are read off the data, which costs a job."""
-    if values is not None:
-        return list(values)
-    found = [r[0] for r in df.select(column).distinct().limit(1001).collect()]
-    if len(found) > 1000:
-        raise ValueError(f"{column} has too many values for a cross table")
-    return sorted(found)
-
+def label_distribution(features: DataFrame) -> DataFrame:
+    """Rows of each label within its dataset and their share; every label that occurs has its row."""
+    counts = features.groupBy("dataset_label", "label_normalized").agg(F.count("*").alias("rows"))
+    total = F.sum("rows").over(W.partitionBy("dataset_label"))  # one row per label
+    return counts.withColumn("share", F.col("rows") / total)
 
-def label_distribution(features: DataFrame, labels: Sequence[str] | None = REPORT_LABELS) -> DataFrame:
-    """Share of each label within its dataset, three decimals."""
-    names = _domain(features, "label_normalized", labels)
-    # Pre-counted, so the total covers labels outside the listed columns too.
-    counts = features.groupBy("dataset_label", "label_normalized").agg(F.count("*").alias("n"))
-    share = [
-        np_round(F.coalesce(F.sum(F.when(F.col("label_normalized") == name, F.col("n"))), F.lit(0)) / F.sum("n"), 3)
-        .alias(name)
-        for name in names
-    ]
-    return counts.groupBy("dataset_label").agg(*share)
 
-
-def split_distribution(features: DataFrame, splits: Sequence[str] | None = REPORT_SPLITS) -> DataFrame:
-    names = _domain(features, "split", splits)
-    counts = [F.count_if(F.col("split") == name).alias(name) for name in names]
-    return features.groupBy("dataset_label").agg(*counts)
+def split_distribution(features: DataFrame) -> DataFrame:
+    """Rows of each split of each dataset; every split that occurs has its row."""
+    return features.groupBy("dataset_label", "split").agg(F.count("*").alias("rows"))
 
 
 def split_manifest(canonical: DataFrame, columns: int | None = None) -> DataFrame:
@@ -118,6 +98,16 @@ def split_manifest(canonical: DataFrame, columns: int | None = None) -> DataFram
     )
 
 
+def split_label_counts(canonical: DataFrame) -> DataFrame:
+    """Rows of each split, and of each label in it as a map."""
+    fine = canonical.groupBy("split", F.coalesce("label_normalized", F.lit("missing")).alias("label")).agg(
+        F.count("*").alias("n")
+    )
+    return fine.groupBy("split").agg(
+        F.sum("n").alias("rows"), F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("labels")
+    )
+
+
 def word_count_by_label(features: DataFrame, approximate: bool = False) -> DataFrame:
     """Rows, mean, median, 90th percentile and maximum of words per dataset and label."""
     counted = word_histogram(features, "dataset_label", "label_normalized")
@@ -172,13 +162,12 @@ def word_count_histogram(features: DataFrame, bins: int = 30) -> DataFrame:
     )
 
 
-def word_count_box(features: DataFrame, by_dataset: bool = True, trim: bool | None = None) -> DataFrame:
+def word_count_box(features: DataFrame, by_dataset: bool = True, trim: bool = False) -> DataFrame:
     """Quartiles and whiskers (furthest value within 1.5 interquartile ranges) of words per label.
 
-    By default the per-dataset boxes use trimmed lengths and the overall ones all lengths.
+    ``trim`` leaves out lengths beyond the 99th percentile of all rows first.
     """
     by = ["dataset_label", "label_normalized"] if by_dataset else ["label_normalized"]
-    trim = by_dataset if trim is None else trim
     counted = _trimmed(features) if trim else cut_lineage(word_histogram(features, *by))
     counted = counted.groupBy(*by, "word_count").agg(F.sum("n").alias("n"))
     # Quartiles join back onto the histogram, which has one row per length.
@@ -201,7 +190,7 @@ def display_names(df: DataFrame, column: str, names: dict[str, str], target: str
     return df.withColumn(target, chain.otherwise(F.col(column)) if names else F.col(column))
 
 
-def evidence_latest(table: DataFrame, order: str, rows: int = 100) -> DataFrame:
+def evidence_latest(table: DataFrame, order: str, rows: int) -> DataFrame:
     """Newest rows of a control table, as a top-k rather than a full sort."""
     rest = [c for c in table.columns if c != order]
     return table.orderBy(F.col(order).desc(), *rest).limit(rows)

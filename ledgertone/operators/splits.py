@@ -13,9 +13,15 @@ from pyspark.sql import functions as F
 
 from ledgertone.functions.text import seeded_hash
 from ledgertone.schemas import LABELS, SPLITS
-from ledgertone.session import cut_lineage, small_side
+from ledgertone.session import cut_lineage, small_side, stage
 
 Cuts = Callable[[Column], list[Column]]
+TIE = "_tie"
+
+
+def with_tie(df: DataFrame) -> DataFrame:
+    """The rows with a number of their own, written once, so that a lost executor cannot number them anew."""
+    return stage(df.withColumn(TIE, F.monotonically_increasing_id()), "numbered")
 
 
 def split_cuts(total: Column) -> list[Column]:
@@ -38,16 +44,13 @@ def _place(df: DataFrame, groups: list[str], cuts: DataFrame, order: Column, nam
     return joined.withColumn("_segment", segment).drop("_order", *[f"_g_{g}" for g in groups], *names)
 
 
-def hash_segments(df: DataFrame, groups: Sequence[str], hashed: Column, cuts: Cuts) -> DataFrame:
-    """Adds ``_segment`` by position in hash order within each group.
+def _hash_cuts(df: DataFrame, groups: list[str], hashed: Column, cuts: Cuts) -> tuple[DataFrame, list[str]]:
+    """Per group the hash at each cut position (``_cut0``, ...), and how many rows of that very hash lie at or
+    before the position (``_take0``, ...).
 
     A hash is uniform, so a histogram over its first 16 bits (at most 65,536 rows per group, combined
-    map-side) tells in which bucket a cut falls; only those buckets are looked at more closely. Copies
-    of a key share a hash and therefore a segment.
+    map-side) tells in which bucket a cut falls; only those buckets are looked at more closely.
     """
-    groups = list(groups) or ["_all"]
-    if groups == ["_all"]:
-        df = df.withColumn("_all", F.lit(0))
     keys = df.select(*groups, hashed.alias("_h")).withColumn("_bucket", F.substring("_h", 1, 4))
     histogram = keys.groupBy(*groups, "_bucket").agg(F.count("*").alias("_n"))
     upto = F.sum("_n").over(W.partitionBy(*groups).orderBy("_bucket"))
@@ -71,9 +74,22 @@ def hash_segments(df: DataFrame, groups: Sequence[str], hashed: Column, cuts: Cu
     )
     reached = F.sum("_n").over(W.partitionBy(*groups, "_cut").orderBy("_h"))
     at_cut = inside.withColumn("_reached", reached).where(F.col("_reached") >= F.col("_need"))
+    take = F.col("_need") - (F.col("_reached") - F.col("_n"))
+    of = {n: F.when(F.col("_cut") == n, F.col("_h")) for n in names}
     found = at_cut.groupBy(*groups).agg(
-        *[F.min(F.when(F.col("_cut") == n, F.col("_h"))).alias(n) for n in names]
+        *[F.min(h).alias(n) for n, h in of.items()],
+        *[F.min_by(take, h).alias(n.replace("cut", "take")) for n, h in of.items()],
     )
+    return found, names
+
+
+def hash_segments(df: DataFrame, groups: Sequence[str], hashed: Column, cuts: Cuts) -> DataFrame:
+    """Adds ``_segment`` by position in hash order within each group. Copies of a key share a hash and therefore a
+    segment, which moves as a block: the sizes are exact where the key is unique."""
+    groups = list(groups) or ["_all"]
+    if groups == ["_all"]:
+        df = df.withColumn("_all", F.lit(0))
+    found, names = _hash_cuts(df, groups, hashed, cuts)
     return _place(df, groups, found, hashed, names).drop("_all")
 
 
@@ -117,13 +133,18 @@ def _named(segment: Column) -> Column:
 def sequential_split(
     df: DataFrame, order: Sequence[str], group: str = "dataset_label", split: str = "split"
 ) -> DataFrame:
-    """60/20/20 by position, given splits in the order train, validation, test, then any others by name."""
+    """60/20/20 by position, given splits in the order train, validation, test, then any others by name.
+
+    Rows with equal order keys, or all rows of a given split without any, follow in the order in which the input
+    lies. They are numbered for that and written once; the number also parts them over the range partitions.
+    """
+    df = with_tie(df)
     given = F
     for number, name in enumerate(SPLITS):
         given = given.when(F.col(split) == name, F.lit(number))
     place = F.struct(
         given.otherwise(F.lit(len(SPLITS))).alias("p"), F.coalesce(F.col(split), F.lit("")).alias("s"),
-        *[F.col(c).alias(f"k{i}") for i, c in enumerate(order)],
+        *[F.col(c).alias(f"k{i}") for i, c in enumerate([*order, TIE])],
     )
     keys = df.select(group, place.alias("_place"))
     ranked = distributed_rank(keys, ["_place"], [group])
@@ -138,23 +159,34 @@ def sequential_split(
         *[F.max(F.when(F.col("rank") == F.col(f"_e{i}"), F.col("_place"))).alias(f"_cut{i}") for i in range(2)]
     )
     placed = _place(df, [group], found, place, ["_cut0", "_cut1"])
-    return placed.withColumn(split, _named(F.col("_segment"))).drop("_segment")
+    return placed.withColumn(split, _named(F.col("_segment"))).drop("_segment", TIE)
 
 
 def shuffled_split(
     df: DataFrame, key: str, group: str = "dataset_label", seed: int = 42, split: str = "split"
 ) -> DataFrame:
-    """60/20/20 per dataset in a seeded random order."""
+    """60/20/20 per dataset in a seeded random order of the key.
+
+    Rows that share a key stay together, so a text with many copies can shift the shares by its own; with a unique
+    key they are exact.
+    """
     placed = hash_segments(df, [group], seeded_hash(seed, key), split_cuts)
     return placed.withColumn(split, _named(F.col("_segment"))).drop("_segment")
 
 
 def stratified_split(
     df: DataFrame, key: str, label: str = "label_normalized", seed: int = 42, split: str = "split",
-    min_rows: int = 20, min_per_class: int = 3,
+    min_rows: int = 0, min_per_class: int = 0,
 ) -> DataFrame:
-    """60/20/20 per label; unstratified for rare or single classes; all train for very few rows."""
+    """60/20/20 per label.
+
+    On request: all train below ``min_rows`` rows, and one split over all labels if there is one label only or one
+    with fewer than ``min_per_class`` rows.
+    """
     rows = df.where(F.col("text").isNotNull() & (F.length("text") > 0) & F.col(label).isin(*LABELS))
+    if not (min_rows or min_per_class):
+        placed = hash_segments(rows, [label], seeded_hash(seed, key), split_cuts)
+        return placed.withColumn(split, _named(F.col("_segment"))).drop("_segment")
     # At most three rows come back: one count per label.
     counts = [r["n"] for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()]
     if sum(counts) < min_rows:
@@ -165,18 +197,26 @@ def stratified_split(
 
 
 def take_per_group(df: DataFrame, groups: Sequence[str], count: int, key: str, seed: int = 42) -> DataFrame:
-    """At most ``count`` rows per group, drawn by seeded hash.
+    """Exactly ``count`` rows of each group, or all if it has fewer, by seeded hash of the key.
 
-    Small counts use the map-side group limit; beyond its planner threshold the cut is found as for splits.
+    Rows that share a key are ordered by their whole content. Rows before the cut are kept as they lie; those at the
+    cut are equal in every column, so the right number of copies of one of them is made.
     """
-    hashed = seeded_hash(seed, key)
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if count <= limit:
-        order = W.partitionBy(*groups).orderBy("_h", key)
-        ranked = df.withColumn("_h", hashed).withColumn("_rn", F.row_number().over(order))
-        return ranked.where(F.col("_rn") <= count).drop("_rn", "_h")
-    placed = hash_segments(df, groups, hashed, lambda total: [F.least(total, F.lit(count).cast("bigint"))])
-    return placed.where(F.col("_segment") == 0).drop("_segment")
+    whole = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+    rows = df.withColumn("_o", F.concat(seeded_hash(seed, key), whole))
+    groups = list(groups)
+    found, _ = _hash_cuts(
+        rows, groups, F.col("_o"), lambda total: [F.least(total, F.lit(count).cast("bigint"))]
+    )
+    side = small_side(found.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_cut0", "_take0"))
+    same = F.lit(True)
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    near = rows.join(side, same).where(F.col("_o") <= F.col("_cut0"))
+    before = near.where(F.col("_o") < F.col("_cut0")).select(*df.columns)
+    at_cut = near.where(F.col("_o") == F.col("_cut0")).groupBy(*df.columns).agg(F.max("_take0").alias("_n"))
+    copies = at_cut.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
+    return before.unionByName(copies.select(*df.columns))
 
 
 def stratified_sample(

@@ -2,12 +2,15 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
+_SCOPES: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,8 +32,36 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a staged table; never reused, so reruns cannot collide."""
-    return f"{shared_dir(spark)}/ledgertone/{uuid.uuid4().hex}/{name}"
+    """A fresh path for a staged table; never reused, so reruns cannot collide.
+
+    The innermost open ``scratch_scope`` owns it; without one it is left to who empties the shared folder.
+    """
+    folder = f"{shared_dir(spark)}/ledgertone/{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(folder)
+    return f"{folder}/{name}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder on whatever file system the path names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end, also after an error. Write or collect results before it ends."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for folder in _SCOPES.pop():
+            remove_path(spark, folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

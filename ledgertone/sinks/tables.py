@@ -1,7 +1,5 @@
 """Table and file sinks. Parquet throughout; every write can be repeated."""
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,8 +9,6 @@ from ledgertone.schemas import CONTROL_TABLES
 from ledgertone.session import stage
 from ledgertone.sources.columns import with_safe_names
 
-RESULT_COLUMNS = ("run_id", "step", "status", "message", "rows_written", "event_ts")
-
 
 def registry_tables(spark: SparkSession, database: str) -> list[str]:
     """Create the control tables that are missing."""
@@ -55,17 +51,19 @@ def evolve_and_append(df: DataFrame, table: str) -> None:
 
 
 def append_new_rows(
-    batch: DataFrame, table: str, key: str = "source_record_hash", order_by: Sequence[str] = ()
+    batch: DataFrame, table: str, key: str = "source_record_hash", rebuild: bool = False
 ) -> DataFrame:
     """Append the rows whose key the table lacks; returns exactly the rows appended.
 
-    The new rows are staged before the append. Everything that is counted or audited afterwards reads
+    A table of an older layout, without the key, cannot be compared. That is an error, unless the caller asks for
+    a rebuild, which drops it. The new rows are staged before the append. Everything that is counted or audited afterwards reads
     the staged rows, not a plan that would look at the grown table again.
     """
     spark = batch.sparkSession
     known = table_exists(spark, table)
     if known and key not in spark.table(table).columns:
-        # A table of an older layout cannot be compared; it is built anew.
+        if not rebuild:
+            raise ValueError(f"table {table} has no column {key}; pass rebuild=True to drop it and start anew")
         spark.sql(f"DROP TABLE {table}")
         known = False
     fresh = stage(new_rows(batch, spark.table(table), key) if known else batch, "append")
