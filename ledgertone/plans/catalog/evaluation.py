@@ -96,9 +96,10 @@ def confusion_matrix(spark, sf_dir):
     return E.confusion_matrix(I.predictions(spark, sf_dir), ["model_key"])
 
 
-_HISTORY = ", ".join(
-    f"arg_max({field}, seq) FILTER ({field} IS NOT NULL) AS {name}" for name, field in E.HISTORY_FIELDS.items()
-)
+_HISTORY = """arg_max(loss, seq) FILTER (loss IS NOT NULL) AS train_loss,
+    arg_max(eval_loss, seq) FILTER (eval_loss IS NOT NULL) AS validation_loss,
+    arg_max(eval_accuracy, seq) FILTER (eval_accuracy IS NOT NULL) AS validation_accuracy,
+    arg_max(eval_macro_f1, seq) FILTER (eval_macro_f1 IS NOT NULL) AS validation_macro_f1"""
 
 
 @query(
@@ -114,12 +115,14 @@ def training_history(spark, sf_dir):
     "phase_epochs",
     f"""WITH {Q.EVENTS}, h AS (SELECT run_id, phase, round(epoch, 4) AS epoch,
       arg_max(loss, seq) FILTER (loss IS NOT NULL) AS train_loss FROM training_events
-      GROUP BY run_id, phase, round(epoch, 4))
-    SELECT *, CAST(row_number() OVER (PARTITION BY run_id ORDER BY phase, epoch) AS INTEGER) AS epoch_index FROM h""",
+      GROUP BY run_id, phase, round(epoch, 4)),
+    began AS (SELECT run_id, phase, min(seq) AS started FROM training_events GROUP BY run_id, phase)
+    SELECT h.*, CAST(row_number() OVER (PARTITION BY run_id ORDER BY started, epoch) AS INTEGER) AS epoch_index
+    FROM h JOIN began USING (run_id, phase)""",
 )
 def phase_epochs(spark, sf_dir):
-    history = E.training_history(I.training_events(spark, sf_dir), ["run_id", "phase"])
-    return E.phase_epochs(history.select("run_id", "phase", "epoch", "train_loss"), ["run_id"])
+    history = E.training_history(I.training_events(spark, sf_dir), ["run_id", "phase"], first_seq=True)
+    return E.phase_epochs(history, ["run_id"]).select("run_id", "phase", "epoch", "train_loss", "epoch_index")
 
 
 @query(
@@ -221,9 +224,9 @@ def resolve_model_alias(spark, sf_dir):
 
 @query(
     "sample_predictions",
-    f"WITH {Q.PREDICTIONS} SELECT record_seq, text, label_normalized, prediction, CAST(score AS DOUBLE) AS score "
-    "FROM predictions WHERE model_key = 'm1'",
+    f"""WITH {Q.PREDICTIONS} SELECT model_key, record_seq, text, label_normalized, prediction,
+    CAST(score AS DOUBLE) AS score FROM predictions""",
 )
 def sample_predictions(spark, sf_dir):
-    scored = I.predictions(spark, sf_dir).where(F.col("model_key") == "m1")
-    return E.sample_predictions(I.labelled_records(spark, sf_dir), scored, "record_seq")
+    scored = I.predictions(spark, sf_dir)
+    return E.sample_predictions(I.labelled_records(spark, sf_dir), scored, "record_seq", ["model_key"])

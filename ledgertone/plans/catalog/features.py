@@ -14,9 +14,11 @@ from ledgertone.session import cut_lineage, stage
 
 VOCABULARY_SIZE = 2_000
 SEQUENCE_LENGTH = 64
-_FILTERS = T.SEQUENCE_FILTERS.replace("'", "''")
+MAX_FEATURES = 10_000
+# The characters that become blanks, written out here so that a wrong list in the code shows.
+_FILTERS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n'
 _TOKENS = (
-    f"list_filter(string_split(translate(lower(text), '{_FILTERS}', repeat(' ', {len(T.SEQUENCE_FILTERS)})), ' '), "
+    f"list_filter(string_split(translate(lower(text), '{_FILTERS}', repeat(' ', {len(_FILTERS)})), ' '), "
     "lambda t: t <> '')"
 )
 _VOCABULARY = f"""vocabulary AS (SELECT token, frequency, CAST(row_number() OVER (ORDER BY frequency DESC, token)
@@ -61,7 +63,7 @@ _TERMS = "regexp_extract_all(lower(text_clean), '[\\p{L}\\p{N}_]{2,}')"
       round(r / sqrt(sum(r * r) OVER (PARTITION BY source_record_hash)), 6) AS weight FROM raw""",
 )
 def tfidf_weights(spark, sf_dir):
-    weights = T.tfidf_weights(stage(gold(spark, sf_dir), "gold"), "source_record_hash")
+    weights = T.tfidf_weights(stage(gold(spark, sf_dir), "gold"), "source_record_hash", MAX_FEATURES)
     return weights.withColumn("weight", F.round("weight", 6))
 
 
@@ -69,11 +71,47 @@ def tfidf_weights(spark, sf_dir):
 def tfidf_logreg_fit(spark, sf_dir):
     """Metrics of the fitted baseline on the held-out rows."""
     rows = stage(gold(spark, sf_dir), "gold")
-    model = T.tfidf_logreg_fit(rows.where(F.col("split") == "train"))
+    model = T.tfidf_logreg_fit(rows.where(F.col("split") == "train"), MAX_FEATURES)
     scored = T.logreg_predict(model, rows.where(F.col("split") != "train"))
     return E.classification_metrics(scored.withColumn("model_key", F.lit("tfidf_logreg")), ["model_key"])
 
 
+@query(
+    "tfidf_logreg_terms",
+    f"""WITH {Q.GOLD}, words AS (SELECT source_record_hash, {_TERMS} AS w FROM gold WHERE split = 'train'),
+    terms AS (SELECT source_record_hash, unnest(list_concat(w, list_transform(range(1, len(w)),
+      lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM words),
+    feature AS (SELECT term, count(*) AS total, count(DISTINCT source_record_hash) AS df FROM terms GROUP BY term
+      ORDER BY total DESC, term LIMIT {MAX_FEATURES})
+    SELECT term, CAST(row_number() OVER (ORDER BY total DESC, term) - 1 AS BIGINT) AS place,
+      round(ln((1.0 + (SELECT count(*) FROM words)) / (1.0 + df)) + 1, 9) AS scale FROM feature""",
+)
+def tfidf_logreg_terms(spark, sf_dir):
+    """The fitted model's vocabulary, in its order, with the factor that each count is scaled by."""
+    rows = stage(gold(spark, sf_dir), "gold")
+    model = T.tfidf_logreg_fit(rows.where(F.col("split") == "train"), MAX_FEATURES, max_iter=1)
+    terms, factors = model.stages[0].vocabulary, model.stages[1].getScalingVec().toArray().tolist()
+    return spark.createDataFrame(
+        [(t, i, round(f, 9)) for i, (t, f) in enumerate(zip(terms, factors))], "term string, place bigint, scale double"
+    )
+
+
+@query(
+    "tfidf_logreg_scored",
+    f"WITH {Q.GOLD} SELECT split, label_normalized, count(*) AS rows, count(*) AS with_prediction, true AS in_range "
+    "FROM gold GROUP BY split, label_normalized",
+)
+def tfidf_logreg_scored(spark, sf_dir):
+    """Every row of every split is scored, with a label of the domain and a probability."""
+    rows = stage(gold(spark, sf_dir), "gold")
+    scored = T.logreg_predict(T.tfidf_logreg_fit(rows.where(F.col("split") == "train"), MAX_FEATURES, max_iter=5), rows)
+    return scored.groupBy("split", "label_normalized").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("prediction").isin("negative", "neutral", "positive")).alias(
+            "with_prediction"),
+        F.bool_and((F.col("score") >= 1 / 3) & (F.col("score") <= 1)).alias("in_range"),
+    )
+
+
 class BucketScorer:
     """Stands in for a model: label and score by a hash of the text, the same in any engine."""
 

@@ -1,6 +1,7 @@
 """Checks, conflicts and leaks."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgertone.operators import medallion as M
 from ledgertone.operators import quality as K
@@ -8,7 +9,7 @@ from ledgertone.plans import inputs as I
 from ledgertone.plans.catalog import sql as Q
 from ledgertone.plans.catalog.medallion import bronze, gold, silver_base, v1
 from ledgertone.plans.catalog.registry import query
-from ledgertone.session import cut_lineage
+from ledgertone.session import cut_lineage, scratch_path
 
 _DETAILS = "text_hash, text_raw, text_clean, label_normalized, split, dataset_id, dataset_label, source_platform"
 _CONFLICTS = "SELECT text_hash FROM v1 GROUP BY text_hash HAVING count(DISTINCT label_normalized) > 1"
@@ -144,9 +145,19 @@ def dq_v1_gold(spark, sf_dir):
 
 @query(
     "file_load_audit",
-    f"""WITH {Q.BRONZE} SELECT source_path, source_dataset AS source_name, 'batch-1' AS ingestion_batch_id,
-    count(*) AS rows_loaded FROM bronze GROUP BY ALL""",
+    f"""WITH {Q.BRONZE} SELECT source_dataset AS source_name, 'batch-1' AS ingestion_batch_id,
+    count(*) AS rows_loaded, true AS with_size, true AS with_time FROM bronze GROUP BY source_dataset""",
 )
 def file_load_audit(spark, sf_dir):
-    audit = K.file_load_audit(bronze(spark, sf_dir), "batch-1")
-    return audit.select("source_path", "source_name", "ingestion_batch_id", "rows_loaded")
+    """The rows are landed as files, so that the audit has sizes and times to report."""
+    root = scratch_path(spark, "landed")
+    rows = bronze(spark, sf_dir).drop("source_path")
+    rows.repartition("source_dataset").write.partitionBy("source_dataset").parquet(root)
+    schema = T.StructType([f for f in rows.schema if f.name != "source_dataset"] + [rows.schema["source_dataset"]])
+    landed = spark.read.schema(schema).parquet(root).withColumn("source_path", F.col("_metadata.file_path"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    audit = K.file_load_audit(landed, "batch-1", files.select("path", "length", "modificationTime"))
+    return audit.groupBy("source_name", "ingestion_batch_id").agg(
+        F.sum("rows_loaded").alias("rows_loaded"), F.min(F.col("file_size") > 0).alias("with_size"),
+        F.bool_and(F.col("modification_time").isNotNull()).alias("with_time"),
+    )

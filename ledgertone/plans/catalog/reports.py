@@ -61,21 +61,20 @@ def dataset_summary(spark, sf_dir):
     return R.dataset_summary(flagged(spark, sf_dir)).withColumn("avg_chars", F.round("avg_chars", 6))
 
 
-_SHARES = ", ".join(
-    f"{Q.np_round(f'count(*) FILTER (label_normalized = {chr(39)}{n}{chr(39)}) / count(*)', 3)} AS {n}"
-    for n in R.REPORT_LABELS
+@query(
+    "label_distribution",
+    f"""WITH {Q.FEATURES} SELECT dataset_label, label_normalized, count(*) AS rows,
+    round(count(*) / sum(count(*)) OVER (PARTITION BY dataset_label), 9) AS share
+    FROM features GROUP BY dataset_label, label_normalized""",
 )
-
-
-@query("label_distribution", f"WITH {Q.FEATURES} SELECT dataset_label, {_SHARES} FROM features GROUP BY dataset_label")
 def label_distribution(spark, sf_dir):
-    return R.label_distribution(features(spark, sf_dir))
-
+    return R.label_distribution(features(spark, sf_dir)).withColumn("share", F.round("share", 9))
 
-_SPLITS = ", ".join(f"count(*) FILTER (split = '{n}') AS {n}" for n in R.REPORT_SPLITS)
 
-
-@query("split_distribution", f"WITH {Q.FEATURES} SELECT dataset_label, {_SPLITS} FROM features GROUP BY dataset_label")
+@query(
+    "split_distribution",
+    f"WITH {Q.FEATURES} SELECT dataset_label, split, count(*) AS rows FROM features GROUP BY dataset_label, split",
+)
 def split_distribution(spark, sf_dir):
     return R.split_distribution(features(spark, sf_dir))
 
@@ -105,16 +104,14 @@ def word_count_by_label(spark, sf_dir):
 
 @query(
     "summarize_splits",
-    f"""WITH {Q.CANONICAL}, counted AS (SELECT split, label_normalized, {Q.WORDS} AS words FROM canonical
-      WHERE text IS NOT NULL AND split IS NOT NULL)
+    f"""WITH {Q.CANONICAL}, counted AS (SELECT split, label_normalized, {Q.WORDS} AS words FROM canonical)
     SELECT split, count(*) AS rows, {Q.np_round('avg(words)', 2)} AS mean_words,
     count(*) FILTER (label_normalized = 'negative') AS negative,
     count(*) FILTER (label_normalized = 'neutral') AS neutral,
     count(*) FILTER (label_normalized = 'positive') AS positive FROM counted GROUP BY split""",
 )
 def summarize_splits(spark, sf_dir):
-    rows = I.canonical_records(spark, sf_dir).where(F.col("text").isNotNull() & F.col("split").isNotNull())
-    return R.summarize_splits(rows)
+    return R.summarize_splits(I.canonical_records(spark, sf_dir))
 
 
 @query(
@@ -152,7 +149,7 @@ def _rounded_box(box):
 
 @query("word_count_box", f"WITH {Q.FEATURES}, {_TRIMMED}, {_box('trimmed', 'dataset_label, label_normalized')}")
 def word_count_box(spark, sf_dir):
-    return _rounded_box(R.word_count_box(features(spark, sf_dir)))
+    return _rounded_box(R.word_count_box(features(spark, sf_dir), trim=True))
 
 
 @query("word_count_box_overall", f"WITH {Q.FEATURES}, {_box('features', 'label_normalized')}")

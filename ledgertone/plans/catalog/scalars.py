@@ -220,9 +220,14 @@ SOURCES_SQL = f"""{Q.RAW}, sources AS (""" + " UNION ALL ".join(
 ) + ")"
 
 
-@query("standardize_source", f"WITH {SOURCES_SQL} SELECT * FROM sources WHERE dataset_label = 'multilingual_set'")
+@query("standardize_source", f"WITH {SOURCES_SQL} SELECT dataset_label, record_seq, split, text, label_normalized FROM sources")
 def standardize_source(spark, sf_dir):
-    return I.standardized_sources(spark, sf_dir)[1]
+    """Each of the four shapes, one under the other."""
+    columns = ("dataset_label", "record_seq", "split", "text", "label_normalized")
+    first, *rest = [df.select(*columns) for df in I.standardized_sources(spark, sf_dir)]
+    for df in rest:
+        first = first.union(df)
+    return first
 
 
 @query("union_canonical", f"WITH {SOURCES_SQL} SELECT * FROM sources")

@@ -7,7 +7,7 @@ from ledgertone.plans import inputs as I
 from ledgertone.plans.catalog import sql as Q
 from ledgertone.plans.catalog.medallion import bronze, gold
 from ledgertone.plans.catalog.registry import query, scratch_database
-from ledgertone.plans.catalog.reports import _SPLITS, features, model_features
+from ledgertone.plans.catalog.reports import features, model_features
 from ledgertone.schemas import CANONICAL, CONTROL_TABLES
 from ledgertone.session import scratch_path
 from ledgertone.sinks import tables as W
@@ -58,8 +58,8 @@ def overwrite_snapshot_partition(spark, sf_dir):
 
 @query(
     "write_reports_csv",
-    f"""WITH {Q.FEATURES} SELECT dataset_label, {_SPLITS}, '2024-01-31' AS snapshot_date FROM features
-    GROUP BY dataset_label""",
+    f"""WITH {Q.FEATURES} SELECT dataset_label, split, count(*) AS rows, '2024-01-31' AS snapshot_date FROM features
+    GROUP BY dataset_label, split""",
 )
 def write_reports_csv(spark, sf_dir):
     report = R.split_distribution(features(spark, sf_dir))
@@ -85,12 +85,11 @@ def write_raw_snapshot(spark, sf_dir):
 
 @query(
     "write_split_previews",
-    f"""WITH {Q.VALID} SELECT dataset_id, dataset_label, source_platform, split, text, label_normalized FROM valid
-    WHERE split IS NOT NULL""",
+    f"WITH {Q.VALID} SELECT dataset_id, dataset_label, source_platform, split, text, label_normalized FROM valid",
 )
 def write_split_previews(spark, sf_dir):
     path = scratch_path(spark, "split_previews")
-    rows = canonical_columns(canonical_valid(I.canonical_records(spark, sf_dir)).where(F.col("split").isNotNull()))
+    rows = canonical_columns(canonical_valid(I.canonical_records(spark, sf_dir)))
     W.write_split_previews(rows, path)
     stored = [f for f in CANONICAL.fields if f.name != "split"] + [CANONICAL["split"]]
     schema = type(CANONICAL)(stored)
@@ -99,16 +98,15 @@ def write_split_previews(spark, sf_dir):
 
 @query(
     "evolve_and_append",
-    f"""WITH {Q.PREDICTIONS} SELECT record_seq, prediction, CASE WHEN model_key = 'm2' THEN model_key END AS model_key,
-    CASE WHEN model_key = 'm2' THEN CAST(score AS DOUBLE) END AS score
-    FROM predictions WHERE model_key IN ('m1', 'm2')""",
+    f"""WITH {Q.PREDICTIONS} SELECT record_seq, prediction, CASE WHEN model_key <> 'm1' THEN model_key END AS model_key,
+    CASE WHEN model_key <> 'm1' THEN CAST(score AS DOUBLE) END AS score FROM predictions""",
 )
 def evolve_and_append(spark, sf_dir):
     """A table without score and model_key gains both with the second batch."""
     name = f"{scratch_database(spark)}.predictions"
     rows = I.predictions(spark, sf_dir)
     W.evolve_and_append(rows.where(F.col("model_key") == "m1").select("record_seq", "prediction"), name)
-    second = rows.where(F.col("model_key") == "m2").select("score", "model_key", "prediction", "record_seq")
+    second = rows.where(F.col("model_key") != "m1").select("score", "model_key", "prediction", "record_seq")
     W.evolve_and_append(second, name)
     return spark.table(name)
 

@@ -59,19 +59,27 @@ def scan_landing_csv(spark, sf_dir):
 @query(
     "union_csv_files",
     f"""WITH {Q.RAW} SELECT CAST(record_seq AS VARCHAR) AS record_seq,
-    CASE WHEN record_seq % 4 = 2 THEN text END AS text, CASE WHEN record_seq % 4 = 2 THEN label END AS polarity,
-    CASE WHEN record_seq % 4 = 3 THEN text END AS Sentence, CASE WHEN record_seq % 4 = 3 THEN label END AS Sentiment
-    FROM raw_records WHERE record_seq % 4 IN (2, 3)""",
+    CASE record_seq % 4 WHEN 0 THEN text END AS input, CASE record_seq % 4 WHEN 0 THEN label END AS output,
+    CASE WHEN record_seq % 4 IN (1, 3) THEN text END AS sentence, CASE record_seq % 4 WHEN 1 THEN label END AS label,
+    CASE record_seq % 4 WHEN 1 THEN language END AS language, CASE record_seq % 4 WHEN 2 THEN text END AS text,
+    CASE record_seq % 4 WHEN 2 THEN label END AS polarity, CASE record_seq % 4 WHEN 3 THEN label END AS sentiment
+    FROM raw_records""",
 )
 def union_csv_files(spark, sf_dir):
+    """Four shapes of files under one folder; column names that differ in case only are one column."""
     root = scratch_path(spark, "csv")
     sources = I.source_shapes(spark, sf_dir)
-    for name, frame in (("polarity", sources[2][0]), ("capitalised", sources[3][0])):
-        frame.drop("given_split").coalesce(2).write.options(**CSV_EXACT).csv(f"{root}/{name}")
+    for number, (frame, _) in enumerate(sources):
+        frame.drop("given_split").coalesce(2).write.options(**CSV_EXACT).csv(f"{root}/shape_{number}")
     # A file without text and label columns is left out.
     sources[0][0].select("record_seq", "given_split").coalesce(1).write.options(**CSV_EXACT).csv(f"{root}/other")
-    combined = S.union_csv_files(spark, S.list_files(spark, root, [".csv"]))
-    return combined.select("record_seq", "text", "polarity", "Sentence", "Sentiment")
+    combined = S.union_csv_files(
+        spark, S.list_files(spark, root, [".csv"]), (*S.CSV_TEXT_COLUMNS, "input"), (*S.CSV_LABEL_COLUMNS, "output")
+    )
+    return combined.select(
+        "record_seq", "input", "output", F.col("sentence").alias("sentence"), "label", "language", "text", "polarity",
+        F.col("sentiment").alias("sentiment"),
+    )
 
 
 @query(

@@ -68,7 +68,7 @@ def shuffled_split(spark, sf_dir):
       count(*) OVER (PARTITION BY g) AS n FROM grouped)""",
 )
 def stratified_split(spark, sf_dir):
-    rows = P.stratified_split(_rows(spark, sf_dir), "record_seq")
+    rows = P.stratified_split(_rows(spark, sf_dir), "record_seq", min_rows=20, min_per_class=3)
     return rows.select("record_seq", "label_normalized", "split")
 
 
@@ -98,12 +98,12 @@ def cap_split_rows(spark, sf_dir):
     f"""WITH {Q.RAW} SELECT record_seq, split FROM (SELECT *, row_number() OVER (
       PARTITION BY split ORDER BY {Q.seeded(7, 'record_seq')}) AS rk, count(*) OVER (PARTITION BY split) AS n
       FROM raw_records)
-    WHERE split IS NULL OR split <> 'train' OR rk <= 1500""",
+    WHERE split IS NULL OR split <> 'train' OR rk <= 400""",
 )
 def cap_split_rows_large(spark, sf_dir):
-    """A cap beyond the planner's group limit: the cut position is found by histogram."""
+    """A cap of some hundred rows, below what the split holds."""
     rows = I.raw_records(spark, sf_dir).select("record_seq", "split")
-    return P.cap_split_rows(rows, "train", 1500, "record_seq", seed=7)
+    return P.cap_split_rows(rows, "train", 400, "record_seq", seed=7)
 
 
 @query(

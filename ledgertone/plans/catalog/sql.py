@@ -1,8 +1,36 @@
 """SQL building blocks of the twins."""
 
-from ledgertone.functions.labels import ALIAS_PROFILES, SPLIT_ALIASES
 from ledgertone.plans.inputs import CANDIDATES, MODELS
 
+# Spellings of labels and splits, written out here so that a wrong list in the code shows.
+ALIAS_PROFILES = {
+    "words": {
+        "positive": ("positive", "mildly positive", "moderately positive", "strong positive"),
+        "negative": ("negative", "mildly negative", "moderately negative", "strong negative"),
+        "neutral": ("neutral",),
+    },
+    "signed": {
+        "positive": ("positive", "mildly positive", "moderately positive", "strong positive", "bullish", "pos",
+                     "positivo", "1"),
+        "negative": ("negative", "mildly negative", "moderately negative", "strong negative", "bearish", "neg",
+                     "negativo", "-1"),
+        "neutral": ("neutral", "neu", "neutro", "0"),
+    },
+    "ordinal": {
+        "positive": ("positive", "pos", "bullish", "mildly positive", "moderately positive", "strong positive", "2"),
+        "negative": ("negative", "neg", "bearish", "mildly negative", "moderately negative", "strong negative", "0"),
+        "neutral": ("neutral", "neu", "1"),
+    },
+    "silver": {
+        "positive": ("positive", "pos", "1", "bullish"),
+        "negative": ("negative", "neg", "-1", "bearish"),
+        "neutral": ("neutral", "neu", "0"),
+    },
+}
+SPLIT_ALIASES = {
+    "train": ("train", "training"), "validation": ("validation", "valid", "val"), "test": ("test", "testing"),
+}
+
 
 def quoted(values) -> str:
     return ", ".join("'" + v + "'" for v in values)
@@ -63,7 +91,7 @@ SELECT d.doc_id AS record_seq, concat('org/', d.source) AS dataset_id, d.source
   CASE WHEN d.doc_id % 4 = 3 THEN 'kaggle' ELSE 'huggingface' END AS source_platform, d.lang AS language,
   CASE d.doc_id % 10 WHEN 7 THEN 'Validation' WHEN 8 THEN ' test ' WHEN 9 THEN NULL ELSE 'train' END AS split,
   CASE WHEN d.doc_id % 97 = 0 THEN '  ' WHEN d.doc_id % 89 = 0 THEN NULL ELSE d.text END AS text,
-  CASE WHEN l.doc_id IS NULL THEN CASE WHEN d.doc_id % 5 = 0 THEN 'mixed' END
+  CASE WHEN l.doc_id IS NULL THEN CASE d.doc_id % 5 WHEN 0 THEN 'mixed' WHEN 1 THEN 'Negative' WHEN 2 THEN 'POS' END
     WHEN l.toxic = 1 THEN CASE d.doc_id % 3 WHEN 0 THEN 'Negative' WHEN 1 THEN ' bearish ' ELSE '-1' END
     WHEN l.quality = 1 THEN CASE d.doc_id % 3 WHEN 0 THEN 'positive' WHEN 1 THEN 'Bullish' ELSE 'mildly positive' END
     ELSE CASE d.doc_id % 3 WHEN 0 THEN 'Neutral' WHEN 1 THEN 'NEU' ELSE '0' END END AS label
@@ -220,7 +248,7 @@ requests AS (SELECT position, payload,
     WHEN 4 THEN 'Record is missing data.' END AS error_message FROM stream_records)"""
 
 EVENTS = """training_events AS (SELECT concat('run-', user_id % 5) AS run_id,
-  CASE WHEN user_id % 2 = 0 THEN 'head' ELSE 'tuning' END AS phase,
+  CASE WHEN user_id % 2 = 0 THEN 'warmup' ELSE 'finetune' END AS phase,
   (user_id % 20) + (event_id % 3) * CAST(0.00004 AS DOUBLE) AS epoch, event_id AS seq,
   CASE WHEN event_id % 4 = 0 THEN value END AS loss, CASE WHEN event_id % 4 = 1 THEN value END AS eval_loss,
   CASE WHEN event_id % 4 = 2 THEN value END AS eval_accuracy,

@@ -25,11 +25,11 @@ CANDIDATES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. A small file is a task or two, however many cores there are; such an input is spread
-    out before the text work. Inputs with enough partitions are left as they lie."""
+    """A driver table as it lies. A session may name a number of partitions to spread its inputs over, for
+    tables of one row group, which no scan setting can split."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    spread = spark.conf.get("spark.ledgertone.inputPartitions", None)
+    return df.repartition(int(spread)) if spread else df
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,11 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.when(number % 3 == 0, a).when(number % 3 == 1, b).otherwise(c)
 
     label = (
-        F.when(F.col("toxic").isNull(), F.when(number % 5 == 0, "mixed"))
+        # Documents without a label: copies of a text get labels that disagree.
+        F.when(
+            F.col("toxic").isNull(),
+            F.when(number % 5 == 0, "mixed").when(number % 5 == 1, "Negative").when(number % 5 == 2, "POS"),
+        )
         .when(F.col("toxic") == 1, pick("Negative", " bearish ", "-1"))
         .when(F.col("quality") == 1, pick("positive", "Bullish", "mildly positive"))
         .otherwise(pick("Neutral", "NEU", "0"))
@@ -86,7 +90,10 @@ def bronze_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base64 request records: missing ids, blank texts, broken JSON, non-objects, empty data, valid ones."""
+    """Base64 request records: missing ids, blank texts, broken JSON, non-objects, empty data, valid ones.
+
+    ``arrived_at`` is when the log took the record.
+    """
     events = table(spark, sf_dir, "events")
     kind = F.col("event_id") % 50
     request = F.concat(F.lit('{"request_id":"req-'), F.col("event_id").cast("string"), F.lit('","text":"'))
@@ -104,7 +111,8 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return events.select(
-        F.col("event_id").alias("position"), F.base64(payload.cast("binary")).alias("data")
+        F.col("event_id").alias("position"), F.base64(payload.cast("binary")).alias("data"),
+        F.to_timestamp(F.lit("2024-06-01 00:00:00")).alias("arrived_at"),
     )
 
 
@@ -195,7 +203,7 @@ def training_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     metric = {"loss": 0, "eval_loss": 1, "eval_accuracy": 2, "eval_macro_f1": 3}
     return events.select(
         F.concat(F.lit("run-"), (F.col("user_id") % 5).cast("string")).alias("run_id"),
-        F.when(F.col("user_id") % 2 == 0, "head").otherwise("tuning").alias("phase"),
+        F.when(F.col("user_id") % 2 == 0, "warmup").otherwise("finetune").alias("phase"),
         ((F.col("user_id") % 20) + (F.col("event_id") % 3) * F.lit(0.00004).cast("double")).alias("epoch"),
         F.col("event_id").alias("seq"),
         *[F.when(kind == number, F.col("value")).alias(name) for name, number in metric.items()],

@@ -1,5 +1,6 @@
 """Ingest, bronze, silver and gold jobs. Operators build plans; the jobs own every write and every log row."""
 
+import json
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -9,10 +10,11 @@ from pyspark.sql import functions as F
 from ledgertone.functions.text import record_hash
 from ledgertone.operators import medallion as M
 from ledgertone.operators import quality as K
+from ledgertone.operators import reports as R
 from ledgertone.operators import splits as P
 from ledgertone.operators.dedup import keep_first
-from ledgertone.schemas import CONTROL_TABLES, LABELS, SPLITS
-from ledgertone.session import stage
+from ledgertone.schemas import CANONICAL_BATCH, CONTROL_TABLES, LABELS, SPLITS
+from ledgertone.session import path_exists, scratch_path, scratch_scope, stage
 from ledgertone.sinks import tables as W
 from ledgertone.sources import readers as S
 from ledgertone.sources.columns import union_by_name
@@ -56,9 +58,15 @@ def ingest_source(
 
     Yields a manifest row after each write, so that what was saved before a failure stays on record.
 
-    With a seed rows are drawn by a hash of their content, so copies share a split. Without one the
-    split is positional in the order of the ``order`` columns.
+    With a seed rows are drawn by a hash of their content, so copies share a split (and move as a block: a text with
+    very many copies shifts 60/20/20 by its own). Without one the split is positional in the order of the ``order``
+    columns, then in that of the files. What is staged on the way is removed at the end.
     """
+    with scratch_scope(spark):
+        yield from _ingest_source(spark, space, spec, splits, batch_id, order, seed)
+
+
+def _ingest_source(spark, space, spec, splits, batch_id, order, seed) -> Iterator[dict]:
     for name, frame in splits.items():
         path = f"{space.root}/raw/{spec.source_platform}/{spec.key}/{name}"
         counted = Observation()
@@ -87,10 +95,13 @@ def ingest_source(
     # Rows of one hash agree in every column, so any order picks the same row.
     unique = keep_first(rows, ["source_record_hash"], ["split"])
     unique.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    yield {
-        "status": "canonical_parquet_saved", "split_name": "all", "rows_written": counted.get["rows"],
-        "canonical_parquet_path": path,
-    }
+    saved = {"status": "canonical_parquet_saved", "canonical_parquet_path": path}
+    # Rows by split and label, for the manifest: a handful of rows, read back from the table.
+    written = spark.read.schema(unique.schema).parquet(path)
+    for row in R.split_label_counts(written).collect():
+        counts = json.dumps(dict(sorted((k or "missing", n) for k, n in row["labels"].items())))
+        yield {**saved, "split_name": row["split"] or "unspecified", "rows_written": row["rows"], "label_counts": counts}
+    yield {**saved, "split_name": "all", "rows_written": counted.get["rows"]}
 
 
 def ingest(
@@ -112,7 +123,7 @@ def ingest(
         except Exception as error:  # any source may fail in its own way; the others go on
             failed.append(spec.key)
             manifest.append(
-                {**facts, "status": "failed", "split_name": spec.default_split, "error_message": str(error)[:1000]}
+                {**facts, "status": "failed", "split_name": spec.default_split, "error_message": str(error)}
             )
     schema = CONTROL_TABLES["source_dataset_manifest"]
     names = [f.name for f in schema.fields if f.name != "event_ts"]
@@ -134,7 +145,7 @@ def ingest(
 
 def combined_canonical(spark: SparkSession, space: Workspace) -> DataFrame:
     """All sources together, one row per record hash."""
-    rows = S.scan_canonical(spark, space.canonical)
+    rows = S.scan_canonical(spark, space.canonical, CANONICAL_BATCH)
     return keep_first(rows, ["source_record_hash"], ["source_path"])
 
 
@@ -142,13 +153,18 @@ def load_bronze(
     spark: SparkSession, space: Workspace, batch_id: str, landing: str | None = None, demo_if_empty: bool = False
 ) -> int:
     """New canonical or landing rows into bronze; a repeated run adds nothing."""
+    with scratch_scope(spark):
+        return _load_bronze(spark, space, batch_id, landing, demo_if_empty)
+
+
+def _load_bronze(spark, space, batch_id, landing, demo_if_empty) -> int:
     if landing is not None:
         root, raw = landing, S.scan_landing_csv(spark, landing)
     else:
         root = space.canonical
         if demo_if_empty and not _has_files(spark, root):
             S.demo_rows(spark).write.mode("overwrite").parquet(f"{root}/demo")
-        raw = S.scan_canonical(spark, root)
+        raw = S.scan_canonical(spark, root, CANONICAL_BATCH)
     rows = M.dedup_by_hash(M.bronze_filter(M.bronze_stage(raw, landing=landing is not None)))
     # Random ids are drawn once: the staged rows are what is appended, counted and audited.
     fresh = W.append_new_rows(M.technical_columns(rows, batch_id), space.table("bronze"))
@@ -164,28 +180,33 @@ def load_bronze(
 
 
 def _has_files(spark: SparkSession, root: str) -> bool:
-    try:
-        return bool(S.list_files(spark, root, [".parquet"]))
-    except Exception:  # the folder does not exist yet
-        return False
+    """Whether the folder is there with a table file in it; an error while listing is an error."""
+    return path_exists(spark, root) and bool(S.list_files(spark, root, [".parquet"]))
 
 
 def _store_checks(spark, space, checks: DataFrame, run_id: str) -> list:
     """Checks are a handful of rows: stored first, enforced after, so a failed run leaves its evidence."""
     stamped = checks.withColumns({"run_id": F.lit(run_id), "event_ts": F.current_timestamp()})
-    kept = stage(stamped, "checks")
-    W.evolve_and_append(kept, space.table("data_quality_results"))
-    return K.enforce(kept)
+    with scratch_scope(spark):
+        kept = stage(stamped, "checks")
+        W.evolve_and_append(kept, space.table("data_quality_results"))
+        return K.enforce(kept)
 
 
 def build_silver(spark: SparkSession, space: Workspace, run_id: str) -> int:
     """Silver and quarantine; the checks use what the two writes counted, without another pass."""
-    base = M.silver_base(spark.table(space.table("bronze")))
-    valid, rejected = M.silver_valid(base), M.silver_quarantine(base)
     counts, refused = Observation(), Observation()
     seen = [F.max((F.col("label_normalized") == name).cast("int")).alias(name) for name in LABELS]
-    W.overwrite_table(valid.observe(counts, F.count(F.lit(1)).alias("rows"), *seen), space.table("silver"))
-    W.overwrite_table(rejected.observe(refused, F.count(F.lit(1)).alias("rows")), space.table("silver_quarantine"))
+    with scratch_scope(spark):
+        # Cleaned once: both tables read the part of the staged rows that is theirs.
+        path = scratch_path(spark, "silver_base")
+        base = M.silver_flag(M.silver_base(spark.table(space.table("bronze"))))
+        base.write.partitionBy("is_valid").parquet(path)
+        base = spark.read.schema(base.schema).parquet(path)
+        valid = M.silver_valid(base.where("is_valid"))
+        rejected = M.silver_quarantine(base.where("NOT is_valid").drop("is_valid"))
+        W.overwrite_table(valid.observe(counts, F.count(F.lit(1)).alias("rows"), *seen), space.table("silver"))
+        W.overwrite_table(rejected.observe(refused, F.count(F.lit(1)).alias("rows")), space.table("silver_quarantine"))
     good, bad = counts.get["rows"], refused.get["rows"]
     classes = sum(counts.get[name] or 0 for name in LABELS)
     measured = spark.createDataFrame(

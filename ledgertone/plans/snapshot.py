@@ -4,14 +4,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgertone.functions.text import record_hash
 from ledgertone.operators import medallion as M
 from ledgertone.operators import reports as R
+from ledgertone.operators import splits as P
+from ledgertone.session import scratch_scope
 from ledgertone.sinks import tables as W
 from ledgertone.sources import readers as S
 
-ROW_KEY = ("source_platform", "dataset_id", "split", "text", "label_normalized")
-
 
 def curate(spark: SparkSession, raw_root: str) -> DataFrame:
     return M.curated_select(S.scan_glob(spark, raw_root))
@@ -22,20 +21,20 @@ def write_snapshot(
 ) -> dict[str, str]:
     """Replace one date's features and reports. The reports read the features as written.
 
-    ``key`` names a unique row order; without one, rows are ordered by their content, which leaves open
-    only which of several identical rows counts as the first.
+    ``key`` names a unique row order; without one, rows are numbered as they lie, in a staged copy that is removed
+    again, so that of identical rows exactly one is the first.
     """
-    order = list(key)
-    if not order:
-        curated = curated.withColumn("_key", record_hash(*ROW_KEY))
-        order = ["_key"]
-    features = R.model_features(curated, order, snapshot_date).drop(*order)
-    W.overwrite_snapshot_partition(features, f"{base}/model_features")
+    with scratch_scope(spark):
+        order = list(key)
+        if not order:
+            curated, order = P.with_tie(curated), [P.TIE]
+        features = R.model_features(curated, order, snapshot_date).drop(*order)
+        W.overwrite_snapshot_partition(features, f"{base}/model_features")
     stored = S.scan_snapshot(spark, f"{base}/model_features", snapshot_date)
     reports = {
         "dataset_summary": R.dataset_summary(stored),
-        "label_distribution": R.label_distribution(stored, None),
-        "split_distribution": R.split_distribution(stored, None),
+        "label_distribution": R.label_distribution(stored),
+        "split_distribution": R.split_distribution(stored),
         "word_count_by_label": R.word_count_by_label(stored),
     }
     return W.write_reports_csv(reports, base, snapshot_date)

@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 from ledgertone.operators import evaluation as E
 from ledgertone.operators import features as T
 from ledgertone.operators import medallion as M
+from ledgertone.operators import reports as R
 from ledgertone.operators import scoring as G
 from ledgertone.operators import splits as P
 from ledgertone.plans.medallion import Workspace, _log
-from ledgertone.schemas import CONTROL_TABLES
-from ledgertone.session import cut_lineage, stage
+from ledgertone.schemas import CONTROL_TABLES, EVIDENCE_ORDER
+from ledgertone.session import cut_lineage, scratch_scope, stage
 from ledgertone.sinks import tables as W
+from ledgertone.sources import readers as S
 
-EVAL_ROWS_PER_CLASS = 75
 REGISTERED_MODEL = "sentiment_classifier"
+MAX_FEATURES = 10_000
+SAMPLE_ROWS = 5  # per class and candidate, to look at
 
 # (training rows, evaluation rows) -> evaluation rows with prediction and score
 Fit = Callable[[DataFrame, DataFrame], DataFrame]
@@ -32,7 +35,7 @@ class Candidate:
 
 
 def baseline(train: DataFrame, evaluation: DataFrame) -> DataFrame:
-    return T.logreg_predict(T.tfidf_logreg_fit(train), evaluation)
+    return T.logreg_predict(T.tfidf_logreg_fit(train, MAX_FEATURES), evaluation)
 
 
 def scorer_candidate(load: Callable[[], G.Scorer]) -> Fit:
@@ -42,13 +45,26 @@ def scorer_candidate(load: Callable[[], G.Scorer]) -> Fit:
 
 def train_candidates(
     spark: SparkSession, space: Workspace, candidates: Sequence[Candidate], batch_id: str, fallback: bool = True,
-    eval_rows_per_class: int = EVAL_ROWS_PER_CLASS, seed: int = 42,
+    eval_rows_per_class: int | None = None, seed: int = 42,
 ) -> DataFrame:
-    """One metrics row per candidate. A failing one leaves a FAILED row and, if allowed, the baseline steps in."""
+    """One metrics row per candidate, from all held-out rows unless a number per class is asked for.
+
+    A failing candidate leaves a FAILED row and, if allowed, the baseline steps in. The classification report, the
+    confusion matrix and some predictions of each candidate are stored beside the metrics.
+    """
+    with scratch_scope(spark):
+        _train_candidates(spark, space, candidates, batch_id, fallback, eval_rows_per_class, seed)
+    metrics = spark.table(space.table("model_candidate_metrics"))
+    return metrics.where(F.col("training_batch_id") == batch_id)
+
+
+def _train_candidates(spark, space, candidates, batch_id, fallback, eval_rows_per_class, seed) -> None:
     gold = spark.table(space.table("gold"))
     train = gold.where(F.col("split") == "train")
     held_out = M.eval_set(gold).select("source_record_hash", "text_clean", "label_normalized")
-    evaluation = stage(P.stratified_sample(held_out, eval_rows_per_class, "source_record_hash", seed=seed), "eval")
+    if eval_rows_per_class is not None:
+        held_out = P.stratified_sample(held_out, eval_rows_per_class, "source_record_hash", seed=seed)
+    evaluation = stage(held_out, "eval")
     train_rows = train.count()
     tried, scored = [], []
 
@@ -58,7 +74,7 @@ def train_candidates(
             scored.append(stage(rows.select("model_key", "source_record_hash", "label_normalized", "prediction"), "p"))
             tried.append((candidate, mode, None))
         except Exception as error:  # a candidate may fail in any way; the run records it
-            tried.append((candidate, mode, str(error)[:1000]))
+            tried.append((candidate, mode, str(error)))
             return False
         return True
 
@@ -89,21 +105,102 @@ def train_candidates(
     metrics = E.candidate_metrics(predictions, plan, ["model_key"]).withColumn("event_ts", F.current_timestamp())
     kept = stage(metrics.select(*CONTROL_TABLES["model_candidate_metrics"].fieldNames()), "metrics")
     W.evolve_and_append(kept, space.table("model_candidate_metrics"))
+    _store_evaluation(space, predictions, evaluation, batch_id, seed)
     _log(spark, space, batch_id, "train", "SUCCESS", f"candidates ok={len(scored)}", len(scored))
-    return kept
+
+
+def _store_evaluation(
+    space: Workspace, predictions: DataFrame, evaluation: DataFrame, batch_id: str, seed: int
+) -> None:
+    """Report, matrix and sample predictions, a row set per candidate."""
+    cells = cut_lineage(predictions)
+    sample = P.take_per_group(cells, ["model_key", "label_normalized"], SAMPLE_ROWS, "source_record_hash", seed)
+    texts = evaluation.select("source_record_hash", "text_clean")
+    outputs = {
+        "model_classification_report": E.classification_report(cells, ["model_key"]),
+        "model_confusion_matrix": E.confusion_matrix(cells, ["model_key"]),
+        "model_sample_predictions": sample.join(texts, "source_record_hash"),
+    }
+    for name, rows in outputs.items():
+        W.evolve_and_append(
+            rows.withColumns({"training_batch_id": F.lit(batch_id), "event_ts": F.current_timestamp()}),
+            space.table(name),
+        )
+
+
+def train_from_snapshot(
+    spark: SparkSession, base: str, snapshot_date: str, out: str, max_train_rows: int = 0, seed: int = 42,
+    fit: Callable[[DataFrame], object] | None = None, predict: Callable[[object, DataFrame], DataFrame] | None = None,
+) -> dict[str, str]:
+    """Trains on one dated feature snapshot and writes report, confusion matrix and metrics of its other splits.
+
+    ``max_train_rows`` caps the training split (0: all of it). Without ``fit`` and ``predict`` the baseline is used.
+    """
+    fit = fit or (lambda train: T.tfidf_logreg_fit(train, MAX_FEATURES, text="text", key="row_id"))
+    predict = predict or (lambda model, rows: T.logreg_predict(model, rows, text="text"))
+    with scratch_scope(spark):
+        rows = M.training_frame(S.scan_snapshot(spark, base, snapshot_date)).select("text", "label_normalized", "split")
+        rows = P.with_tie(rows).withColumnRenamed(P.TIE, "row_id")
+        model = fit(P.cap_split_rows(rows.where(F.col("split") == "train"), "train", max_train_rows, "row_id", seed))
+        scored = predict(model, rows.where(F.col("split") != "train"))
+        scored = stage(scored.select("split", "label_normalized", "prediction"), "scored")
+        written = {}
+        for name, report in {
+            "metrics": E.classification_metrics(scored, ["split"]),
+            "classification_report": E.classification_report(scored, ["split"]),
+            "confusion_matrix": E.confusion_matrix(scored, ["split"]),
+        }.items():
+            written[name] = f"{out}/snapshot_date={snapshot_date}/{name}"
+            report.write.mode("overwrite").parquet(written[name])
+        return written
+
+
+def register_models(
+    spark: SparkSession, space: Workspace, batch_id: str, threshold: float, best_only: bool = False,
+    metric: str = "macro_f1",
+) -> DataFrame:
+    """Registers the candidates of a training batch whose metric reaches the threshold, or the best one only.
+
+    Each gets the next version of its model. Nothing good enough is an error, as there is nothing to register.
+    """
+    metrics = spark.table(space.table("model_candidate_metrics")).where(F.col("training_batch_id") == batch_id)
+    runs = E.best_run(metrics, metric) if best_only else metrics.where(F.col("status") == "SUCCESS")
+    registry = space.table("model_registry")
+    versions = spark.table(registry) if W.table_exists(spark, registry) else None
+    gated = E.registration_gate(runs.drop("model_version"), versions, threshold, metric)
+    with scratch_scope(spark):
+        kept = stage(
+            gated.select("registered_model_name", "model_version", "run_id", "model_key", "training_batch_id", metric)
+            .withColumn("registered_ts", F.current_timestamp()), "registered",
+        )
+        count = kept.count()  # at most one row per candidate
+        if not count:
+            raise RuntimeError(f"no candidate of {batch_id} reaches {metric} >= {threshold}")
+        W.evolve_and_append(kept, registry)
+    _log(spark, space, batch_id, "register", "SUCCESS", f"registered {count} models", count)
+    return spark.table(registry).where(F.col("training_batch_id") == batch_id)
+
+
+def evidence(spark: SparkSession, space: Workspace, rows: int) -> dict[str, DataFrame]:
+    """The newest ``rows`` rows of each control table that exists, in the order of the pipeline."""
+    return {
+        name: R.evidence_latest(spark.table(space.table(name)), order, rows)
+        for name, order in EVIDENCE_ORDER.items() if W.table_exists(spark, space.table(name))
+    }
 
 
 def promote(spark: SparkSession, space: Workspace, batch_id: str, metric: str = "macro_f1") -> DataFrame:
     """Aliases for the best three models of the latest training batch."""
     top = E.promote_top3(spark.table(space.table("model_candidate_metrics")), metric)
     stamped = top.withColumns({"promotion_batch_id": F.lit(batch_id), "promoted_ts": F.current_timestamp()})
-    kept = stage(stamped.select(*CONTROL_TABLES["model_promotion_audit"].fieldNames()), "promoted")
-    rows = kept.count()  # at most three
-    if rows == 0:
-        raise RuntimeError("no successful model to promote")
-    W.evolve_and_append(kept, space.table("model_promotion_audit"))
+    with scratch_scope(spark):
+        kept = stage(stamped.select(*CONTROL_TABLES["model_promotion_audit"].fieldNames()), "promoted")
+        rows = kept.count()  # at most three
+        if rows == 0:
+            raise RuntimeError("no successful model to promote")
+        W.evolve_and_append(kept, space.table("model_promotion_audit"))
     _log(spark, space, batch_id, "promote", "SUCCESS", f"promoted {rows} models", rows)
-    return kept
+    return spark.table(space.table("model_promotion_audit")).where(F.col("promotion_batch_id") == batch_id)
 
 
 def predict_batch(
@@ -124,8 +221,9 @@ def predict_batch(
     rows = spark.table(space.table("inference_input")).select("source_record_hash", "text_clean")
     if rows.isEmpty():
         raise ValueError("no rows to predict")
-    kept = stage(G.batch_predictions(score(rows, found["model_key"]), model, batch_id), "predictions")
-    W.evolve_and_append(kept, space.table("batch_predictions"))
-    written = kept.count()
+    with scratch_scope(spark):
+        kept = stage(G.batch_predictions(score(rows, found["model_key"]), model, batch_id), "predictions")
+        W.evolve_and_append(kept, space.table("batch_predictions"))
+        written = kept.count()
     _log(spark, space, batch_id, "predict", "SUCCESS", f"{written} predictions", written)
-    return kept
+    return spark.table(space.table("batch_predictions")).where(F.col("prediction_batch_id") == batch_id)

@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "6g")
+        .config("spark.driver.memory", "6g").config("spark.ledgertone.inputPartitions", "8")
         .config("spark.checkpoint.dir", str(base / "checkpoints"))
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
         .getOrCreate()

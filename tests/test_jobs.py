@@ -1,7 +1,9 @@
 """The jobs end to end, run twice where that must change nothing."""
 
+import json
 import sys
 import uuid
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -58,7 +60,15 @@ def test_ingest(spark, space, ingested):
     manifest = spark.table(space.table("source_dataset_manifest"))
     by_status = {r[0]: r[1] for r in manifest.groupBy("status").count().collect()}
     # The broken source saves its raw file before its columns turn out to be missing.
-    assert by_status == {"raw_parquet_saved": 9, "canonical_parquet_saved": 4, "failed": 1, "skipped": 1}
+    saved = by_status.pop("canonical_parquet_saved")
+    assert by_status == {"raw_parquet_saved": 9, "failed": 1, "skipped": 1} and saved >= 8
+    for key in ("instruction_set", "polarity_set"):
+        mine = [r for r in manifest.where("canonical_parquet_path IS NOT NULL").collect() if key.split("_")[0] in r.dataset_key]
+        whole = [r.rows_written for r in mine if r.split_name == "all"]
+        parts = [r for r in mine if r.split_name != "all"]
+        assert sum(r.rows_written for r in parts) == sum(whole)
+        assert all(sum(json.loads(r.label_counts).values()) == r.rows_written for r in parts)
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("ledgertone/*/instruction*"))
     rows = J.combined_canonical(spark, space)
     assert rows.count() == rows.select("source_record_hash").distinct().count()
     shares = {r[0]: r[1] for r in rows.groupBy("split").count().collect()}
@@ -108,6 +118,24 @@ def test_train_promote_predict(spark, space, ingested):
     assert set(aliases) == {"Champion", "Challenger_1"}
     from ledgertone.operators.scoring import score_texts
 
+    held_out = spark.table(space.table("gold")).where("split IN ('validation', 'test')").count()
+    assert {r.eval_rows for r in metrics.where("status = 'SUCCESS'").collect()} == {held_out}
+    report = spark.table(space.table("model_classification_report"))
+    assert {r.model_key for r in report.collect()} == {"words", "broken_fallback_tfidf"}
+    matrix = spark.table(space.table("model_confusion_matrix")).where("model_key = 'words'")
+    assert matrix.selectExpr("sum(pred_negative + pred_neutral + pred_positive)").first()[0] == held_out
+    assert spark.table(space.table("model_sample_predictions")).where("text_clean IS NULL").count() == 0
+
+    with pytest.raises(RuntimeError, match="reaches"):
+        T.register_models(spark, space, "train-1", threshold=1.01)
+    assert [r.model_version for r in T.register_models(spark, space, "train-1", 0.0, best_only=True).collect()] == ["1"]
+    T.register_models(spark, space, "train-1", 0.0)
+    versions = sorted(r.model_version for r in spark.table(space.table("model_registry")).collect())
+    assert versions == ["1", "2", "3"]
+    shown = T.evidence(spark, space, 3)
+    assert list(shown)[:2] == ["source_dataset_manifest", "pipeline_run_log"]
+    assert shown["pipeline_run_log"].count() == 3 and shown["model_promotion_audit"].count() == 2
+
     predictions = T.predict_batch(spark, space, lambda rows, key: score_texts(rows, WordScorer), "predict-1")
     assert predictions.count() == spark.table(space.table("inference_input")).count()
     assert {r.model_alias for r in predictions.select("model_alias").distinct().collect()} == {"Champion"}
@@ -148,10 +176,22 @@ def test_snapshot_rerun(spark, sf_dir, tmp_path):
     for number, frame in enumerate(I.standardized_sources(spark, sf_dir)):
         frame.drop("record_seq").write.parquet(f"{root}/s{number}/canonical")
     curated = N.curate(spark, root)
+    hot = curated.limit(1)
+    for _ in range(6):
+        hot = hot.unionByName(hot)
+    curated = curated.unionByName(hot)
     for _ in range(2):
         reports = N.write_snapshot(spark, curated, base, "2024-01-31")
     stored = spark.read.parquet(f"{base}/model_features")
     assert stored.count() == curated.count()
+    plain = curated.withColumn("n", F.lit(1)).groupBy("dataset_label", F.lower(F.trim("text"))).count()
+    assert stored.where("NOT duplicate_within_dataset").count() == plain.count()  # also of identical rows, one is first
+    assert stored.where("NOT duplicate_global").count() == curated.select(F.lower(F.trim("text"))).distinct().count()
+    shares = spark.read.option("header", True).csv(reports["label_distribution"])
+    sums = shares.groupBy("dataset_label").agg(F.sum(F.col("share").cast("double")).alias("s")).collect()
+    assert all(abs(r.s - 1) < 1e-6 for r in sums)
+    trained = T.train_from_snapshot(spark, f"{base}/model_features", "2024-01-31", str(tmp_path / "model"))
+    assert spark.read.parquet(trained["metrics"]).where("eval_rows > 0").count() == 2
     summary = spark.read.option("header", True).csv(reports["dataset_summary"])
     assert summary.agg(F.sum(F.col("rows").cast("bigint"))).first()[0] == curated.count()
     with pytest.raises(FileNotFoundError):
@@ -160,9 +200,12 @@ def test_snapshot_rerun(spark, sf_dir, tmp_path):
         scan_snapshot(spark, f"{base}/model_features", "1999-01-01")
 
 
-def test_older_layout_is_rebuilt(spark, space):
+def test_older_layout_is_kept_unless_a_rebuild_is_asked_for(spark, space):
     name = space.table("older")
     spark.range(3).write.saveAsTable(name)
     rows = spark.createDataFrame([("h1", 1), ("h2", 2)], "source_record_hash string, v int")
-    assert W.append_new_rows(rows, name).count() == 2
+    with pytest.raises(ValueError, match="rebuild"):
+        W.append_new_rows(rows, name)
+    assert spark.table(name).count() == 3
+    assert W.append_new_rows(rows, name, rebuild=True).count() == 2
     assert sorted(r.source_record_hash for r in spark.table(name).collect()) == ["h1", "h2"]

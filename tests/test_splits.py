@@ -76,7 +76,9 @@ def test_stratified_split_sizes_and_fallbacks(rows):
         n = sum(c for (name, _), c in sizes.items() if name == label)
         assert sizes[label, "test"] == sizes[label, "validation"] == round(n * 0.2)
     few = rows.limit(15)
-    assert [r[0] for r in P.stratified_split(few, "record_seq").select("split").distinct().collect()] == ["train"]
+    assert {r[0] for r in P.stratified_split(few, "record_seq").select("split").distinct().collect()} != {"train"}
+    asked = P.stratified_split(few, "record_seq", min_rows=20, min_per_class=3)
+    assert [r[0] for r in asked.select("split").distinct().collect()] == ["train"]
     single = rows.where("label_normalized = 'neutral'")
     total = single.count()
     assert P.stratified_split(single, "record_seq").where("split = 'test'").count() == round(total * 0.2)
@@ -109,10 +111,10 @@ def test_duplicate_flags_equal_window(rows):
 
 
 def test_hot_text_is_spread(rows):
-    """No window of the flags sees more than a fair share of the hot text's rows."""
-    salts = D.salt_count(rows)
-    hot = rows.where("text = 'same Text'").withColumn("s", F.pmod(F.xxhash64("record_seq"), F.lit(salts)))
-    assert hot.groupBy("s").count().agg(F.max("count")).first()[0] < 2 * 1000 / salts
+    """What is grouped before the join is a row per text, dataset and task; the rows meet it in a plain join, whose
+    large partitions can be split."""
+    plan = D.duplicate_flags(rows, ["record_seq"])._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_min" in plan and "Join" in plan
 
 
 def test_keep_first_reduces_before_the_shuffle(rows):
@@ -120,3 +122,81 @@ def test_keep_first_reduces_before_the_shuffle(rows):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
     assert kept.count() == rows.select("text").distinct().count()
+
+
+@pytest.mark.parametrize("threshold", ["10", "100000"])
+def test_a_sample_has_its_size_whatever_repeats(spark, threshold):
+    """Keys repeat, whole rows repeat, and the planner's group limit lies on either side of the count."""
+    rows = [("a", i % 25, i % 50) for i in range(400)] + [("b", 7, 7)] * 40 + [("c", 1, i) for i in range(12)]
+    df = spark.createDataFrame(rows, "g string, k int, v int").repartition(5)
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", threshold)
+    try:
+        got = sorted(map(tuple, P.take_per_group(df, ["g"], 30, "k").collect()))
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    sizes = {g: sum(r[0] == g for r in got) for g in "abc"}
+    assert sizes == {"a": 30, "b": 30, "c": 12}
+    assert got == sorted(map(tuple, P.take_per_group(df.repartition(2), ["g"], 30, "k").collect()))
+    left = list(rows)
+    for r in got:
+        left.remove(r)  # no more copies than there are
+
+
+@pytest.mark.parametrize("order", [["tied"], []])
+def test_positional_split_is_exact_with_ties(spark, order):
+    df = spark.range(1000).selectExpr("id", "id % 2 AS tied", "'one' AS dataset_label", "'train' AS split").coalesce(1)
+    got = P.sequential_split(df, order).collect()
+    sizes = {s: sum(r.split == s for r in got) for s in ("train", "validation", "test")}
+    assert sizes == {"train": 600, "validation": 200, "test": 200}
+    place = {"train": 0, "validation": 1, "test": 2}
+    key = (lambda r: (r.tied, r.id)) if order else (lambda r: r.id)
+    assert [place[r.split] for r in sorted(got, key=key)] == sorted(place[r.split] for r in got)
+
+
+def test_no_task_holds_a_split_of_equal_keys(spark):
+    """With every key equal, the rows' own numbers part them over the range partitions."""
+    df = P.with_tie(spark.range(8000).selectExpr("id", "1 AS k", "'one' AS g").repartition(8))
+    ranked = P.distributed_rank(df.select("g", "k", P.TIE), ["k", P.TIE], ["g"], 16)
+    parts = [r["n"] for r in ranked.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(parts) > 4 and max(parts) < 4000
+
+
+def test_phases_follow_in_the_order_they_ran(spark):
+    from ledgertone.operators.evaluation import phase_epochs, training_history
+
+    events = [("r", "warmup", e, e) for e in range(3)] + [("r", "finetune", e, 10 + e) for e in range(2)]
+    df = spark.createDataFrame(events, "run string, phase string, epoch int, seq int").withColumn("loss", F.lit(1.0))
+    history = training_history(df, ["run", "phase"], first_seq=True)
+    for got in (phase_epochs(history, ["run"]), phase_epochs(history, ["run"], phases=["warmup", "finetune"])):
+        rows = sorted(got.collect(), key=lambda r: r.epoch_index)
+        assert [(r.phase, r.epoch) for r in rows] == [("warmup", 0), ("warmup", 1), ("warmup", 2), ("finetune", 0), ("finetune", 1)]
+
+
+def test_encoding_by_lookup_equals_encoding_by_join(spark, sf_dir):
+    from ledgertone.operators import features as T
+
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    documents = documents.unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, "qqqq zzzz")], documents.schema))
+    vocabulary = T.build_vocabulary(documents, 300)
+    looked_up = T.encode_sequences(documents, vocabulary, "doc_id", 32)
+    joined = T._encode_by_join(documents, vocabulary.select("token", "index"), "doc_id", 32, "text")
+    assert "Exchange" not in looked_up._jdf.queryExecution().executedPlan().toString()
+    pairs = [{r.doc_id: list(r.sequence) for r in df.collect()} for df in (looked_up, joined)]
+    assert pairs[0] == pairs[1] and len(pairs[0][-3]) == 32
+
+
+def test_unreadable_csv_files_are_left_out_and_told(spark, tmp_path):
+    from ledgertone.sources.readers import union_csv_files
+
+    (tmp_path / "a.csv").write_text('text,label\n"x, y",positive\n')
+    (tmp_path / "b b.csv").write_text("Headline,Target,more\nh,negative,1\n")
+    (tmp_path / "c.csv").write_text("id,value\n1,2\n")
+    (tmp_path / "d.csv").write_text("")
+    (tmp_path / "e.csv.gz").write_bytes(b"this is not gzip")
+    told = []
+    got = union_csv_files(spark, [str(p) for p in tmp_path.iterdir()], left_out=told)
+    assert sorted((r.text, r.label, r.Headline, r.more) for r in got.collect() if r.text) == [("x, y", "positive", None, None)]
+    assert got.count() == 2
+    assert sorted((p.rsplit("/", 1)[1], why) for p, why in told) == [
+        ("c.csv", "no text or label column"), ("d.csv", "unreadable or empty"), ("e.csv.gz", "unreadable or empty"),
+    ]
