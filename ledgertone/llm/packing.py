@@ -14,6 +14,7 @@ import os
 import re
 
 import numpy as np
+import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,12 @@ MERGED_RUNS = 16
 ID_BYTES = 4
 
 
+def _spelling() -> dict[int, int]:
+    """Byte-level spelling: printable Latin-1 bytes stand for themselves, the others for U+0100 and on, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return dict(zip([b for b in range(256) if b not in plain], range(256, 512)))
+
+
 class WordIds:
     """Ids of a tokenizer that drops white space, looked up by word.
 
@@ -36,7 +43,11 @@ class WordIds:
     """
 
     _FENCE = "<|startoftext|>"  # a special token: its id stands for nothing else
-    _STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \t-\r]|\Z)")
+    # A full stop or comma after a letter (a-z, or Latin-1 beyond ASCII) and before white space.
+    _STOP = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,])(?=[ \t-\r]|\Z)")
+    # One that follows anything else: other marks may belong to its run.
+    _OTHER_STOP = re.compile(rb"(?<![a-z])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,](?=[ \n]|\Z)")
+    _STOPS = tuple((c + s, b" " + c + s) for c in (b".", b",") for s in (b" ", b"\n"))
 
     def __init__(self, tokenizer_file: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,8 +62,18 @@ class WordIds:
         found = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.asarray(found, "<u4")
 
-    def _learn(self, words: set[bytes]) -> None:
-        plain = [w for w in words if self._FENCE.encode() not in w]
+    def _learn(self, words: list[bytes]) -> None:
+        """Lower-case Latin words are one token run that normalisation leaves alone: the model gets them as they are
+        spelt. All else goes through the whole tokenizer, many words at once with fences between them."""
+        tokenize, spelling, others = self._tokenizer.model.tokenize, _spelling(), []
+        for word in words:
+            text = word.decode()
+            if text.isalpha() and text.islower() and text == text.lower() and max(text) < "\u0250":
+                spelt = text if text.isascii() else word.decode("latin-1").translate(spelling)
+                self._known[word] = np.array([t.id for t in tokenize(spelt)], "<u4").tobytes()
+            else:
+                others.append(word)
+        plain = [w for w in others if self._FENCE.encode() not in w]
         for at in range(0, len(plain), 20_000):
             part = plain[at:at + 20_000]
             ids = self._encode(self._FENCE.join(w.decode() for w in part))
@@ -61,19 +82,27 @@ class WordIds:
             starts = [0, *((cuts + 1) * ID_BYTES).tolist()]
             stops = [*(cuts * ID_BYTES).tolist(), len(data)]
             self._known.update((w, data[s:e]) for w, s, e in zip(part, starts, stops, strict=True))
-        for word in words.difference(plain):
-            self._known[word] = self._encode(word.decode()).tobytes()
+        for word in others:
+            if word not in self._known:
+                self._known[word] = self._encode(word.decode()).tobytes()
 
     def words(self, text: str) -> list[bytes]:
         """Parts of the text whose ids, joined, are those of the text.
 
         The tokenizer lower-cases after composing accents. Lower-casing ASCII letters first changes nothing unless a
-        combining accent (U+0300 to U+036F) follows one; then the text stays as it is. A full stop or comma after an
-        ASCII letter and before white space is a token run of its own, so it may stand alone.
+        combining accent (U+0300 to U+036F) follows one; then the text stays as it is. A full stop or comma after a
+        letter and before white space is a token run of its own, so it may stand alone.
         """
         data = text.encode()
         if b"\xcc" not in data and b"\xcd" not in data:
-            data = self._STOP.sub(rb" \1", data.lower())
+            data = data.lower()
+            if self._OTHER_STOP.search(data) is not None:
+                data = self._STOP.sub(rb" \1", data)
+            else:  # the same, faster
+                for before, after in self._STOPS:
+                    data = data.replace(before, after)
+                if data.endswith((b".", b",")):
+                    data = data[:-1] + b" " + data[-1:]
         return data.split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -81,13 +110,22 @@ class WordIds:
         if len(self._known) > self._most:
             self._known.clear()
         lists = [self.words(t) if t else [] for t in texts]
-        look = self._known.get
-        got = [list(map(look, ws)) for ws in lists]
-        missing = {w for ws, ids in zip(lists, got) if None in ids for w, i in zip(ws, ids) if i is None}
-        if missing:
-            self._learn(missing)
-            got = [list(map(look, ws)) if None in ids else ids for ws, ids in zip(lists, got)]
-        return [b"".join(ids) for ids in got]
+        flat = np.empty(sum(map(len, lists)), object)
+        at = 0
+        for words in lists:
+            flat[at:at + len(words)] = words
+            at += len(words)
+        codes, distinct = pd.factorize(flat)
+        self._learn([w for w in distinct if w not in self._known])
+        ids = [self._known[w] for w in distinct]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // ID_BYTES
+        data, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        each = sizes[codes]
+        ends = np.cumsum(each)
+        out = data[np.arange(int(each.sum())) + np.repeat(starts[codes] - (ends - each), each)]
+        word_ends = np.cumsum([len(words) for words in lists], dtype=np.int64)
+        cuts = np.concatenate([[0], ends])[np.concatenate([[0], word_ends])].tolist()
+        return [out[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
 
 _TABLES: dict[str, WordIds] = {}
