@@ -5,6 +5,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -115,3 +116,59 @@ def with_new_text(done: DataFrame, columns: list[str], text_col: str = "text") -
 
 def row_schema(rows: DataFrame, *fields: StructField) -> StructType:
     return StructType([rows.schema["row"], *fields])
+
+
+def block_runs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[int, list[list]]]:
+    """(block, columns as lists) for each run of rows of one block; a block that a scan has split comes twice."""
+    block, held = None, [[] for _ in columns]
+    for batch in batches:
+        owners = batch.column("block").to_pylist()
+        values = [batch.column(c).to_pylist() for c in columns]
+        for i, owner in enumerate(owners):
+            if owner != block and held[0]:
+                yield block, held
+                held = [[] for _ in columns]
+            block = owner
+            for mine, column in zip(held, values):
+                mine.append(column[i])
+    if held[0]:
+        yield block, held
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted unsigned 64-bit keys as differences, bytes of equal significance together, compressed."""
+    return packed_plain(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked_plain(data), dtype=np.uint64)
+
+
+def packed_plain(values: np.ndarray) -> bytes:
+    """64-bit values, bytes of equal significance together, compressed."""
+    return zstandard.compress(values.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpacked_plain(data: bytes, dtype=np.uint64) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+def merged_blocks(table: pa.Table, keys: str = "keys", counts: str = "counts") -> dict[int, tuple]:
+    """Keys (sorted, distinct) and counts of each block in a table of packed columns; a block's rows are added up."""
+    out: dict[int, tuple] = {}
+    columns = (table.column(c).to_pylist() for c in ("block", keys, counts))
+    for block, own, n in zip(*columns):
+        own, n = unpacked(own), unpacked_plain(n, np.int64)
+        if block in out:
+            own, codes = np.unique(np.concatenate([out[block][0], own]), return_inverse=True)
+            n = np.bincount(codes, np.concatenate([out[block][1], n]), len(own)).astype(np.int64)
+        out[block] = own, n
+    return out
+
+
+def summed(blocks: dict[int, tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All distinct keys of several blocks, their sums, and where each block's keys lie, block after block."""
+    every, codes = np.unique(np.concatenate([k for k, _ in blocks.values()]), return_inverse=True)
+    totals = np.bincount(codes, np.concatenate([n for _, n in blocks.values()]), len(every)).astype(np.int64)
+    return every, totals, codes

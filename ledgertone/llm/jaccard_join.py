@@ -33,9 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgertone.llm.batches import in_blocks, map_slices, parsed, whole_rows, with_new_text
-from ledgertone.llm.components import components
-from ledgertone.session import cut_lineage, scratch_path
+from ledgertone.llm.batches import (
+    block_runs, in_blocks, map_slices, merged_blocks, packed, packed_plain, parsed, summed, whole_rows, with_new_text,
+)
+from ledgertone.llm.components import components, staged
 
 SIZE = 5
 BLOCK_BYTES = 8 << 20
@@ -130,18 +131,6 @@ def tokens(shared: np.ndarray, alone: int, light: int, percent: int) -> list[tup
     return found
 
 
-def packed(keys: np.ndarray) -> bytes:
-    """Sorted keys as differences, byte by byte of equal significance, compressed."""
-    steps = np.diff(keys, prepend=np.uint64(0))
-    planes = steps.view(np.uint8).reshape(-1, 8).T
-    return zstandard.compress(planes.tobytes(), 1)
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
-
-
 def _lower(texts: list) -> list[bytes]:
     return [t.encode().lower() if t else b"" for t in texts]
 
@@ -163,47 +152,28 @@ def _keys(sets: list[np.ndarray], bits: int) -> np.ndarray:
 
 
 def shipped_runs(blocks: DataFrame, size: int, bits: int, ranges: int) -> DataFrame:
-    """(span, block, run): each block's shingle hashes with the number of its documents that hold them, by range."""
+    """(span, block, keys, counts): each block's shingle hashes with the number of its documents that hold them, by
+    range of the hash space."""
     edges = np.array([(i << bits) // ranges for i in range(ranges + 1)], np.uint64)
-    target = parsed("span int, block long, run binary, documents binary")
+    target = parsed("span int, block long, keys binary, counts binary")
 
     def run(batches):
         fields = to_arrow_schema(target)
-
-        def ship(block, texts):
+        for block, (texts,) in block_runs(batches, "text"):
             sets = _block_sets(_lower(texts), size)
             every = np.concatenate([*sets, np.zeros(0, np.uint64)]) >> np.uint64(64 - bits)
             keys, counts = np.unique(every, return_counts=True)
             cuts = np.searchsorted(keys, edges)
-            counts = np.minimum(counts, 65535).astype(np.uint16)
-            rows = [(i, packed(keys[a:b]), zstandard.compress(counts[a:b].tobytes(), 1))
+            rows = [(i, block, packed(keys[a:b]), packed_plain(counts[a:b].astype(np.int64)))
                     for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
             if rows:
-                span, run, documents = zip(*rows)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(span, pa.int32()), pa.array([block] * len(rows), pa.int64()), pa.array(run, pa.binary()),
-                    pa.array(documents, pa.binary()),
-                ], schema=fields)
-
-        yield from _by_block(batches, ship)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=fields
+                )
 
     return blocks.select("block", "text").mapInArrow(run, target)
 
 
-def _by_block(batches, work):
-    """Calls work(block, texts) for each run of rows with one block. A block that a scan has split counts as two."""
-    block, texts = None, []
-    for batch in batches:
-        for b, t in zip(batch.column("block").to_pylist(), batch.column("text").to_pylist()):
-            if b != block and texts:
-                yield from work(block, texts)
-                texts = []
-            block = b
-            texts.append(t)
-    if texts:
-        yield from work(block, texts)
-
-
 def list_lengths(runs: DataFrame) -> DataFrame:
     """(block, span, lengths, s1, s2): for each shipped run, in the order of its keys, how many documents hold each.
 
@@ -212,16 +182,9 @@ def list_lengths(runs: DataFrame) -> DataFrame:
     target = parsed("block long, span int, lengths binary, s1 double, s2 double")
 
     def count(group: pa.Table) -> pa.Table:
-        mine: dict[int, tuple] = {}
-        for block, run, documents in zip(*(group.column(c).to_pylist() for c in ("block", "run", "documents"))):
-            keys, n = unpacked(run), np.frombuffer(zstandard.decompress(documents), np.uint16).astype(np.int64)
-            if block in mine:
-                keys, codes = np.unique(np.concatenate([mine[block][0], keys]), return_inverse=True)
-                n = np.bincount(codes, np.concatenate([mine[block][1], n]), len(keys)).astype(np.int64)
-            mine[block] = keys, n
-        every, codes = np.unique(np.concatenate([k for k, _ in mine.values()]), return_inverse=True)
-        total = np.bincount(codes, np.concatenate([n for _, n in mine.values()]), len(every))
-        long = total[total > 1]
+        mine = merged_blocks(group)
+        _, total, codes = summed(mine)
+        long = total[total > 1].astype(float)
         sums = (float(long.sum()), float((long * long).sum()))
         total = np.minimum(total, 65535).astype(np.uint16)
         span, at, out = group.column("span")[0].as_py(), 0, []
@@ -332,13 +295,16 @@ def first_pairs(members: DataFrame, percent: int) -> DataFrame:
 def crossing_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes of different components that meet in a list and may still be similar.
 
-    In each list the component with most members is not paired with itself. A pair's common shingles are at most those
-    met in lists plus what follows the last of them in either set.
+    In each list the component with most members is not paired with itself. Where a pair first meets, all it has in
+    common lies from there on in both sets, so it meets only at places early enough; and its common shingles are at
+    most those met in lists plus what follows the last of them in either set.
     """
     sizes = members.groupBy("token", "comp").agg(F.count("*").alias("k"))
     main = sizes.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("main"), F.count("*").alias("c"))
     main = main.where("c > 1").select("token", F.col("main.comp").alias("main"))
-    open_lists = cut_lineage(members.join(main, "token").withColumn("is_main", F.col("comp") == F.col("main")))
+    open_lists = staged(
+        members.join(main, "token").withColumn("is_main", F.col("comp") == F.col("main")).drop("main"), "open_lists"
+    )
     left = open_lists.where(~F.col("is_main")).select(
         "token", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("comp").alias("ca")
     )
@@ -346,9 +312,11 @@ def crossing_pairs(members: DataFrame, percent: int) -> DataFrame:
         "token", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("comp").alias("cb"),
         "is_main",
     )
+    after = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    enough = after * (100 + percent) >= percent * (F.col("na") + F.col("nb"))
     met = left.join(right, "token").where(
         (F.col("ca") != F.col("cb")) & (F.col("is_main") | (F.col("a") < F.col("b")))
-        & _sizes_fit(F.col("na"), F.col("nb"), percent)
+        & _sizes_fit(F.col("na"), F.col("nb"), percent) & ((F.col("pa") < 0) | enough)
     )
     met = met.groupBy("a", "b", "na", "nb").agg(
         F.count_if(F.col("pa") >= 0).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"),
@@ -369,12 +337,6 @@ def jaccard_components(
     what links connect. Texts are lower-cased (A to Z) first.
     """
     spark = docs.sparkSession
-
-    def staged(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, name)
-        df.write.option("compression", "zstd").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
         F.xxhash64(F.col(text_col).cast("string")).alias("key"),

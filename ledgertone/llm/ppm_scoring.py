@@ -6,9 +6,10 @@ looked for in the next shorter one, from which the symbols already ruled out are
 all remaining symbols are equally likely. An end symbol follows each text; contexts at a text's start hold a start mark.
 
 How it is spread out: documents are dealt into blocks of bounded bytes. Each block ships its distinct keys (five-symbol
-windows and word hashes) with their training counts, not its occurrences. Counts are summed by key; each window's code
-length is computed where all contexts with the same last three bytes meet. Keys then return to the blocks that asked,
-and each block scores its documents from its own small table. Only counts for orders 0 to 2 are broadcast: their number
+windows and word hashes) with their training counts, not its occurrences, as compressed sorted runs. Windows meet where
+all contexts with the same last three bytes do, and there get their code lengths; words meet by hash and get their
+counts. The answers return to the blocks that asked, in the order of their keys, and each block scores its documents
+from its own small table. Only counts for orders 0 to 2 are broadcast: their number
 is bounded by the alphabet (257 * 258 * 258), whatever the corpus. Words are counted by 64-bit hash.
 
 Results for unusual rows: null and empty texts are the end symbol alone. Repeated rows are learned from and scored each
@@ -26,22 +27,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgertone.llm.batches import BLOCK_BYTES, id_type, in_blocks, map_slices, parsed
-from ledgertone.session import scratch_path
+from ledgertone.llm.batches import (
+    block_runs, id_type, in_blocks, merged_blocks, packed, packed_plain, parsed, summed, unpacked_plain,
+)
+from ledgertone.llm.components import staged
 
 ORDER = 4
 END, START = 256, 257
 SYMBOLS = 257
 BITS = 9
 GRAM, WORD = 0, 1
+BLOCK_BYTES = 8 << 20
+PART_BYTES = 16 << 20
 _STEP_BYTES = 1 << 20
 END_WORD = b""  # no word is empty
 
 
-def word_key(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
-
-
 def lowered(text: str | None) -> bytes:
     return text.encode().lower() if text else b""
 
@@ -81,39 +82,92 @@ def distinct_keys(texts: list[bytes], train: np.ndarray) -> tuple[np.ndarray, np
         codes, unique = pd.factorize(own)
         keys.append(unique)
         counts.append(np.bincount(codes, np.repeat(train[a:b], lengths), len(unique)))
-    if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     unique, codes = np.unique(np.concatenate(keys), return_inverse=True)
-    return unique, np.bincount(codes, np.concatenate(counts), len(unique)).astype(np.int64)
-
-
-def block_keys(blocks: DataFrame) -> DataFrame:
-    """(block, kind, key, n): the distinct keys of each block; n counts training texts only."""
-
-    def start():
-        def run(piece):
-            out = [[], [], [], []]
-            owners = piece.column("block").to_numpy()
-            texts = [lowered(t) for t in piece.column("text").to_pylist()]
-            train = piece.column("train").to_numpy(zero_copy_only=False)
-            for block in np.unique(owners):
-                mine = np.flatnonzero(owners == block)
-                own = [texts[i] for i in mine]
-                keys, counts = distinct_keys(own, train[mine].astype(np.float64))
-                learned, asked = Counter(), set()
-                for text, learn in zip(own, train[mine]):
-                    (learned if learn else asked).update(text.split())
-                learned[END_WORD] += int(train[mine].sum())
-                words = [*learned, *asked.difference(learned)]
-                out[0] += [np.full(len(keys) + len(words), block)]
-                out[1] += [np.full(len(keys), GRAM, np.int8), np.full(len(words), WORD, np.int8)]
-                out[2] += [keys, np.fromiter(map(word_key, words), np.int64, len(words))]
-                out[3] += [counts, np.fromiter((learned[w] for w in words), np.int64, len(words))]
-            return [np.concatenate(c) for c in out]
-
-        return run
-
-    return map_slices(blocks, "block long, kind byte, key long, n long", start, limit=BLOCK_BYTES)
+    return unique.view(np.uint64), np.bincount(codes, np.concatenate(counts), len(unique)).astype(np.int64)
+
+
+def part_of(kind: int, keys: np.ndarray, parts: int) -> np.ndarray:
+    """Where keys meet: windows by a hash of their last three bytes, words by their hash. Both keep to 64 bits."""
+    if kind == GRAM:
+        keys = (keys >> np.uint64(2 * BITS)) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+        keys *= np.uint64(0xBF58476D1CE4E5B9)
+    return (((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+
+
+def by_part(kind: int, keys: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
+    """(part, places of its keys) for sorted keys, each part's places in order."""
+    part = part_of(kind, keys, parts)
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
+    return [(int(part[order[a]]), order[a:b]) for a, b in zip(cuts, [*cuts[1:], len(order)])]
+
+
+def word_keys(words) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def asked_keys(blocks: DataFrame, parts: int) -> DataFrame:
+    """(kind, part, block, keys, counts): the distinct keys of each block, packed; counts are of training texts."""
+    target = parsed("kind byte, part int, block long, keys binary, counts binary")
+
+    def run(batches):
+        fields = to_arrow_schema(target)
+        for block, (texts, train) in block_runs(batches, "text", "train"):
+            texts = [lowered(t) for t in texts]
+            learned, asked = Counter(), set()
+            for text, learn in zip(texts, train):
+                (learned if learn else asked).update(text.split())
+            learned[END_WORD] += sum(train)
+            words = [*learned, *asked.difference(learned)]
+            hashes, codes = np.unique(word_keys(words), return_inverse=True)
+            n = np.bincount(codes, [learned[w] for w in words], len(hashes)).astype(np.int64)
+            found = ((GRAM, *distinct_keys(texts, np.asarray(train, float))), (WORD, hashes, n))
+            rows = [
+                (kind, part, block, packed(keys[at]), packed_plain(counts[at]))
+                for kind, keys, counts in found for part, at in by_part(kind, keys, parts)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=fields)
+
+    return blocks.select("block", "text", "train").mapInArrow(run, target)
+
+
+def totals(asked: DataFrame) -> DataFrame:
+    """(key, n) of all windows cut to two bytes of context, beside (tokens, kinds) of words, part by part."""
+    target = parsed("key long, n long, tokens long, kinds long")
+
+    def count(group: pa.Table) -> pa.Table:
+        keys, n, _ = summed(merged_blocks(group))
+        keys, n = keys[n > 0].view(np.int64), n[n > 0]
+        if group.column("kind")[0].as_py() == WORD:
+            columns = [[None], [None], [int(n.sum())], [len(n)]]
+        else:
+            short, codes = np.unique((keys >> (3 * BITS) << BITS) | (keys & 511), return_inverse=True)
+            sums = np.bincount(codes, n, len(short)).astype(np.int64)
+            columns = [short, sums, [0] * len(short), [0] * len(short)]
+        fields = to_arrow_schema(target)
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=fields)
+
+    return asked.groupBy("kind", "part").applyInArrow(count, target)
+
+
+def answers(asked: DataFrame, low) -> DataFrame:
+    """(block, kind, part, values): code lengths of a block's windows and counts of its words, in the keys' order."""
+    target = parsed("block long, kind byte, part int, values binary")
+
+    def answer(group: pa.Table) -> pa.Table:
+        kind, part = group.column("kind")[0].as_py(), group.column("part")[0].as_py()
+        mine = merged_blocks(group)
+        keys, n, codes = summed(mine)
+        values = code_lengths(keys.view(np.int64), n, low.value) if kind == GRAM else n.astype(np.float64)
+        at, rows = 0, []
+        for block, (own, _) in mine.items():
+            rows.append((block, kind, part, packed_plain(values[codes[at:at + len(own)]])))
+            at += len(own)
+        fields = to_arrow_schema(target)
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=fields)
+
+    return asked.groupBy("kind", "part").applyInArrow(answer, target)
 
 
 class LowOrders:
@@ -204,24 +258,6 @@ def code_lengths(keys: np.ndarray, n: np.ndarray, low: LowOrders) -> np.ndarray:
     return result
 
 
-def gram_values(counts: DataFrame, low: LowOrders) -> DataFrame:
-    """(key, n) to (key, value); windows with the same last three bytes meet in one partition."""
-    shared = counts.sparkSession.sparkContext.broadcast(low)
-    target = parsed("key long, value double")
-
-    def run(batches):
-        parts = list(batches)
-        if not parts:
-            return
-        table = pa.Table.from_batches(parts)
-        keys, n = table.column("key").to_numpy(), table.column("n").to_numpy()
-        values = code_lengths(keys, n, shared.value)
-        yield from pa.Table.from_arrays([pa.array(keys), pa.array(values)], schema=to_arrow_schema(target)).to_batches()
-
-    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return counts.repartition(parts, F.shiftright("key", 2 * BITS)).mapInArrow(run, target)
-
-
 def ppm_scores(
     docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -238,57 +274,63 @@ def ppm_scores(
         F.coalesce(train, F.lit(False)).alias("train"),
     )
 
-    def staged(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, name)
-        df.write.option("compression", "zstd").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    blocks = staged(in_blocks(rows), "blocks")
-    keys = staged(block_keys(blocks), "keys")
-    counts = staged(keys.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    words, grams = counts.where(F.col("kind") == WORD), counts.where(F.col("kind") == GRAM)
-    total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+    blocks = staged(in_blocks(rows, limit=BLOCK_BYTES), "blocks")
+    size = blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // PART_BYTES)
+    asked = staged(asked_keys(blocks, parts), "asked")
+    counted = staged(totals(asked), "totals")
+    tokens, kinds = counted.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     # Last byte, byte before, symbol: at most 258 * 258 * 257 rows.
-    low = grams.where("n > 0").groupBy(
-        (F.shiftright("key", 3 * BITS) * F.lit(1 << BITS) + F.col("key").bitwiseAND(511)).alias("key")
-    ).agg(F.sum("n").alias("n")).toArrow().sort_by("key")
+    low = counted.where("key IS NOT NULL").groupBy("key").agg(F.sum("n").alias("n")).toArrow().sort_by("key")
     low = LowOrders(low.column("key").to_numpy(), low.column("n").to_numpy())
-
-    values = gram_values(grams.select("key", "n"), low).select(F.lit(GRAM).cast("byte").alias("kind"), "key", "value")
-    values = values.unionByName(words.select("kind", "key", F.col("n").cast("double").alias("value")))
-    answers = keys.select("block", "kind", "key").join(values, ["kind", "key"])
-    unit = np.log10(total + 0.5 * (kinds + 1))
+    told = answers(asked, spark.sparkContext.broadcast(low))
+    unit = np.log10(tokens + 0.5 * (kinds + 1))
     target = parsed(
         f"doc_id {id_kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
 
+    def values_of(kind: int, keys: np.ndarray, table: pa.Table) -> np.ndarray:
+        """The answers for the block's keys (sorted, distinct)."""
+        rows = {
+            part: data for k, part, data in zip(*(table.column(c).to_pylist() for c in ("kind", "part", "values")))
+            if k == kind
+        }
+        out = np.empty(len(keys))
+        for part, at in by_part(kind, keys, parts):
+            out[at] = unpacked_plain(rows[part], np.float64)
+        return out
+
+    def per_text(parts_of: list, kind: int, table: pa.Table):
+        """From (codes, keys, lengths) of each run of texts: the answers of all its places, and where texts begin."""
+        keys = np.unique(np.concatenate([k for _, k, _ in parts_of]))
+        values = values_of(kind, keys, table)
+        for codes, own, lengths in parts_of:
+            yield values[np.searchsorted(keys, own)][codes], np.concatenate([[0], np.cumsum(lengths)[:-1]])
+
     def score(mine: pa.Table, table: pa.Table) -> pa.Table:
-        kind, key, value = (table.column(c).to_numpy() for c in ("kind", "key", "value"))
-        gram = kind == GRAM
-        index, lengths_of = pd.Index(key[gram]), value[gram]
-        known = dict(zip(key[~gram].tolist(), value[~gram].tolist()))
-        logs: dict[bytes, float] = {}
-        unknown = float(np.log10(0.5) - unit)
         texts = [lowered(t) for t in mine.column("text").to_pylist()]
-        out = [[], [], [], []]
+        grams, words = [], []
         for a, b in steps(texts):
             own, lengths = windows(texts[a:b])
-            per = lengths_of[index.get_indexer(own)]
-            out[3] += np.add.reduceat(per, np.concatenate([[0], np.cumsum(lengths)[:-1]])).tolist()
-            for text in texts[a:b]:
-                words = [*text.split(), END_WORD]
-                for w in set(words).difference(logs):
-                    c = known[word_key(w)]
-                    logs[w] = float(np.log10(c + 0.5) - unit) if c else unknown
-                per_word = [logs[w] for w in words]
-                out[0].append(len(words))
-                out[1].append(len(words) - per_word.count(unknown))
-                out[2].append(sum(per_word))
+            codes, distinct = pd.factorize(own)
+            grams.append((codes.astype(np.int32), distinct.view(np.uint64), lengths))
+            lists = [[*t.split(), END_WORD] for t in texts[a:b]]
+            flat = np.empty(sum(map(len, lists)), object)
+            flat[:] = [w for ws in lists for w in ws]
+            codes, distinct = pd.factorize(flat)
+            words.append((codes.astype(np.int32), word_keys(distinct), np.array([len(ws) for ws in lists])))
+        scores, base, known = [], [], []
+        for values, starts in per_text(grams, GRAM, table):
+            scores.append(np.add.reduceat(values, starts))
+        for values, starts in per_text(words, WORD, table):
+            base.append(np.add.reduceat(np.log10(values + 0.5) - unit, starts))
+            known.append(np.add.reduceat((values > 0).astype(np.int64), starts))
         return pa.Table.from_arrays([
-            mine.column("doc_id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-            pa.array([total] * len(texts), pa.int64()), pa.array(out[2]), pa.array(out[3]),
+            mine.column("doc_id"), pa.array(np.concatenate([n for _, _, n in words]), pa.int64()),
+            pa.array(np.concatenate(known), pa.int64()), pa.array([tokens] * len(texts), pa.int64()),
+            pa.array(np.concatenate(base)), pa.array(np.concatenate(scores)),
         ], schema=to_arrow_schema(target))
 
-    return blocks.select("block", "doc_id", "text").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    return blocks.select("block", "doc_id", "text").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
         score, target
     )

@@ -10,9 +10,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgertone.llm.batches import packed, unpacked
 from ledgertone.llm.components import components
 from ledgertone.llm.jaccard_join import (
-    boundary, jaccard_components, least_overlap, packed, partners, prefix_length, shingle_sets, tokens, unpacked,
+    boundary, jaccard_components, least_overlap, partners, prefix_length, shingle_sets, tokens,
 )
 from ledgertone.llm.ppm_scoring import END, ORDER, START, SYMBOLS, ppm_scores
 from ledgertone.llm.queries import QUERIES
