@@ -93,33 +93,145 @@ class SharedTrie:
         return best, tokens
 
 
-def token_counts(
-    docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", max_nodes: int = MAX_NODES,
-) -> DataFrame:
+class LevelTrie:
+    """The trie of many words at once, one level after the other, as arrays.
+
+    Sorted words make a trie without pointers: a node of depth d is a run of words that agree in d characters. All
+    nodes of a level look for pieces of each length at their ends in one step. Words longer than WIDTH go to a
+    SharedTrie.
+    """
+
+    WIDTH = 32
+    _BASE = np.uint64(0x9E3779B97F4A7C15)
+    _FILTER_BITS = np.uint64(22)
+
+    def __init__(self, scores: dict[str, float], max_nodes: int = MAX_NODES):
+        self.long_words = SharedTrie(scores, max_nodes)
+        self.byte_score = self.long_words.byte_score
+        self.longest = min(self.long_words.longest, self.WIDTH)
+        pieces = [p for p in scores if len(p) <= self.longest]
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        hashes = self._prefix_hashes(self._characters(pieces))[np.arange(len(pieces)), lengths]
+        hashes += lengths.astype(np.uint64)
+        order = np.argsort(hashes)
+        self.hashes, self.scores = hashes[order], np.fromiter(map(scores.get, pieces), float, len(pieces))[order]
+        if len(np.unique(hashes)) < len(hashes):
+            raise ValueError("two pieces share a hash")
+        self.filter = np.zeros(1 << int(self._FILTER_BITS), bool)
+        self.filter[hashes >> (np.uint64(64) - self._FILTER_BITS)] = True
+        self.powers = np.cumprod(np.full(self.WIDTH + 1, self._BASE, np.uint64)) * np.uint64(
+            pow(int(self._BASE), -1, 1 << 64)
+        )
+        self.computed = 0
+
+    def _characters(self, words: list[str]) -> np.ndarray:
+        return np.array(words, f"U{self.WIDTH}").view(np.uint32).reshape(len(words), self.WIDTH)
+
+    def _prefix_hashes(self, characters: np.ndarray) -> np.ndarray:
+        """Polynomial hashes of all prefixes; column d belongs to d characters."""
+        out = np.zeros((len(characters), self.WIDTH + 1), np.uint64)
+        mixed = (characters.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0xA0761D6478BD642F)
+        for d in range(1, self.WIDTH + 1):
+            out[:, d] = out[:, d - 1] * self._BASE + mixed[:, d - 1]
+        return out
+
+    def counts(self, words: list[str]) -> dict[str, int]:
+        """Token counts of distinct words."""
+        short = sorted(w for w in words if len(w) < self.WIDTH)
+        out = {w: self.long_words.count(w) for w in words if len(w) >= self.WIDTH}
+        for at in range(0, len(short), 30_000):
+            part = short[at:at + 30_000]
+            out.update(zip(part, self._sorted_counts(part)))
+        return out
+
+    def _sorted_counts(self, words: list[str]) -> list[int]:
+        texts = [MARK + w for w in words]
+        n = len(texts)
+        length = np.fromiter(map(len, texts), np.int64, n)
+        characters = self._characters(texts)
+        hashes = self._prefix_hashes(characters)
+        agree = np.zeros(n, np.int64)  # characters in common with the word before
+        differs = characters[1:] != characters[:-1]
+        agree[1:] = np.where(differs.any(axis=1), differs.argmax(axis=1), self.WIDTH)
+        width = np.where(characters < 0x80, 1, np.where(characters < 0x800, 2, np.where(characters < 0x10000, 3, 4)))
+        node = [np.zeros(n, np.int32)]
+        best, tokens = [np.zeros(1)], [np.zeros(1, np.int64)]
+        out = np.zeros(n, np.int64)
+        for d in range(1, int(length.max()) + 1):
+            rows = np.flatnonzero(length >= d)
+            new = np.ones(len(rows), bool)
+            new[1:] = (np.diff(rows) > 1) | (agree[rows[1:]] < d)
+            first = rows[new]
+            mine = np.zeros(n, np.int32)
+            mine[rows] = np.cumsum(new) - 1
+            node.append(mine)
+            self.computed += len(first)
+            before = node[d - 1][first]
+            size = width[first, d - 1]
+            score, count = best[d - 1][before] + size * self.byte_score, tokens[d - 1][before] + size
+            here = hashes[first, d]
+            for k in range(1, min(d, self.longest) + 1):
+                piece = here - hashes[first, d - k] * self.powers[k] + np.uint64(k)
+                hit = np.flatnonzero(self.filter[piece >> (np.uint64(64) - self._FILTER_BITS)])
+                if not len(hit):
+                    continue
+                at = np.minimum(np.searchsorted(self.hashes, piece[hit]), len(self.hashes) - 1)
+                good = self.hashes[at] == piece[hit]
+                hit, at = hit[good], at[good]
+                begin = node[d - k][first[hit]]
+                total, fewer = best[d - k][begin] + self.scores[at], tokens[d - k][begin] + 1
+                better = (total > score[hit]) | ((total == score[hit]) & (fewer < count[hit]))
+                score[hit[better]], count[hit[better]] = total[better], fewer[better]
+            best.append(score)
+            tokens.append(count)
+            ends = np.flatnonzero(length == d)
+            out[ends] = count[mine[ends]]
+        return out.tolist()
+
+
+class Counter:
+    """Token counts of words as they come; keeps what it knows, up to ``most`` words."""
+
+    def __init__(self, model_file: str, most: int = 600_000):
+        self.trie = LevelTrie(load_scores(model_file))
+        self.known: dict[str, int] = {}
+        self.most = most
+
+    def __call__(self, lists: list[list[str]]) -> list[int]:
+        if len(self.known) > self.most:
+            self.known.clear()
+        look = self.known.get
+        missing = {w for words in lists for w, n in zip(words, map(look, words)) if n is None}
+        if missing:
+            self.known.update(self.trie.counts(list(missing)))
+        return [sum(map(look, words)) for words in lists]
+
+
+_COUNTERS: dict[str, Counter] = {}
+
+
+def counter(model_file: str) -> Counter:
+    """One for each Python worker: tasks that follow one another in a worker share what it knows."""
+    if model_file not in _COUNTERS:
+        _COUNTERS[model_file] = Counter(model_file)
+    return _COUNTERS[model_file]
+
+
+def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``n_words`` (pre-tokens) and ``n_tokens``.
 
-    Texts are split at white space (``str.split``). Each task keeps one trie for all its documents, bounded by
-    ``max_nodes``; the vocabulary file is read once in each task, from a path that every executor has.
+    Texts are split at white space (``str.split``). The distinct words of a slice that are not known yet are scored
+    together in one trie. The vocabulary file is read once in each worker, from a path that every executor has.
     """
 
     def start():
-        trie = SharedTrie(load_scores(model_file), max_nodes)
+        count = counter(model_file)
 
         def run(piece):
-            words, tokens = [], []
-            for text in piece.column("text").to_pylist():
-                parts = text.split() if text else ()
-                known = trie.terminal
-                total = 0
-                for word in parts:
-                    n = known.get(word)
-                    if n is None:
-                        n = trie.count(word)
-                        known = trie.terminal
-                    total += n
-                words.append(len(parts))
-                tokens.append(total)
-            return [piece.column("doc_id"), np.asarray(words, np.int64), np.asarray(tokens, np.int64)]
+            lists = [t.split() if t else [] for t in piece.column("text").to_pylist()]
+            return [piece.column("doc_id"), list(map(len, lists)), count(lists)]
 
         return run
 
