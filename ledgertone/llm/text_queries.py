@@ -37,11 +37,12 @@ m AS (
 ),
 f AS (
     SELECT *, NOT letter OR 10 * dressed > solid OR 10 * shouts > 3 * n OR (bars >= 2 AND 5 * bars >= n)
-        OR (n >= 4 AND 2 * twice > n) OR (n <= 20 AND notice) AS bad FROM m
+        OR (n >= 4 AND 2 * twice > n) AS bad, n <= 20 AND notice AS notice_line FROM m
 ),
 lines AS (
     SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines,
-        coalesce(sum(solid) FILTER (WHERE bad), 0) AS lost, sum(solid) AS solid
+        coalesce(sum(solid) FILTER (WHERE bad), 0) AS lost, sum(solid) AS solid,
+        bool_or(NOT bad AND NOT notice_line) AS some_left
     FROM f GROUP BY doc_id
 ),
 r AS (
@@ -49,7 +50,7 @@ r AS (
         (length(text) - length(regexp_replace(text, '[^\x20\x09-\x0D]', '', 'g')))::BIGINT AS word_chars,
         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
-        100 * coalesce(lost, 0) <= 60 * coalesce(solid, 0) AS enough
+        coalesce(some_left AND 100 * lost <= 60 * solid, false) AS enough
     FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

@@ -14,7 +14,7 @@ from ledgertone.llm.byte_bpe import byte_bpe, decode, encode, load_encoding, pie
 from ledgertone.llm.queries import QUERIES
 from ledgertone.llm.quality_rules import line_rule, quality_rules, repeated_words
 from ledgertone.llm.secret_scan import Novelty, base_spans, novel_spans, redact, secret_scan
-from ledgertone.llm.token_counts import MARK, SharedTrie, load_scores, token_counts
+from ledgertone.llm.token_counts import MARK, LevelTrie, SharedTrie, load_scores, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -48,6 +48,10 @@ def test_quality_rules_keep_the_rest_of_a_document(frame):
     result = {r.doc_id: r for r in quality_rules(frame(rows)).collect()}
     assert result[1].kept and result[1].clean_text == good and result[1].n_bad_lines == 2
     assert not result[2].kept
+    short = "Twelve words of a clean text and then a licence line follows here."
+    notice = "This work is licensed under the GNU General Public License, version 3."
+    rows = [(3, f"{short}\n{notice}"), (4, f"{notice}\n{notice[:-1]}!")]
+    assert {r.doc_id: r.kept for r in quality_rules(frame(rows)).collect()} == {3: True, 4: False}
 
 
 def plain_base(text):
@@ -145,6 +149,13 @@ def test_shared_trie_against_plain_viterbi():
     roomy, tight = SharedTrie(scores), SharedTrie(scores, max_nodes=50)
     for word in words:
         assert roomy.count(word) == tight.count(word) == plain_viterbi(word, scores)
+    levels = LevelTrie(scores)
+    words += ["the\0", "\0", "a" * 31, "a" * 32, "é" * 31]
+    assert levels.counts(list(set(words))) == {w: plain_viterbi(w, scores) for w in words}
+    alone = sum(len(w) + 1 for w in ("international", "internationally", "internal"))  # with the space marks
+    before = levels.computed
+    levels.counts(["international", "internationally", "internal"])
+    assert levels.computed - before == len("internationally") + 2 < alone  # each prefix once: two ends differ
     before = roomy.computed
     roomy.count("internationalist")
     assert roomy.computed - before == 3  # only the new letters
