@@ -1,12 +1,14 @@
 """Table and file sinks. Parquet throughout; every write can be repeated."""
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgertone.operators.dedup import new_rows
 from ledgertone.schemas import CONTROL_TABLES
-from ledgertone.session import stage
+from ledgertone.session import remove_path, stage
 from ledgertone.sources.columns import with_safe_names
 
 
@@ -72,10 +74,26 @@ def append_new_rows(
 
 
 def overwrite_table(df: DataFrame, table: str) -> int:
-    """Replace a table and its schema; the row count comes from the write itself."""
+    """Replace a table and its schema; the row count comes from the write itself.
+
+    The new files are complete, in a folder of their own, before the table is pointed to them, and only then the old
+    ones go. A failed write leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    database, _, name = table.rpartition(".")
+    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    path = f"{home}/{name}-{uuid.uuid4().hex}"
     counted = Observation()
-    observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("overwrite").format("parquet").option("overwriteSchema", True).saveAsTable(table)
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    old = None
+    if table_exists(spark, table):
+        facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name IN ('Location', 'Type')").collect()
+        facts = {r.col_name: r.data_type for r in facts}
+        old = facts["Location"] if facts.get("Type") == "EXTERNAL" else None  # a managed table takes its files along
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.catalog.createTable(table, path=path, source="parquet", schema=df.schema)
+    if old and old.startswith(f"{home}/{name}-"):
+        remove_path(spark, old)
     return counted.get["rows"]
 
 
