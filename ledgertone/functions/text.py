@@ -6,10 +6,12 @@ import unicodedata
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgertone.session import computed_once
+
 # The characters Python's str.strip and str.split treat as whitespace.
 PY_SPACES = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
@@ -75,15 +77,21 @@ def _python_ascii(c: Column) -> Column:
     return unescape_and_fold(c)
 
 
-def to_ascii(c: Column, entities: bool = True) -> Column:
+def _folded(c: Column) -> Column:
+    """Each character that folds to one ASCII letter folded, those that fold to several marked."""
+    return F.translate(c, *_fold_table())
+
+
+def to_ascii(c: Column, entities: bool = True, folded: Column | None = None) -> Column:
     """HTML-unescape, then NFKD to ASCII with everything else dropped.
 
     Plain ASCII and Latin text stays in the JVM. Only values that hold an entity or a character
     folding to several letters are sent to Python; the Arrow batch carries nulls for the rest.
     With ``entities=False`` (text known to hold none) nothing leaves the JVM unless it must.
+    The folded text is needed on both sides of the Python node: ``with_clean_text`` makes it once and passes it in.
     """
     is_ascii = F.octet_length(c) == F.length(c)
-    folded = F.translate(c, *_fold_table())
+    folded = _folded(c) if folded is None else folded
     native = F.when(is_ascii, c).otherwise(F.regexp_replace(folded, r"[^\x00-\x7F]+", ""))
     hard = ~is_ascii & F.contains(folded, F.lit(_SEVERAL))
     if entities:
@@ -91,18 +99,20 @@ def to_ascii(c: Column, entities: bool = True) -> Column:
     return F.coalesce(_python_ascii(F.when(hard, c)), native)
 
 
-def clean_ascii_letters(c: Column, empty_to_null: bool = True, entities: bool = True) -> Column:
+def clean_ascii_letters(
+    c: Column, empty_to_null: bool = True, entities: bool = True, folded: Column | None = None
+) -> Column:
     """Lower-case ASCII words separated by single blanks.
 
     Non-letters become blanks and blanks collapse, which one pattern does in one pass.
     """
-    words = F.btrim(F.regexp_replace(F.lower(to_ascii(c, entities)), "[^a-z]+", " "))
+    words = F.btrim(F.regexp_replace(F.lower(to_ascii(c, entities, folded)), "[^a-z]+", " "))
     return F.nullif(words, F.lit("")) if empty_to_null else words
 
 
-def clean_ascii_light(c: Column, entities: bool = True) -> Column:
+def clean_ascii_light(c: Column, entities: bool = True, folded: Column | None = None) -> Column:
     """ASCII text with collapsed whitespace; digits, punctuation and case stay."""
-    return collapse_ws(to_ascii(c, entities))
+    return collapse_ws(to_ascii(c, entities, folded))
 
 
 def clean_silver(c: Column) -> Column:
@@ -124,6 +134,17 @@ CLEANERS = {
 }
 
 
+def with_clean_text(df: DataFrame, cleaner: str, text: str = "text", target: str | None = None) -> DataFrame:
+    """Adds or replaces ``target`` (default: the text itself) by the cleaned text; what is costly runs once a row."""
+    target = target or text
+    if cleaner not in ("letters", "light"):
+        return computed_once(df, **{target: CLEANERS[cleaner](F.col(text))})
+    ascii_only = F.octet_length(text) == F.length(text)
+    rows = computed_once(df, _folded=F.when(~ascii_only, _folded(F.col(text))))
+    cleaned = CLEANERS[cleaner](F.col(text), folded=F.col("_folded"))
+    return computed_once(rows, **{target: cleaned}).drop("_folded")
+
+
 def record_hash(*columns: str | Column) -> Column:
     parts = [F.col(c) if isinstance(c, str) else c for c in columns]
     return F.sha2(F.concat_ws("||", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256)

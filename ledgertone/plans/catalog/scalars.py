@@ -22,7 +22,7 @@ for _name, _character in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp
 @query("clean_ascii_letters", f"SELECT doc_id, {Q.letters('text')} AS cleaned FROM documents")
 def clean_ascii_letters(spark, sf_dir):
     documents = I.table(spark, sf_dir, "documents")
-    return documents.select("doc_id", X.clean_ascii_letters(F.col("text")).alias("cleaned"))
+    return X.with_clean_text(documents.select("doc_id", "text"), "letters", target="cleaned").drop("text")
 
 
 @query(
@@ -36,7 +36,7 @@ def clean_ascii_letters_html(spark, sf_dir):
 @query("clean_ascii_light", f"SELECT doc_id, {Q.light('text')} AS cleaned FROM documents")
 def clean_ascii_light(spark, sf_dir):
     documents = I.table(spark, sf_dir, "documents")
-    return documents.select("doc_id", X.clean_ascii_light(F.col("text")).alias("cleaned"))
+    return X.with_clean_text(documents.select("doc_id", "text"), "light", target="cleaned").drop("text")
 
 
 @query("clean_silver", f"SELECT doc_id, {Q.silver_text('text')} AS cleaned FROM documents")

@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgertone.functions.labels import normalize_label, source_split, split_from_bucket
-from ledgertone.functions.text import clean_ascii_letters, hash_bucket, record_hash, seeded_hash
+from ledgertone.functions.text import hash_bucket, record_hash, seeded_hash, with_clean_text
 from ledgertone.schemas import LABELS
-from ledgertone.session import computed_once
 from ledgertone.sources.specs import source_spec, standardize
 
 # (model, seed, share kept): predictions agree with the label in that share of the rows.
@@ -77,7 +76,7 @@ def canonical_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("label").alias("label_raw"),
         normalize_label(F.col("label"), "signed").alias("label_normalized"),
     )
-    return computed_once(rows, text=clean_ascii_letters(F.col("text"))).withColumn(
+    return with_clean_text(rows, "letters").withColumn(
         "source_record_hash", record_hash("dataset_label", "split", "text", "label_normalized")
     )
 

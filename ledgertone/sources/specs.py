@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgertone.functions.labels import label_index_to_name, normalize_label
-from ledgertone.functions.text import CLEANERS
+from ledgertone.functions.text import with_clean_text
 from ledgertone.schemas import CANONICAL
-from ledgertone.session import computed_once
 from ledgertone.sources.columns import find_column, resolve_column
 
 
@@ -102,8 +101,7 @@ def standardize(
         text.alias("text"),
         normalize_label(label, spec.label_profile).alias("label_normalized"),
     )
-    cleaned = computed_once(rows, text=CLEANERS[spec.cleaner](F.col("text")))
-    return cleaned.select(*keep, *CANONICAL.fieldNames())
+    return with_clean_text(rows, spec.cleaner).select(*keep, *CANONICAL.fieldNames())
 
 
 def canonical_valid(df: DataFrame, labels: tuple[str, ...] | None = None) -> DataFrame:
