@@ -1,7 +1,8 @@
 """From documents to token sequences: quality rules, line dedup, near duplicates, secrets, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. ``run``
-writes each result as Parquet under the shared folder and reads it again for the next stage.
+writes each result as Parquet under the shared folder and reads it again for the next stage. What a stage staged on the
+way is removed when its result is written, and a result when the next one is.
 """
 
 import public_tokenizers
@@ -13,7 +14,7 @@ from ledgertone.llm.line_dedup import line_dedup
 from ledgertone.llm.packing import pack
 from ledgertone.llm.quality_rules import cleaned
 from ledgertone.llm.secret_scan import redacted
-from ledgertone.session import scratch_path
+from ledgertone.session import remove_path, scratch_path, scratch_scope
 
 END_ID = 1
 
@@ -64,10 +65,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        done = stage(spark, docs, sf_dir)
         path = scratch_path(spark, name)
-        done.write.parquet(path)
+        with scratch_scope(spark):
+            done = stage(spark, docs, sf_dir)
+            done.write.parquet(path)
         docs = spark.read.schema(done.schema).parquet(path)
+        if before:
+            remove_path(spark, before)
+        before = path
     return docs

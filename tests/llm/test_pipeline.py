@@ -1,6 +1,7 @@
 """The pipeline against plain versions of its stages."""
 
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -72,7 +73,11 @@ def test_pipeline_against_plain(spark, sf_dir, texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     want = {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in rows}
     got, spans = {}, defaultdict(list)
-    for r in corpus_pipeline.run(spark, sf_dir).collect():
+    shared = Path(spark.conf.get("spark.checkpoint.dir")) / "ledgertone"
+    before = {p for p in shared.glob("*/*") if p.is_dir()}
+    result = corpus_pipeline.run(spark, sf_dir)
+    assert [p.name for p in shared.glob("*/*") if p.is_dir() and p not in before] == ["packing"]  # all else is removed
+    for r in result.collect():
         got[r.doc_id] = r.doc_tokens
         spans[r.doc_id].append((r.start, r.length))
     assert got == want
