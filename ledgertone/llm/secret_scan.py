@@ -9,6 +9,7 @@ through; other columns are not read. Texts are scanned whole. Ties in start are
 """
 
 import re
+from bisect import bisect_left
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -90,14 +91,24 @@ def novel_spans(
 ) -> list[tuple[int, int, int]]:
     """Tokens of 16 or more characters, with a digit and a letter, that start within ``reach`` characters after a
     sensitive word, lie outside the spans already taken, and whose marginal share is at least ``least``."""
+    closed: list[list[int]] = []  # the taken spans, merged where they touch
+    for s, _, e in sorted(taken):
+        if closed and s <= closed[-1][1]:
+            closed[-1][1] = max(closed[-1][1], e)
+        else:
+            closed.append([s, e])
+    starts = [s for s, _ in closed]
     found, last = [], -1
     for word in _SENSITIVE.finditer(text):
         for m in _TOKEN.finditer(text, word.end(), word.end() + reach + 4096):
             if m.start() > word.end() + reach:
                 break
-            if m.start() <= last or any(s < m.end() and m.start() < e for s, _, e in taken):
+            if m.start() <= last:
                 continue
             token = _TOKEN.match(text, m.start())[0]
+            before = bisect_left(starts, m.start() + len(token)) - 1
+            if before >= 0 and closed[before][1] > m.start():
+                continue
             last = m.start()
             if not (any(c.isdigit() for c in token) and any(c.isalpha() for c in token)):
                 continue
