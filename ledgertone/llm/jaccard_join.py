@@ -284,7 +284,8 @@ def _sizes_fit(n, m, percent):
 def first_pairs(members: DataFrame, percent: int) -> DataFrame:
     """For each class that is not first itself, the class that is first in most of its lists. First in a list is who
     has the fewest rarer shingles: an original, all of whose shingles its near copies hold, rather than a copy."""
-    first = members.groupBy("token").agg(F.min(F.struct("place", "sig", "n")).alias("first"))
+    # Staged, so that the join is one of two plain exchanges, where a long list can be split over tasks.
+    first = staged(members.groupBy("token").agg(F.min(F.struct("place", "sig", "n")).alias("first")), "first")
     met = members.join(first, "token").select(
         F.col("sig").alias("b"), "n", F.col("first.sig").alias("a"), F.col("first.n").alias("m")
     ).where(F.col("a") != F.col("b")).where(_sizes_fit(F.col("n"), F.col("m"), percent))
@@ -301,7 +302,7 @@ def crossing_pairs(members: DataFrame, percent: int) -> DataFrame:
     """
     sizes = members.groupBy("token", "comp").agg(F.count("*").alias("k"))
     main = sizes.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("main"), F.count("*").alias("c"))
-    main = main.where("c > 1").select("token", F.col("main.comp").alias("main"))
+    main = staged(main.where("c > 1").select("token", F.col("main.comp").alias("main")), "main")
     open_lists = staged(
         members.join(main, "token").withColumn("is_main", F.col("comp") == F.col("main")).drop("main"), "open_lists"
     )
@@ -354,7 +355,8 @@ def jaccard_components(
 
     members = found.where("kind = 1").select("token", "sig", "n", "place")
     lists = members.groupBy("token").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi")
-    members = staged(members.join(lists.select("token"), "token").distinct(), "members")
+    lists = staged(lists.select("token"), "lists")
+    members = staged(members.join(lists, "token").distinct(), "members")
     bodies = found.where("kind = 0 AND text IS NOT NULL").select("sig", "text").join(
         members.select("sig").distinct(), "sig"
     )
@@ -374,7 +376,8 @@ def jaccard_components(
     comp = sets.join(of, "sig", "left").withColumn("comp", F.coalesce("label", "sig")).drop("label")
     comp = comp.join(merged, "comp", "left").withColumn("comp", F.coalesce("top", "comp")).drop("top")
     alone = F.col("n") == 0
-    smallest = comp.where(~alone).groupBy("comp").agg(F.min("doc_id").alias("smallest"))
+    comp = staged(comp, "comp")
+    smallest = staged(comp.where(~alone).groupBy("comp").agg(F.min("doc_id").alias("smallest")), "smallest")
     return comp.join(smallest, "comp", "left").select(
         "doc_id", F.col("key").alias("text_key"), F.col("n").cast("long").alias("n_shingles"),
         F.col("sig").alias("class_id"), F.col("comp").alias("group_id"),

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
 from ledgertone.llm.batches import id_type, map_slices, row_schema, whole_rows, with_new_text
-from ledgertone.session import scratch_path, small_side
+from ledgertone.llm.components import staged
+from ledgertone.session import small_side
 
 WINDOW, SPACING, MIN_LINES = 2, 3, 2
 BASE, MODULUS = 31, 1 << 32
@@ -82,21 +83,18 @@ def line_dedup(
     Digests are counted in a narrow shuffle. Only chunks whose digest repeats move with their bytes, which are
     compared with those of the first occurrence; a chunk that merely shares a digest stays.
     """
-    spark = docs.sparkSession
     id_kind = id_type(docs, id_col)
     rows = whole_rows(docs, id_col, text_col).withColumn("key", F.xxhash64("text"))
-    path = scratch_path(spark, "chunks")
-    found = find_chunks(rows.select("doc_id", "key", "text"), id_kind, window, spacing, min_lines)
-    found.write.option("compression", "zstd").parquet(path)
-    found = spark.read.schema(found.schema).parquet(path)
+    found = staged(find_chunks(rows.select("doc_id", "key", "text"), id_kind, window, spacing, min_lines), "chunks")
 
     place = F.struct("doc_id", "key", "chunk")
     repeated = (
         found.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
     )
     again = found.join(small_side(repeated), "digest").withColumn("is_first", place.eqNullSafe(F.col("first")))
-    again = again.select("doc_id", "key", "chunk", "digest", "body", "is_first")
+    again = staged(again.select("doc_id", "key", "chunk", "digest", "body", "is_first"), "again")
     first = again.where("is_first").select("digest", F.col("body").alias("first_body")).dropDuplicates(["digest"])
+    first = staged(first, "first")  # so that the join below is one of two plain exchanges, where a hot digest is split
     removed = (
         again.where(~F.col("is_first")).join(first, "digest").where(F.col("body") == F.col("first_body"))
         .groupBy("doc_id", "key").agg(F.collect_set("chunk").alias("removed"))
