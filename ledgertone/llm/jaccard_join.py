@@ -357,10 +357,9 @@ def jaccard_components(
     lists = members.groupBy("token").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi")
     lists = staged(lists.select("token"), "lists")
     members = staged(members.join(lists, "token").distinct(), "members")
-    bodies = found.where("kind = 0 AND text IS NOT NULL").select("sig", "text").join(
-        members.select("sig").distinct(), "sig"
-    )
-    bodies = staged(bodies.groupBy("sig").agg(F.any_value("text").alias("text")), "bodies")
+    # One text of each class; combined map-side first, so that a class with very many copies ships one a task.
+    bodies = found.where("kind = 0 AND text IS NOT NULL").groupBy("sig").agg(F.any_value("text").alias("text"))
+    bodies = staged(bodies.join(members.select("sig").distinct(), "sig", "left_semi"), "bodies")
 
     label = components(similar(first_pairs(members, percent), bodies, size, percent))
     placed = members.join(label.withColumnRenamed("node", "sig"), "sig", "left").select(
