@@ -12,6 +12,7 @@ id is passed through; other columns are not read. Texts of any length are encode
 
 import os
 import re
+import struct
 
 import numpy as np
 import pandas as pd
@@ -49,7 +50,7 @@ class WordIds:
     _OTHER_STOP = re.compile(rb"(?<![a-z])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,](?=[ \n]|\Z)")
     _STOPS = tuple((c + s, b" " + c + s) for c in (b".", b",") for s in (b" ", b"\n"))
 
-    def __init__(self, tokenizer_file: str, most: int = 500_000):
+    def __init__(self, tokenizer_file: str, most: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -66,13 +67,18 @@ class WordIds:
         """Lower-case Latin words are one token run that normalisation leaves alone: the model gets them as they are
         spelt. All else goes through the whole tokenizer, many words at once with fences between them."""
         tokenize, spelling, others = self._tokenizer.model.tokenize, _spelling(), []
+        known, pack_ids = self._known, {n: struct.Struct(f"<{n}I").pack for n in range(33)}
         for word in words:
-            text = word.decode()
-            if text.isalpha() and text.islower() and text == text.lower() and max(text) < "\u0250":
-                spelt = text if text.isascii() else word.decode("latin-1").translate(spelling)
-                self._known[word] = np.array([t.id for t in tokenize(spelt)], "<u4").tobytes()
+            if word.isalpha() and word.islower():  # of bytes: ASCII letters
+                spelt = word.decode()
             else:
-                others.append(word)
+                text = word.decode()
+                if not (text.isalpha() and text.islower() and text == text.lower() and max(text) < "\u0250"):
+                    others.append(word)
+                    continue
+                spelt = word.decode("latin-1").translate(spelling)
+            ids = [t.id for t in tokenize(spelt)]
+            known[word] = pack_ids[len(ids)](*ids) if len(ids) <= 32 else np.array(ids, "<u4").tobytes()
         plain = [w for w in others if self._FENCE.encode() not in w]
         for at in range(0, len(plain), 20_000):
             part = plain[at:at + 20_000]
