@@ -3,13 +3,14 @@
 A candidate is a long token near a sensitive word. Its novelty is the number of bytes that zstandard needs for it
 beyond those for the surrounding text alone, where the compressor is primed with a dictionary of identifiers and
 keywords. Words, paths and names from the neighbourhood cost next to nothing; key material costs almost its length.
+Other copies of the candidate do not count as surroundings, and every copy of a novel token in the text is a span.
 
 Results for unusual rows: null and empty texts have no spans; repeated rows give repeated results; a null id is passed
 through; other columns are not read. Texts are scanned whole. Ties in start are ordered by kind, as listed in KINDS.
 """
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -33,6 +34,8 @@ SENSITIVE = (
 _SENSITIVE = re.compile("|".join(map(re.escape, SENSITIVE)), re.I | re.A)
 _SENSITIVE_BYTES = tuple(w.encode() for w in SENSITIVE)
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
+_MARKS, _PREFIX = "+/_=.~-", 12
+_RUN = re.compile(rf"[A-Za-z0-9{_MARKS}]{{{_PREFIX},}}")
 # Common identifiers and keywords of code and configuration files; the dictionary's content.
 IDENTIFIERS = (
     "abstract assert async await boolean break case catch class const continue default def delete elif else enum "
@@ -85,18 +88,21 @@ class Novelty:
         return more / len(candidate)
 
 
-def novel_spans(
-    text: str, taken: list[tuple[int, int, int]], novelty: Novelty, reach: int = 48, around: int = 400,
-    least: float = 0.75,
-) -> list[tuple[int, int, int]]:
-    """Tokens of 16 or more characters, with a digit and a letter, that start within ``reach`` characters after a
-    sensitive word, lie outside the spans already taken, and whose marginal share is at least ``least``."""
-    closed: list[list[int]] = []  # the taken spans, merged where they touch
+def merged(taken: list[tuple[int, int, int]]) -> list[list[int]]:
+    """The spans as (start, end), merged where they touch."""
+    closed: list[list[int]] = []
     for s, _, e in sorted(taken):
         if closed and s <= closed[-1][1]:
             closed[-1][1] = max(closed[-1][1], e)
         else:
             closed.append([s, e])
+    return closed
+
+
+def candidates(text: str, taken: list[tuple[int, int, int]], reach: int = 48) -> list[tuple[int, int]]:
+    """(start, end) of tokens of 16 or more characters, with a digit and a letter, that start within ``reach``
+    characters after a sensitive word and lie outside the spans already taken."""
+    closed = merged(taken)
     starts = [s for s, _ in closed]
     found, last = [], -1
     for word in _SENSITIVE.finditer(text):
@@ -112,10 +118,86 @@ def novel_spans(
             last = m.start()
             if not (any(c.isdigit() for c in token) and any(c.isalpha() for c in token)):
                 continue
-            end = m.start() + len(token)
-            near = text[max(0, m.start() - around):m.start()] + " " + text[end:end + around]
-            if novelty.share(near, token) >= least:
-                found.append((m.start(), 3, end))
+            found.append((m.start(), m.start() + len(token)))
+    return found
+
+
+def novel_spans(
+    text: str, taken: list[tuple[int, int, int]], novelty: Novelty, reach: int = 48, around: int = 400,
+    least: float = 0.75,
+) -> list[tuple[int, int, int]]:
+    """Candidates whose marginal share, next to all that surrounds them, is at least ``least``."""
+    found = []
+    for start, end in candidates(text, taken, reach):
+        near = text[max(0, start - around):start] + " " + text[end:end + around]
+        if novelty.share(near, text[start:end]) >= least:
+            found.append((start, 3, end))
+    return found
+
+
+def core(token: str) -> str:
+    """The token without marks at its ends, which differ from copy to copy ('=key', '/key'), unless little is left."""
+    inner = token.strip(_MARKS)
+    return inner if len(inner) >= _PREFIX else token
+
+
+def without(text: str, start: int, end: int, copy: str, first: int, last: int) -> str:
+    """text[start:end] without the copies of ``copy`` in text[first:last], also those that only reach into it."""
+    parts, at = [], start
+    found = text.find(copy, first, last)
+    while found >= 0:
+        parts.append(text[at:found])
+        at = max(at, found + len(copy))
+        found = text.find(copy, found + len(copy), last)
+    return " ".join([*parts, text[at:end]])
+
+
+def copies(text: str, keys: set[str]) -> list[tuple[int, int]]:
+    """(start, end) of the places where a key stands, but for those within a longer one; sorted. One pass: lengths of
+    keys are looked up by their first characters. Keys hold characters of tokens only."""
+    lengths: dict[str, set[int]] = {}
+    for key in keys:
+        lengths.setdefault(key[:_PREFIX], set()).add(len(key))
+    found, reached = [], 0
+    for m in _RUN.finditer(text):
+        run = m[0]
+        for i in range(len(run) - _PREFIX + 1):
+            fit = (n for n in lengths.get(run[i:i + _PREFIX], ()) if i + n <= len(run) and run[i:i + n] in keys)
+            longest = max(fit, default=0)
+            if longest and m.start() + i + longest > reached:
+                reached = m.start() + i + longest
+                found.append((m.start() + i, reached))
+    return found
+
+
+def repeated_spans(
+    text: str, taken: list[tuple[int, int, int]], novelty: Novelty, reach: int = 48, around: int = 400,
+    least: float = 0.75,
+) -> list[tuple[int, int, int]]:
+    """What ``novel_spans`` leaves of tokens that stand more than once: candidates whose share is at least ``least``
+    once other copies are taken out of the surroundings, and all copies of any novel token in the text. ``taken`` holds
+    the spans of ``novel_spans``, too."""
+    keys = {core(text[s:e]) for s, k, e in taken if k == 3}
+    found = []
+    for start, end in candidates(text, taken, reach):
+        key = core(text[start:end])
+        if key not in keys:
+            low, high = max(0, start - around), end + around
+            first, last = max(0, low - len(key) + 1), high + len(key) - 1
+            if text.find(key, first, start) < 0 and text.find(key, end, last) < 0:
+                continue  # measured before
+            near = without(text, low, start, key, first, start) + " " + without(text, end, high, key, end, last)
+            if novelty.share(near, text[start:end]) < least:
+                continue
+            keys.add(key)
+        found.append((start, 3, end))
+    if keys:
+        closed = merged(taken + found)
+        starts = [s for s, _ in closed]
+        for start, end in copies(text, keys):
+            before = bisect_right(starts, start) - 1
+            if before < 0 or closed[before][1] < end:
+                found.append((start, 3, end))
     return found
 
 
@@ -130,6 +212,7 @@ def scanner(reach: int, around: int, least: float):
         found = base_spans(text, low)
         if any(w in low for w in _SENSITIVE_BYTES):
             found = found + novel_spans(text, found, novelty, reach, around, least)
+            found = found + repeated_spans(text, found, novelty, reach, around, least)
         return sorted(found)
 
     return spans

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from ledgertone.llm.byte_bpe import byte_bpe, decode, encode, load_encoding, pieces
 from ledgertone.llm.queries import QUERIES
 from ledgertone.llm.quality_rules import line_rule, quality_rules, repeated_words
-from ledgertone.llm.secret_scan import Novelty, base_spans, novel_spans, redact, secret_scan
+from ledgertone.llm.secret_scan import Novelty, base_spans, copies, novel_spans, redact, scanner, secret_scan
 from ledgertone.llm.token_counts import MARK, LevelTrie, SharedTrie, load_scores, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -86,6 +86,24 @@ def test_novel_strings_are_reported_and_known_words_are_not():
     assert redact("abcdef", [(1, 3), (2, 4)]) == "a[secret]ef"
 
 
+def test_repeated_secrets_are_reported_wherever_they_stand():
+    spans, draw = scanner(48, 400, 0.75), random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for gap in (0, 100, 290, 330, 1_000):
+        key = "k7" + "".join(draw.choices(letters, k=38))
+        line = f"curl -H 'Authorization: Bearer {key}' https://www.example.com/items"
+        text = f"{line}\n{'plain words ' * (gap // 12)}\n{line}\nand once more, beside nothing: {key}\n"
+        text += f"bearer /{key}/ follows"
+        assert [text[s:e].strip("/") for s, _, e in spans(text)] == [key] * 4
+        assert key not in redact(text, [(s, e) for s, _, e in spans(text)])
+    said = "q7Zp0xVd93LmTr5yKw28"
+    text = f"{said} was said before; the credential {said}"
+    assert [(k, text[s:e]) for s, k, e in spans(text)] == [(3, said)] * 2
+    assert spans("the bearer refresh_token_expires_in2 and the bearer refresh_token_expires_in2") == []
+    many = {key + "x" * n for n in (0, 5)}
+    assert copies(f"{key}xxxxx.{key}", many) == [(0, 45), (46, 86)]
+
+
 def test_secret_query_holds_all_base_spans(spark, sf_dir, texts):
     rows = QUERIES["op5_secret_scan"](spark, sf_dir).collect()
     assert len(rows) == len(texts) and sum(r.n_assign + r.n_access + r.n_hex for r in rows) > 0
