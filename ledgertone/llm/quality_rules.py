@@ -25,6 +25,7 @@ NOTICES = (
     "subscribe to our newsletter", "powered by wordpress", "copyright ©", "copyright (c)",
 )
 BARS = frozenset((b"|", "»".encode(), "•".encode(), "›".encode(), b">", b"/"))
+_BAR = re.compile(b"|".join(map(re.escape, sorted(BARS))))
 _SHOUT = re.compile(rb"[!?]{2}")
 _DRESSED = re.compile(rb"[#*$%&|<>]")
 _LETTER = re.compile(rb"[0-9A-Za-z\x80-\xff]")
@@ -54,7 +55,7 @@ def line_rule(line: bytes, notice_words: int = 20) -> int:
     if b"!!" in line or b"??" in line or b"!?" in line or b"?!" in line:
         if 10 * sum(_SHOUT.search(w) is not None for w in words) > 3 * n:
             return 1
-    if n >= 10 or b"|" in line or b"/" in line or b">" in line:
+    if n >= 10 or _BAR.search(line) is not None:
         bars = sum(map(BARS.__contains__, words))
         if bars >= 2 and 5 * bars >= n:
             return 2

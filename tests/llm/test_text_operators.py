@@ -5,13 +5,15 @@ import math
 import random
 import re
 
+import duckdb
 import public_tokenizers
 import pytest
+from compare import difference
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ledgertone.llm.byte_bpe import byte_bpe, decode, encode, load_encoding, pieces
-from ledgertone.llm.queries import QUERIES
+from ledgertone.llm.queries import ORACLES, QUERIES
 from ledgertone.llm.quality_rules import line_rule, quality_rules, repeated_words
 from ledgertone.llm.secret_scan import Novelty, base_spans, copies, novel_spans, redact, scanner, secret_scan
 from ledgertone.llm.token_counts import MARK, LevelTrie, SharedTrie, load_scores, token_counts
@@ -54,6 +56,20 @@ def test_quality_rules_keep_the_rest_of_a_document(frame):
     assert {r.doc_id: r.kept for r in quality_rules(frame(rows)).collect()} == {3: True, 4: False}
 
 
+def test_short_navigation_lines_against_the_twin(spark, tmp_path):
+    good = "\n".join(f"Line {i} says {i * 7} and {i * 11}, then {i * 13}." for i in range(1, 5))
+    rows = [(0, good)]
+    for bar in ("|", "»", "•", "›", ">", "/"):
+        for line in (f"Home {bar} News {bar} Sport", f"Login {bar} Help", f"a{bar}b {bar} c", f"{bar} {bar}"):
+            rows.append((len(rows), "\n".join([f"{line} {n}" for n in range(9)] + ["x y"])))
+            rows.append((len(rows), f"{good}\n{line}"))
+        assert line_rule(f"Home {bar} News {bar} Sport {bar} About".encode()) == 2
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert difference(QUERIES["op2_quality_rules"](spark, str(tmp_path)), con, ORACLES["op2_quality_rules"]) is None
+
+
 def plain_base(text):
     spans = []
     for m in re.finditer(
