@@ -56,6 +56,7 @@ class WordIds:
 
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
         self._fence_id = self._tokenizer.token_to_id(self._FENCE)
+        self._special = [t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._most = most
         self._known: dict[bytes, bytes] = {}
 
@@ -96,12 +97,14 @@ class WordIds:
         """Parts of the text whose ids, joined, are those of the text.
 
         The tokenizer lower-cases after composing accents. Lower-casing ASCII letters first changes nothing unless a
-        combining accent (U+0300 to U+036F) follows one; then the text stays as it is. A full stop or comma after a
-        letter and before white space is a token run of its own, so it may stand alone.
+        combining accent (U+0300 to U+036F) follows one, or the text has a special token in other letters, as those are
+        matched before; then the text stays as it is. A full stop or comma after a letter and before white space is a
+        token run of its own, so it may stand alone.
         """
         data = text.encode()
-        if b"\xcc" not in data and b"\xcd" not in data:
-            data = data.lower()
+        low = data.lower()
+        if b"\xcc" not in data and b"\xcd" not in data and all(low.count(s) == data.count(s) for s in self._special):
+            data = low
             if self._OTHER_STOP.search(data) is not None:
                 data = self._STOP.sub(rb" \1", data)
             else:  # the same, faster

@@ -185,6 +185,15 @@ def test_word_ids_equal_the_tokenizer(tokenizer, texts):
             assert np.frombuffer(ids, "<u4").tolist() == want, repr(text)
 
 
+def test_special_tokens_in_capitals_are_ordinary_words(tokenizer):
+    draw = random.Random(8)
+    parts = ["<|ENDOFTEXT|>", "<|EndOfText|>", "<|endoftext|>", "<|STARTOFTEXT|>", "<|startoftext|>", "<|", "Word", "a.", ",",
+             " ", "\n", "É", "́"]
+    made = ["<|ENDOFTEXT|>", "a <|STARTOFTEXT|>. B", *("".join(draw.choices(parts, k=12)) for _ in range(500))]
+    for text, ids in zip(made, WordIds(WORDS).encode(made), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def check_packing(rows, texts, tokenizer, size, most_padding):
     ids = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in texts.items()}
     docs, sequences = defaultdict(list), defaultdict(list)
