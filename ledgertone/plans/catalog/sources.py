@@ -70,9 +70,9 @@ def union_csv_files(spark, sf_dir):
     root = scratch_path(spark, "csv")
     sources = I.source_shapes(spark, sf_dir)
     for number, (frame, _) in enumerate(sources):
-        frame.drop("given_split").coalesce(2).write.options(**CSV_EXACT).csv(f"{root}/shape_{number}")
+        frame.drop("given_split").write.options(**CSV_EXACT).csv(f"{root}/shape_{number}")
     # A file without text and label columns is left out.
-    sources[0][0].select("record_seq", "given_split").coalesce(1).write.options(**CSV_EXACT).csv(f"{root}/other")
+    sources[0][0].select("record_seq", "given_split").write.options(**CSV_EXACT).csv(f"{root}/other")
     combined = S.union_csv_files(
         spark, S.list_files(spark, root, [".csv"]), (*S.CSV_TEXT_COLUMNS, "input"), (*S.CSV_LABEL_COLUMNS, "output")
     )

@@ -24,3 +24,18 @@ def test_query(name, spark, sf_dir, con):
         assert difference(result, con, ORACLES[name]) is None
     else:
         assert result.count() > 0
+
+
+def test_csv_files_grow_with_the_partitions(spark, sf_dir, monkeypatch):
+    """Each shape is written by as many tasks as it has partitions, and the records stay the same."""
+    from pathlib import Path
+
+    from ledgertone.plans.catalog import sources
+
+    roots, scratch = [], sources.scratch_path
+    monkeypatch.setattr(sources, "scratch_path", lambda *a: roots.append(scratch(*a)) or roots[-1])
+    rows = sources.union_csv_files(spark, sf_dir).count()
+    parts = [frame.rdd.getNumPartitions() for frame, _ in sources.I.source_shapes(spark, sf_dir)]
+    assert min(parts) > 2 and rows == sources.I.raw_records(spark, sf_dir).count()
+    for folder, n in zip(("shape_0", "shape_1", "shape_2", "shape_3", "other"), [*parts, parts[0]]):
+        assert len(list(Path(roots[0].removeprefix("file:"), folder).glob("*.csv"))) == n
