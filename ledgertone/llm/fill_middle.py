@@ -98,13 +98,14 @@ def code_points(piece: np.ndarray) -> int:
     return int(np.count_nonzero(piece & 0xC0 != 0x80))
 
 
-def even_pieces(chunks: Iterable[bytes], size: int = FRAME_BYTES) -> Iterator[bytes]:
+def even_pieces(chunks: Iterable[bytes]) -> Iterator[bytes]:
     held = bytearray()
     for chunk in chunks:
-        held += chunk
-        while len(held) >= size:
-            yield bytes(held[:size])
-            del held[:size]
+        for at in range(0, len(chunk), FRAME_BYTES):
+            held += chunk[at:at + FRAME_BYTES]
+            if len(held) >= FRAME_BYTES:
+                yield bytes(held[:FRAME_BYTES])
+                del held[:FRAME_BYTES]
     if held:
         yield bytes(held)
 
