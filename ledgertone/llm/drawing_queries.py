@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgertone.llm.fill_middle import fill_in_middle, framed, output_digests
+from ledgertone.llm.fill_middle import digests, fill_in_middle
 from ledgertone.llm.importance import importance_ranks
 from ledgertone.llm.pii_scan import KINDS, pii_scan
 from ledgertone.llm.registry import documents, query
@@ -122,4 +122,6 @@ FROM p
 
 @query("op13_fill_in_middle", OP13_SQL)
 def op13(spark, sf_dir):
-    return output_digests(fill_in_middle(framed(documents(spark, sf_dir))))
+    return fill_in_middle(
+        documents(spark, sf_dir), derive=digests, derived="output_sha256 string, restored_sha256 string"
+    )

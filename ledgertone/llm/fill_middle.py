@@ -18,7 +18,6 @@ from itertools import pairwise
 import numpy as np
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgertone.llm.batches import id_and_text, id_type, map_slices
 
@@ -169,8 +168,8 @@ def rebuilt(output: Frames, form: str) -> Iterator[bytes]:
         yield from output.stream(*bounds[part])
 
 
-def _frames(piece) -> list[Frames]:
-    return [Frames(*row) for row in zip(*(piece.column(c).to_pylist() for c in _COLUMNS))]
+def _frames(piece) -> Iterator[Frames]:
+    return (Frames(*row) for row in zip(*(piece.column(c).to_pylist() for c in _COLUMNS)))
 
 
 def framed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -188,43 +187,48 @@ def framed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
-def fill_in_middle(stored: DataFrame, seed: int = 42, percent: int = 50, spm_percent: int = 80) -> DataFrame:
-    """(doc_id, n, form, prefix_chars, middle_chars, frames of the output) from what ``framed`` gives.
-
-    About ``percent`` of the documents are rearranged, of these ``spm_percent`` with the suffix first; a text that holds
-    a mark stays plain.
-    """
-
+def _rearranged(rows: DataFrame, sized_by: str, texts, seed: int, percent: int, spm_percent: int, derive, derived: str):
     def start():
         def run(piece):
-            ids, counts = piece.column("doc_id").to_pylist(), piece.column("n")
-            done = [arranged(i, text, seed, percent, spm_percent) for i, text in zip(ids, _frames(piece))]
-            form, prefix, middle, output = map(list, zip(*done))
-            return [piece.column("doc_id"), counts, form, prefix, middle, *map(list, zip(*(o.row() for o in output)))]
+            done = []
+            for doc_id, text in zip(piece.column("doc_id").to_pylist(), texts(piece)):
+                form, prefix, middle, output = arranged(doc_id, text, seed, percent, spm_percent)
+                done.append((text.n_units, form, prefix, middle, *(derive(output, form) if derive else output.row())))
+            return [piece.column("doc_id"), *map(list, zip(*done))]
 
         return run
 
-    schema = f"doc_id {id_type(stored)}, n long, form string, prefix_chars long, middle_chars long, {STORED}"
-    return map_slices(stored, schema, start, text="data")
+    schema = f"doc_id {id_type(rows)}, n long, form string, prefix_chars long, middle_chars long, {derived}"
+    return map_slices(rows, schema, start, text=sized_by)
 
 
-def output_texts(outputs: DataFrame, restore: bool = False) -> DataFrame:
-    """(doc_id, text): the outputs as strings, or with ``restore`` the texts that they came from."""
+def fill_in_middle(
+    docs: DataFrame, seed: int = 42, percent: int = 50, spm_percent: int = 80, id_col: str = "doc_id",
+    text_col: str = "text", derive=None, derived: str = STORED,
+) -> DataFrame:
+    """(doc_id, n, form, prefix_chars, middle_chars, frames of the output), from texts.
 
-    def start():
-        def run(piece):
-            forms = piece.column("form").to_pylist()
-            read = [rebuilt(o, f) if restore else o.stream() for o, f in zip(_frames(piece), forms)]
-            return [piece.column("doc_id"), [b"".join(r).decode() for r in read]]
+    About ``percent`` of the documents are rearranged, of these ``spm_percent`` with the suffix first; a text that holds
+    a mark stays plain. ``derive(output, form)`` may replace the frames by values made of them where they arise,
+    described by ``derived``; a caller who needs only digests then moves no texts.
+    """
 
-        return run
+    def texts(piece):
+        return (store([t.encode()] if t else ()) for t in piece.column("text").to_pylist())
 
-    return map_slices(outputs, f"doc_id {id_type(outputs)}, text string", start, text="data")
+    rows = id_and_text(docs, id_col, text_col)
+    return _rearranged(rows, "text", texts, seed, percent, spm_percent, derive, derived)
+
+
+def fill_in_stored(
+    stored: DataFrame, seed: int = 42, percent: int = 50, spm_percent: int = 80, derive=None, derived: str = STORED,
+) -> DataFrame:
+    """The same from a store that ``framed`` made: other draws of one corpus need not frame it again."""
+    return _rearranged(stored, "data", _frames, seed, percent, spm_percent, derive, derived)
 
 
-def output_digests(outputs: DataFrame) -> DataFrame:
-    """The outputs with SHA-256 of output and rebuilt text in place of the frames."""
-    kept = [c for c in outputs.columns if c not in _COLUMNS]
+def digests(output: Frames, form: str) -> tuple[str, str]:
+    """SHA-256 of the output and of the text rebuilt from it, frame by frame."""
 
     def digest(chunks):
         told = hashlib.sha256()
@@ -232,16 +236,18 @@ def output_digests(outputs: DataFrame) -> DataFrame:
             told.update(chunk)
         return told.hexdigest()
 
+    return digest(output.stream()), digest(rebuilt(output, form))
+
+
+def output_texts(outputs: DataFrame, restore: bool = False) -> DataFrame:
+    """(doc_id, text): the outputs as strings, or with ``restore`` the texts that they came from."""
+
     def start():
         def run(piece):
-            forms, output = piece.column("form").to_pylist(), _frames(piece)
-            return [
-                *(piece.column(c) for c in kept), [digest(o.stream()) for o in output],
-                [digest(rebuilt(o, f)) for o, f in zip(output, forms)],
-            ]
+            forms = piece.column("form").to_pylist()
+            read = [rebuilt(o, f) if restore else o.stream() for o, f in zip(_frames(piece), forms)]
+            return [piece.column("doc_id"), [b"".join(r).decode() for r in read]]
 
         return run
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in outputs.schema.fields if f.name in kept)
-    rows = outputs.select(*[F.col(c) for c in outputs.columns])
-    return map_slices(rows, f"{kinds}, output_sha256 string, restored_sha256 string", start, text="data")
+    return map_slices(outputs, f"doc_id {id_type(outputs)}, text string", start, text="data")
