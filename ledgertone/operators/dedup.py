@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgertone.operators.bloom import FILTER_BYTES, bloom_filter, bloom_passed
+from ledgertone.session import BROADCAST_ROWS, cut_lineage, small_side
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key, the first by a total order.
@@ -21,9 +24,29 @@ def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).distinct()
 
 
+def known_keys(
+    batch: DataFrame, existing: DataFrame, key: str, max_rows: int = BROADCAST_ROWS, filter_bytes: int = FILTER_BYTES
+) -> DataFrame:
+    """The batch's keys that the table holds, checkpointed. The table is read where it lies and never shuffled.
+
+    A batch of few keys is broadcast to the scan. Of a larger one a Bloom filter goes there, and only keys that pass it
+    move, to be compared with the batch's. The filter has at most ``filter_bytes``; the more keys a batch has beyond
+    an eighth of its bits, the more rows pass, and the comparison keeps the result exact.
+    """
+    keys = cut_lineage(batch.select(key).where(F.col(key).isNotNull()).distinct())
+    count = keys.count()
+    if count == 0:
+        return keys
+    if count <= max_rows:
+        return cut_lineage(existing.select(key).join(small_side(keys), key, "left_semi").distinct())
+    passed = bloom_passed(existing.select(key), key, bloom_filter(keys, key, count, filter_bytes))
+    return cut_lineage(passed.join(keys, key, "left_semi").distinct())
+
+
 def new_rows(batch: DataFrame, existing: DataFrame, key: str = "source_record_hash") -> DataFrame:
-    """Rows whose key the table does not hold yet. An anti join needs no distinct on its build side."""
-    return batch.join(existing.select(key), key, "left_anti")
+    """Rows whose key the table does not hold yet, and those without a key. What the table grows by later does not
+    change the result; the batch is read twice."""
+    return batch.join(known_keys(batch, existing, key), key, "left_anti")
 
 
 def duplicate_flags(

@@ -1,6 +1,7 @@
 """Sources (S): the input is written once in the source's format, then read the way the source is read."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgertone.functions.text import safe_key
 from ledgertone.plans import inputs as I
@@ -56,6 +57,23 @@ def scan_landing_csv(spark, sf_dir):
     return scan.withColumn("has_path", F.col("source_path").endswith(".csv")).drop("source_path")
 
 
+@query(
+    "scan_csv_ranges",
+    f"""WITH {Q.RAW} SELECT CAST(record_seq AS VARCHAR) AS record_seq, text || chr(10) || 'said "' || label || '"' AS text,
+    label, true AS has_path FROM raw_records""",
+)
+def scan_csv_ranges(spark, sf_dir):
+    """Every text holds a quoted line break and quotes; files are read by ranges whatever their size."""
+    path = scratch_path(spark, "landing")
+    raw = I.raw_records(spark, sf_dir)
+    text = F.concat("text", F.lit('\nsaid "'), "label", F.lit('"'))
+    raw.select("record_seq", text.alias("text"), "label").write.options(**CSV_EXACT).csv(path)
+    files = S.list_files(spark, path, [".csv"])
+    names = T.StructType([T.StructField(n, T.StringType()) for n in ("record_seq", "text", "label")])
+    scan = S.scan_csv_ranges(spark, files, names)
+    return scan.withColumn("has_path", F.col("source_path").endswith(".csv")).drop("source_path")
+
+
 @query(
     "union_csv_files",
     f"""WITH {Q.RAW} SELECT CAST(record_seq AS VARCHAR) AS record_seq,
