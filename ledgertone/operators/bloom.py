@@ -40,7 +40,7 @@ def bloom_filter(keys: DataFrame, key: str, count: int, most_bytes: int = FILTER
 
     filled = keys.select(*_hashes(key)).groupBy("segment").applyInArrow(fill, "segment long, bytes binary")
     out = np.zeros((SEGMENTS, size), np.uint8)
-    for row in filled.toLocalIterator():
+    for row in filled.collect():
         out[row["segment"]] = np.frombuffer(row["bytes"], np.uint8)
     return out
 

@@ -7,6 +7,7 @@ are neither shuffled nor sorted.
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,6 +25,25 @@ def with_tie(df: DataFrame) -> DataFrame:
     return stage(df.withColumn(TIE, F.monotonically_increasing_id()), "numbered")
 
 
+def with_place(df: DataFrame) -> tuple[DataFrame, bool]:
+    """Adds each row's place in the input, and tells whether another read gives it the same one.
+
+    Files follow by path and rows as they stand in them, however Spark packs files into tasks. Formats that number their
+    rows (Parquet) give a fixed place; of others the rows of a file's range are numbered as they are read. A frame that
+    does not come straight from files is taken as it lies.
+    """
+    path, block = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
+    number = F.monotonically_increasing_id().alias("number")
+    for place, fixed in (
+        (F.struct(path, F.col("_metadata.row_index").alias("row")), True), (F.struct(path, block, number), False),
+    ):
+        try:
+            return df.withColumn(TIE, place), fixed
+        except AnalysisException:  # no such metadata
+            continue
+    return df.withColumn(TIE, number), False
+
+
 def split_cuts(total: Column) -> list[Column]:
     """End positions of train and validation: test and validation are round(0.2 n), train the rest."""
     fifth = F.round(total * F.lit(0.2)).cast("bigint")
@@ -131,20 +151,23 @@ def _named(segment: Column) -> Column:
 
 
 def sequential_split(
-    df: DataFrame, order: Sequence[str], group: str = "dataset_label", split: str = "split"
+    df: DataFrame, order: Sequence[str], group: str = "dataset_label", split: str = "split", unique: bool = False
 ) -> DataFrame:
     """60/20/20 by position, given splits in the order train, validation, test, then any others by name.
 
     Rows with equal order keys, or all rows of a given split without any, follow in the order in which the input
-    lies. They are numbered for that and written once; the number also parts them over the range partitions.
+    lies (``with_place``). Where that place is not the same on every read, the rows are written once. Only keys are
+    ranked. A caller whose order keys are ``unique`` within a group needs no place.
     """
-    df = with_tie(df)
+    if not unique:
+        df, fixed = with_place(df)
+        df = df if fixed else stage(df, "numbered")
     given = F
     for number, name in enumerate(SPLITS):
         given = given.when(F.col(split) == name, F.lit(number))
     place = F.struct(
         given.otherwise(F.lit(len(SPLITS))).alias("p"), F.coalesce(F.col(split), F.lit("")).alias("s"),
-        *[F.col(c).alias(f"k{i}") for i, c in enumerate([*order, TIE])],
+        *[F.col(c).alias(f"k{i}") for i, c in enumerate(order if unique else [*order, TIE])],
     )
     keys = df.select(group, place.alias("_place"))
     ranked = distributed_rank(keys, ["_place"], [group])
@@ -199,24 +222,33 @@ def stratified_split(
 def take_per_group(df: DataFrame, groups: Sequence[str], count: int, key: str, seed: int = 42) -> DataFrame:
     """Exactly ``count`` rows of each group, or all if it has fewer, by seeded hash of the key.
 
-    Rows that share a key are ordered by their whole content. Rows before the cut are kept as they lie; those at the
-    cut are equal in every column, so the right number of copies of one of them is made.
+    The cut is found on keys alone; rows beyond it are dropped where they are read. Only rows that share the key at the
+    cut are ordered by their whole content; those equal in every column are copies, of which the right number is made.
     """
-    whole = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
-    rows = df.withColumn("_o", F.concat(seeded_hash(seed, key), whole))
     groups = list(groups)
-    found, _ = _hash_cuts(
-        rows, groups, F.col("_o"), lambda total: [F.least(total, F.lit(count).cast("bigint"))]
-    )
+    rows = df.withColumn("_o", seeded_hash(seed, key))
+    found, _ = _hash_cuts(rows, groups, F.col("_o"), lambda total: [F.least(total, F.lit(count).cast("bigint"))])
+    near = stage(_up_to_cut(rows, groups, found, "_o"), "near")
+    before = near.where(F.col("_o") < F.col("_cut0")).select(*df.columns)
+    whole = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+    at_cut = near.where(F.col("_o") == F.col("_cut0")).withColumn("_o", whole)
+    at_cut = at_cut.withColumnRenamed("_take0", "_wanted").drop("_cut0")
+    wanted = [*groups, "_wanted"]
+    found, _ = _hash_cuts(at_cut, wanted, F.col("_o"), lambda total: [F.least(total, F.col("_wanted"))])
+    last = _up_to_cut(at_cut, wanted, found, "_o")
+    ends = last.where(F.col("_o") == F.col("_cut0")).groupBy(*df.columns).agg(F.max("_take0").alias("_n"))
+    copies = ends.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
+    inner = last.where(F.col("_o") < F.col("_cut0")).select(*df.columns)
+    return before.unionByName(inner).unionByName(copies.select(*df.columns))
+
+
+def _up_to_cut(rows: DataFrame, groups: list[str], found: DataFrame, order: str) -> DataFrame:
+    """The rows up to their group's cut, with ``_cut0`` and ``_take0``. Groups compare null-safe."""
     side = small_side(found.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_cut0", "_take0"))
     same = F.lit(True)
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    near = rows.join(side, same).where(F.col("_o") <= F.col("_cut0"))
-    before = near.where(F.col("_o") < F.col("_cut0")).select(*df.columns)
-    at_cut = near.where(F.col("_o") == F.col("_cut0")).groupBy(*df.columns).agg(F.max("_take0").alias("_n"))
-    copies = at_cut.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
-    return before.unionByName(copies.select(*df.columns))
+    return rows.join(side, same).where(F.col(order) <= F.col("_cut0")).drop(*[f"_g_{g}" for g in groups])
 
 
 def stratified_sample(

@@ -87,9 +87,9 @@ def tfidf_logreg_fit(spark, sf_dir):
       round(ln((1.0 + (SELECT count(*) FROM words)) / (1.0 + df)) + 1, 9) AS scale FROM feature""",
 )
 def tfidf_logreg_terms(spark, sf_dir):
-    """The fitted model's vocabulary, in its order, with the factor that each count is scaled by."""
+    """The model's vocabulary, in its order, with the factor that each count is scaled by."""
     rows = stage(gold(spark, sf_dir), "gold")
-    model = T.tfidf_logreg_fit(rows.where(F.col("split") == "train"), MAX_FEATURES, max_iter=1)
+    model = T.tfidf_features(rows.where(F.col("split") == "train"), MAX_FEATURES)
     terms, factors = model.stages[0].vocabulary, model.stages[1].getScalingVec().toArray().tolist()
     return spark.createDataFrame(
         [(t, i, round(f, 9)) for i, (t, f) in enumerate(zip(terms, factors))], "term string, place bigint, scale double"
@@ -104,7 +104,7 @@ def tfidf_logreg_terms(spark, sf_dir):
 def tfidf_logreg_scored(spark, sf_dir):
     """Every row of every split is scored, with a label of the domain and a probability."""
     rows = stage(gold(spark, sf_dir), "gold")
-    scored = T.logreg_predict(T.tfidf_logreg_fit(rows.where(F.col("split") == "train"), MAX_FEATURES, max_iter=5), rows)
+    scored = T.logreg_predict(T.tfidf_logreg_fit(rows.where(F.col("split") == "train"), MAX_FEATURES), rows)
     return scored.groupBy("split", "label_normalized").agg(
         F.count("*").alias("rows"), F.count_if(F.col("prediction").isin("negative", "neutral", "positive")).alias(
             "with_prediction"),

@@ -94,6 +94,18 @@ def new_rows_anti(spark, sf_dir):
     return D.new_rows(rows, existing)
 
 
+@query(
+    "new_rows_filtered",
+    f"""WITH {Q.BRONZE}, old AS (SELECT source_record_hash FROM bronze WHERE source_dataset IN ('src0', 'src1', 'src2'))
+    SELECT DISTINCT source_record_hash FROM old""",
+)
+def new_rows_filtered(spark, sf_dir):
+    """The known keys of a batch that is not to be broadcast: a Bloom filter goes to the table's scan."""
+    rows = bronze(spark, sf_dir)
+    existing = rows.where(F.col("source_dataset").isin("src0", "src1", "src2"))
+    return D.known_keys(rows, existing, "source_record_hash", max_rows=0)
+
+
 @query(
     "technical_columns",
     f"""WITH {Q.BRONZE} SELECT source_record_hash, 'batch-1' AS ingestion_batch_id, true AS has_id, true AS has_time

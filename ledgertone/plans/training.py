@@ -20,7 +20,6 @@ from ledgertone.sources import readers as S
 
 REGISTERED_MODEL = "sentiment_classifier"
 MAX_FEATURES = 10_000
-SAMPLE_ROWS = 5  # per class and candidate, to look at
 
 # (training rows, evaluation rows) -> evaluation rows with prediction and score
 Fit = Callable[[DataFrame, DataFrame], DataFrame]
@@ -45,20 +44,25 @@ def scorer_candidate(load: Callable[[], G.Scorer]) -> Fit:
 
 def train_candidates(
     spark: SparkSession, space: Workspace, candidates: Sequence[Candidate], batch_id: str, fallback: bool = True,
-    eval_rows_per_class: int | None = None, seed: int = 42,
+    eval_rows_per_class: int | None = None, seed: int = 42, stored_rows_per_class: int | None = None,
 ) -> DataFrame:
     """One metrics row per candidate, from all held-out rows unless a number per class is asked for.
 
     A failing candidate leaves a FAILED row and, if allowed, the baseline steps in. The classification report, the
-    confusion matrix and some predictions of each candidate are stored beside the metrics.
+    confusion matrix and the predictions of each candidate are stored beside the metrics: those of every evaluation row,
+    unless a number per class is asked for.
     """
     with scratch_scope(spark):
-        _train_candidates(spark, space, candidates, batch_id, fallback, eval_rows_per_class, seed)
+        _train_candidates(
+            spark, space, candidates, batch_id, fallback, eval_rows_per_class, seed, stored_rows_per_class
+        )
     metrics = spark.table(space.table("model_candidate_metrics"))
     return metrics.where(F.col("training_batch_id") == batch_id)
 
 
-def _train_candidates(spark, space, candidates, batch_id, fallback, eval_rows_per_class, seed) -> None:
+def _train_candidates(
+    spark, space, candidates, batch_id, fallback, eval_rows_per_class, seed, stored_rows_per_class
+) -> None:
     gold = spark.table(space.table("gold"))
     train = gold.where(F.col("split") == "train")
     held_out = M.eval_set(gold).select("source_record_hash", "text_clean", "label_normalized")
@@ -71,7 +75,9 @@ def _train_candidates(spark, space, candidates, batch_id, fallback, eval_rows_pe
     def attempt(candidate: Candidate, mode: str) -> bool:
         try:
             rows = candidate.fit(train, evaluation).withColumn("model_key", F.lit(candidate.model_key))
-            scored.append(stage(rows.select("model_key", "source_record_hash", "label_normalized", "prediction"), "p"))
+            scored.append(
+                stage(rows.select("model_key", "source_record_hash", "label_normalized", "prediction", "score"), "p")
+            )
             tried.append((candidate, mode, None))
         except Exception as error:  # a candidate may fail in any way; the run records it
             tried.append((candidate, mode, str(error)))
@@ -105,21 +111,26 @@ def _train_candidates(spark, space, candidates, batch_id, fallback, eval_rows_pe
     metrics = E.candidate_metrics(predictions, plan, ["model_key"]).withColumn("event_ts", F.current_timestamp())
     kept = stage(metrics.select(*CONTROL_TABLES["model_candidate_metrics"].fieldNames()), "metrics")
     W.evolve_and_append(kept, space.table("model_candidate_metrics"))
-    _store_evaluation(space, predictions, evaluation, batch_id, seed)
+    _store_evaluation(space, predictions, evaluation, batch_id, seed, stored_rows_per_class)
     _log(spark, space, batch_id, "train", "SUCCESS", f"candidates ok={len(scored)}", len(scored))
 
 
 def _store_evaluation(
-    space: Workspace, predictions: DataFrame, evaluation: DataFrame, batch_id: str, seed: int
+    space: Workspace, predictions: DataFrame, evaluation: DataFrame, batch_id: str, seed: int,
+    stored_rows_per_class: int | None,
 ) -> None:
-    """Report, matrix and sample predictions, a row set per candidate."""
+    """Report, matrix and predictions, a row set per candidate."""
     cells = cut_lineage(predictions)
-    sample = P.take_per_group(cells, ["model_key", "label_normalized"], SAMPLE_ROWS, "source_record_hash", seed)
+    kept = cells
+    if stored_rows_per_class is not None:
+        kept = P.take_per_group(
+            cells, ["model_key", "label_normalized"], stored_rows_per_class, "source_record_hash", seed
+        )
     texts = evaluation.select("source_record_hash", "text_clean")
     outputs = {
         "model_classification_report": E.classification_report(cells, ["model_key"]),
         "model_confusion_matrix": E.confusion_matrix(cells, ["model_key"]),
-        "model_sample_predictions": sample.join(texts, "source_record_hash"),
+        "model_sample_predictions": kept.join(texts, "source_record_hash"),
     }
     for name, rows in outputs.items():
         W.evolve_and_append(
@@ -136,7 +147,7 @@ def train_from_snapshot(
 
     ``max_train_rows`` caps the training split (0: all of it). Without ``fit`` and ``predict`` the baseline is used.
     """
-    fit = fit or (lambda train: T.tfidf_logreg_fit(train, MAX_FEATURES, text="text", key="row_id"))
+    fit = fit or (lambda train: T.tfidf_logreg_fit(train, MAX_FEATURES, text="text"))
     predict = predict or (lambda model, rows: T.logreg_predict(model, rows, text="text"))
     with scratch_scope(spark):
         rows = M.training_frame(S.scan_snapshot(spark, base, snapshot_date)).select("text", "label_normalized", "split")

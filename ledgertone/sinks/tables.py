@@ -58,8 +58,9 @@ def append_new_rows(
     """Append the rows whose key the table lacks; returns exactly the rows appended.
 
     A table of an older layout, without the key, cannot be compared. That is an error, unless the caller asks for
-    a rebuild, which drops it. The batch is staged, and which of its keys are known is settled, before the append.
-    Everything that is counted or audited afterwards reads those, not a plan that would look at the grown table again.
+    a rebuild, which drops it. The table is read where it lies: only keys of the batch are looked for in it. The new rows
+    are staged before the append. Everything that is counted or audited afterwards reads the staged rows, not a plan that
+    would look at the grown table again.
     """
     spark = batch.sparkSession
     known = table_exists(spark, table)
@@ -68,9 +69,7 @@ def append_new_rows(
             raise ValueError(f"table {table} has no column {key}; pass rebuild=True to drop it and start anew")
         spark.sql(f"DROP TABLE {table}")
         known = False
-    fresh = stage(batch, "append")
-    if known:
-        fresh = new_rows(fresh, spark.table(table), key)
+    fresh = stage(new_rows(batch, spark.table(table), key) if known else batch, "append")
     evolve_and_append(fresh, table)
     return fresh
 

@@ -200,3 +200,32 @@ def test_unreadable_csv_files_are_left_out_and_told(spark, tmp_path):
     assert sorted((p.rsplit("/", 1)[1], why) for p, why in told) == [
         ("c.csv", "no text or label column"), ("d.csv", "unreadable or empty"), ("e.csv.gz", "unreadable or empty"),
     ]
+
+
+def test_sequential_split_follows_files_and_rows(spark, tmp_path):
+    """However large the files are, and however Spark deals them out: by path, then as rows stand in them."""
+    bounds = [(0, 100), (100, 1000), (1000, 1050)]
+    for form in ("parquet", "csv"):
+        for number, (first, last) in enumerate(bounds):
+            part = spark.range(first, last, numPartitions=1).selectExpr("id", "'d' AS dataset_label", "'train' AS split")
+            part.write.mode("append").option("header", True).format(form).save(f"{tmp_path}/{form}/part={number}")
+        rows = spark.read.format(form).option("header", True).load(f"{tmp_path}/{form}")
+        got = {int(r.id): r.split for r in P.sequential_split(rows, []).collect()}
+        assert [got[i] for i in range(1050)] == ["train"] * 630 + ["validation"] * 210 + ["test"] * 210
+    kept, fixed = P.with_place(spark.read.parquet(f"{tmp_path}/parquet"))
+    assert fixed and len(kept.columns) == 5
+    assert not P.with_place(spark.range(5))[1]
+    numbered = spark.range(50).selectExpr("id", "'d' AS dataset_label", "'train' AS split")
+    assert P.TIE not in P.sequential_split(numbered, ["id"], unique=True).columns
+    got = {r.id: r.split for r in P.sequential_split(numbered, ["id"], unique=True).collect()}
+    assert [got[i] for i in range(50)] == ["train"] * 30 + ["validation"] * 10 + ["test"] * 10
+
+
+def test_a_sample_hashes_no_content_but_at_the_cut(spark):
+    rows = spark.range(400).selectExpr("id % 40 AS k", "id", "'g' AS g")
+    got = P.take_per_group(rows, ["g"], 25, "k").collect()
+    assert len(got) == 25
+    whole = [r for r in rows.collect() if sum(x.k == r.k for x in got) == 10]
+    assert {(r.k, r.id) for r in whole} <= {(r.k, r.id) for r in got} and len(whole) == 20
+    again = P.take_per_group(rows.repartition(7), ["g"], 25, "k").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
