@@ -12,6 +12,7 @@ from ledgertone.plans.catalog.scalars import SOURCES_SQL
 from ledgertone.session import scratch_path
 from ledgertone.sinks import tables as W
 from ledgertone.sources import readers as S
+from ledgertone.streaming import log_source as L
 
 CSV_EXACT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
@@ -130,3 +131,23 @@ def stream_requests(spark, sf_dir):
     ).trigger(availableNow=True).start()
     job.awaitTermination()
     return spark.read.schema(received.schema).parquet(target)
+
+
+@query(
+    "stream_requests_log",
+    f"""WITH {Q.STREAM} SELECT position % 2 AS log_partition,
+    row_number() OVER (PARTITION BY position % 2 ORDER BY position) - 1 AS log_offset, payload FROM stream_records""",
+)
+def stream_requests_log(spark, sf_dir):
+    """A log of two partitions, read from its first record."""
+    log, target = scratch_path(spark, "log"), scratch_path(spark, "received")
+    records = I.stream_records(spark, sf_dir).withColumn("log_partition", (F.col("position") % 2).cast("int"))
+    L.append_to_log(records, log, ["position"])
+    received = L.stream_requests_log(spark, log, "earliest").select(
+        "log_partition", "log_offset", F.unbase64("data").cast("string").alias("payload")
+    )
+    job = received.writeStream.format("parquet").option("path", target).option(
+        "checkpointLocation", scratch_path(spark, "checkpoint")
+    ).trigger(availableNow=True).start()
+    job.awaitTermination()
+    return spark.read.schema(received.schema).parquet(target)
