@@ -118,11 +118,11 @@ def judged(texts: list[str | None], min_words: int, max_repeat_pct: int, max_los
         rule = [line_rule(x, notice_words) for x in lines]
         failed = sum(map(bool, rule))
         solid = sum(map(len, words[i]))
-        lost = sum(sum(map(len, x.split())) for x, r in zip(lines, rule) if 0 < r < 4) if failed else 0
-        left = any(not r and x.strip() for x, r in zip(lines, rule))
+        lost = sum(sum(map(len, x.split())) for x, r in zip(lines, rule) if r) if failed else 0
+        left = sum(len(x.split()) for x, r in zip(lines, rule) if not r) if failed else int(n_words[i])
         bad.append(failed)
         lost_pct.append(100.0 * lost / solid if solid else 0.0)
-        kept.append(bool(not base_failed[i] and left and 100 * lost <= max_lost_pct * solid))
+        kept.append(bool(not base_failed[i] and left >= min_words and 100 * lost <= max_lost_pct * solid))
         if texts[i] is None or not failed:
             clean.append(texts[i])
         else:
@@ -135,13 +135,13 @@ def judged(texts: list[str | None], min_words: int, max_repeat_pct: int, max_los
 
 def quality_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20, max_repeat_pct: int = 30,
-    max_lost_pct: int = 60, notice_words: int = 20,
+    max_lost_pct: int = 50, notice_words: int = 20,
 ) -> DataFrame:
     """One row per document: counts, the base rule, the verdict and the cleaned text.
 
     ``kept`` is false if the base rule fails, if more than ``max_lost_pct`` percent of the bytes in words lie in lines
-    that fail one of the first three rules, or if no line with a word stays. Notices are removed without counting as a
-    loss: a short clean document with a licence line is clean. ``clean_text`` is the text without the failing lines.
+    that fail a rule, or if the other lines have fewer than ``min_words`` words. ``clean_text`` is the text without the
+    failing lines.
     """
 
     def start():
@@ -159,7 +159,7 @@ def quality_rules(
 
 def cleaned(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20, max_repeat_pct: int = 30,
-    max_lost_pct: int = 60, notice_words: int = 20,
+    max_lost_pct: int = 50, notice_words: int = 20,
 ) -> DataFrame:
     """The documents that ``quality_rules`` keeps, all columns, with the cleaned text."""
     rows = whole_rows(docs, id_col, text_col)

@@ -41,8 +41,8 @@ f AS (
 ),
 lines AS (
     SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines,
-        coalesce(sum(solid) FILTER (WHERE bad), 0) AS lost, sum(solid) AS solid,
-        bool_or(NOT bad AND NOT notice_line) AS some_left
+        coalesce(sum(solid) FILTER (WHERE bad OR notice_line), 0) AS lost, sum(solid) AS solid,
+        coalesce(sum(n) FILTER (WHERE NOT bad AND NOT notice_line), 0) AS words_left
     FROM f GROUP BY doc_id
 ),
 r AS (
@@ -50,7 +50,7 @@ r AS (
         (length(text) - length(regexp_replace(text, '[^\x20\x09-\x0D]', '', 'g')))::BIGINT AS word_chars,
         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
-        coalesce(some_left AND 100 * lost <= 60 * solid, false) AS enough
+        coalesce(words_left >= 20 AND 100 * lost <= 50 * solid, false) AS enough
     FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
