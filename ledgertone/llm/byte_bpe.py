@@ -3,6 +3,10 @@
 Long texts are split where a run of white space follows another character. No match of the pattern reaches over such a
 place, and what a match looks ahead to is unchanged, so the pieces' ids in order are the ids of the whole text.
 
+The pattern engine cannot match runs of about a million white-space characters. The pattern takes such a run whole where
+the text ends, else all but its last character, which goes with what follows; longer runs than ``RUN_CHARS`` are taken
+out like that and encoded by the ranks directly.
+
 Results for unusual rows: null and empty texts have no ids and decode to empty bytes; repeated rows give repeated
 results; a null id is passed through; other columns are not read.
 """
@@ -16,8 +20,11 @@ from pyspark.sql import DataFrame
 
 from ledgertone.llm.batches import id_and_text, id_type, map_slices
 
-PIECE_CHARS = 1 << 16
-_BOUNDARY = re.compile(r"(?<=\S)(?=\s)")
+PIECE_CHARS, RUN_CHARS = 1 << 16, 1 << 12
+# White space as the pattern engine knows it, which is less than Python's.
+_WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_BOUNDARY = re.compile(rf"(?<=[^{_WHITE}])(?=[{_WHITE}])")
+_LONG_RUN = re.compile(rf"(?<![{_WHITE}])[{_WHITE}]{{{RUN_CHARS},}}+")
 
 
 def load_ranks(rank_file: str) -> dict[bytes, int]:
@@ -43,9 +50,18 @@ def pieces(text: str, size: int = PIECE_CHARS) -> list[str]:
 
 
 def encode(encoding: tiktoken.Encoding, text: str) -> list[int]:
-    if len(text) <= PIECE_CHARS:
+    if len(text) <= RUN_CHARS:
         return encoding.encode_ordinary(text)
-    return [i for part in pieces(text) for i in encoding.encode_ordinary(part)]
+    ids, at = [], 0
+    for run in _LONG_RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        for part in pieces(text[at:run.start()]):
+            ids += encoding.encode_ordinary(part)
+        ids += encoding._core_bpe.encode_single_piece(text[run.start():end].encode())
+        at = end
+    for part in pieces(text[at:]):
+        ids += encoding.encode_ordinary(part)
+    return ids
 
 
 def decode(encoding: tiktoken.Encoding, ids: list[int]) -> bytes:
