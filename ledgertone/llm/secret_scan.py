@@ -2,13 +2,16 @@
 
 A candidate is a long token near a sensitive word. Its novelty is the number of bytes that zstandard needs for it
 beyond those for the surrounding text alone, where the compressor is primed with a dictionary of identifiers and
-keywords. Words, paths and names from the neighbourhood cost next to nothing; key material costs almost its length.
+keywords, over the bytes that random characters of the token's own alphabet take. Words, paths and names from the
+neighbourhood cost next to nothing; key material costs what its alphabet takes, also in a list of keys, where the
+compressor has learned that alphabet.
 Other copies of the candidate do not count as surroundings, and every copy of a novel token in the text is a span.
 
 Results for unusual rows: null and empty texts have no spans; repeated rows give repeated results; a null id is passed
 through; other columns are not read. Texts are scanned whole. Ties in start are ordered by kind, as listed in KINDS.
 """
 
+import math
 import re
 from bisect import bisect_left, bisect_right
 
@@ -33,8 +36,12 @@ SENSITIVE = (
 )
 _SENSITIVE = re.compile("|".join(map(re.escape, SENSITIVE)), re.I | re.A)
 _SENSITIVE_BYTES = tuple(w.encode() for w in SENSITIVE)
-_TOKEN = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
+_LEAST = 16
+_TOKEN = re.compile(rf"[A-Za-z0-9+/_=.~-]{{{_LEAST},}}")
 _MARKS, _PREFIX = "+/_=.~-", 12
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_ALPHABETS = [set("0123456789abcdef"), set("0123456789ABCDEF"), set(_LETTERS.upper() + "234567")]
+_CLASSES = [set("0123456789"), set(_LETTERS), set(_LETTERS.upper()), set(_MARKS)]
 _RUN = re.compile(rf"[A-Za-z0-9{_MARKS}]{{{_PREFIX},}}")
 # Common identifiers and keywords of code and configuration files; the dictionary's content.
 IDENTIFIERS = (
@@ -71,6 +78,16 @@ def base_spans(text: str, low: bytes) -> list[tuple[int, int, int]]:
     return found
 
 
+def alphabet_bits(token: str) -> float:
+    """Bits of a random character of the smallest usual alphabet that holds the token: hexadecimal, base 32, or the
+    classes of characters that occur."""
+    used = set(token)
+    for alphabet in _ALPHABETS:
+        if used <= alphabet:
+            return math.log2(len(alphabet))
+    return math.log2(sum(len(kind) for kind in _CLASSES if used & kind))
+
+
 class Novelty:
     """Marginal compressed bytes of a candidate, given its surroundings and the identifier dictionary."""
 
@@ -82,10 +99,10 @@ class Novelty:
         ).compress
 
     def share(self, around: str, candidate: str) -> float:
-        """Marginal bytes as a share of the candidate's length."""
+        """Marginal bytes over those of random characters of the candidate's alphabet."""
         alone = around.encode("utf-8", "surrogatepass")
         more = len(self._compress(alone + b" " + candidate.encode())) - len(self._compress(alone + b" "))
-        return more / len(candidate)
+        return 8 * more / (len(candidate) * alphabet_bits(candidate))
 
 
 def merged(taken: list[tuple[int, int, int]]) -> list[list[int]]:
@@ -101,30 +118,37 @@ def merged(taken: list[tuple[int, int, int]]) -> list[list[int]]:
 
 def candidates(text: str, taken: list[tuple[int, int, int]], reach: int = 48) -> list[tuple[int, int]]:
     """(start, end) of tokens of 16 or more characters, with a digit and a letter, that start within ``reach``
-    characters after a sensitive word and lie outside the spans already taken."""
+    characters after a sensitive word and lie outside the spans already taken.
+
+    Of a run of token characters that holds sensitive words itself, what follows the first and the last one counts, so
+    that a long run costs no more than its length.
+    """
     closed = merged(taken)
     starts = [s for s, _ in closed]
-    found, last = [], -1
+    runs: list[tuple[int, int, int]] = []  # first start, last start, end
     for word in _SENSITIVE.finditer(text):
-        for m in _TOKEN.finditer(text, word.end(), word.end() + reach + 4096):
+        for m in _TOKEN.finditer(text, word.end(), word.end() + reach + _LEAST):
             if m.start() > word.end() + reach:
                 break
-            if m.start() <= last:
-                continue
-            token = _TOKEN.match(text, m.start())[0]
-            before = bisect_left(starts, m.start() + len(token)) - 1
-            if before >= 0 and closed[before][1] > m.start():
-                continue
-            last = m.start()
-            if not (any(c.isdigit() for c in token) and any(c.isalpha() for c in token)):
+            if not runs or m.start() >= runs[-1][2]:
+                runs.append((m.start(), m.start(), _TOKEN.match(text, m.start()).end()))
+            elif m.start() > runs[-1][1]:
+                runs[-1] = (runs[-1][0], m.start(), runs[-1][2])
+    found = []
+    for first, last, end in runs:
+        for start in dict.fromkeys((first, last)):
+            before = bisect_left(starts, end) - 1
+            if before >= 0 and closed[before][1] > start:
                 continue
-            found.append((m.start(), m.start() + len(token)))
+            token = text[start:end]
+            if any(map(str.isdigit, token)) and any(map(str.isalpha, token)):
+                found.append((start, end))
     return found
 
 
 def novel_spans(
     text: str, taken: list[tuple[int, int, int]], novelty: Novelty, reach: int = 48, around: int = 400,
-    least: float = 0.75,
+    least: float = 0.8,
 ) -> list[tuple[int, int, int]]:
     """Candidates whose marginal share, next to all that surrounds them, is at least ``least``."""
     found = []
@@ -172,7 +196,7 @@ def copies(text: str, keys: set[str]) -> list[tuple[int, int]]:
 
 def repeated_spans(
     text: str, taken: list[tuple[int, int, int]], novelty: Novelty, reach: int = 48, around: int = 400,
-    least: float = 0.75,
+    least: float = 0.8,
 ) -> list[tuple[int, int, int]]:
     """What ``novel_spans`` leaves of tokens that stand more than once: candidates whose share is at least ``least``
     once other copies are taken out of the surroundings, and all copies of any novel token in the text. ``taken`` holds
@@ -220,7 +244,7 @@ def scanner(reach: int, around: int, least: float):
 
 def secret_scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 48, around: int = 400,
-    least: float = 0.75,
+    least: float = 0.8,
 ) -> DataFrame:
     """One row per document: ``spans``, an array of (kind, start, stop) in code points, stop exclusive."""
 
@@ -248,7 +272,7 @@ def redact(text: str, spans: list[tuple[int, int]], mask: str = "[secret]") -> s
 
 def redacted(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 48, around: int = 400,
-    least: float = 0.75, mask: str = "[secret]",
+    least: float = 0.8, mask: str = "[secret]",
 ) -> DataFrame:
     """The documents, all columns, with every span of ``secret_scan`` replaced by a mark."""
     rows = whole_rows(docs, id_col, text_col)

@@ -15,7 +15,8 @@ from hypothesis import strategies as st
 from ledgertone.llm.byte_bpe import byte_bpe, decode, encode, load_encoding, pieces
 from ledgertone.llm.queries import ORACLES, QUERIES
 from ledgertone.llm.quality_rules import line_rule, quality_rules, repeated_words
-from ledgertone.llm.secret_scan import Novelty, base_spans, copies, novel_spans, redact, scanner, secret_scan
+from ledgertone.llm.secret_scan import Novelty, alphabet_bits, base_spans, copies, novel_spans, redact, scanner
+from ledgertone.llm.secret_scan import secret_scan
 from ledgertone.llm.token_counts import MARK, LevelTrie, SharedTrie, load_scores, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -50,10 +51,21 @@ def test_quality_rules_keep_the_rest_of_a_document(frame):
     result = {r.doc_id: r for r in quality_rules(frame(rows)).collect()}
     assert result[1].kept and result[1].clean_text == good and result[1].n_bad_lines == 2
     assert not result[2].kept
-    short = "Twelve words of a clean text and then a licence line follows here."
+
+
+def test_notices_count_as_lost_text(frame):
+    clean = "Twenty-four words of a clean text stand here and say this and that, and then a licence line follows on the next line below."
     notice = "This work is licensed under the GNU General Public License, version 3."
-    rows = [(3, f"{short}\n{notice}"), (4, f"{notice}\n{notice[:-1]}!")]
-    assert {r.doc_id: r.kept for r in quality_rules(frame(rows)).collect()} == {3: True, 4: False}
+    page = "\n".join([notice, "All rights reserved by us and by nobody else at all, as ever.", "We accept cookies: accept cookies."])
+    rows = [
+        (1, f"{clean}\n{notice}"), (2, f"{notice}\n{notice[:-1]}!"), (3, f"{page}\nword"),
+        (4, f"{clean}\n" + "\n".join([notice] * 3)),  # more lost than kept
+        (5, " ".join(clean.split()[:19]) + f"\n{notice}"),  # nineteen words stay
+        (6, " ".join(clean.split()[:20]) + f"\n{notice}"),
+    ]
+    found = {r.doc_id: r for r in quality_rules(frame(rows)).collect()}
+    assert {i: r.kept for i, r in found.items()} == {1: True, 2: False, 3: False, 4: False, 5: False, 6: True}
+    assert found[1].clean_text == clean and found[1].lost_pct > 30
 
 
 def test_short_navigation_lines_against_the_twin(spark, tmp_path):
@@ -103,7 +115,7 @@ def test_novel_strings_are_reported_and_known_words_are_not():
 
 
 def test_repeated_secrets_are_reported_wherever_they_stand():
-    spans, draw = scanner(48, 400, 0.75), random.Random(3)
+    spans, draw = scanner(48, 400, 0.8), random.Random(3)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     for gap in (0, 100, 290, 330, 1_000):
         key = "k7" + "".join(draw.choices(letters, k=38))
@@ -120,6 +132,61 @@ def test_repeated_secrets_are_reported_wherever_they_stand():
     assert copies(f"{key}xxxxx.{key}", many) == [(0, 45), (46, 86)]
 
 
+HEX, BASE32 = "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+BASE36 = "abcdefghijklmnopqrstuvwxyz0123456789"
+SETTINGS = {
+    "one": (1, "We write that the bearer of this is {} and go on with other words in plain prose."),
+    "twice": (1, "bearer {0}\nsomething else\nbearer {0}\n"), "headers": (400, "Authorization: Bearer {}"),
+    "variables": (400, "SERVICE_SIGNATURE {}"), "prose": (400, "the client_id is {} here"),
+}
+
+
+@pytest.mark.parametrize("setting", SETTINGS)
+@pytest.mark.parametrize("alphabet", [HEX, HEX.lower(), BASE32, BASE36, BASE36 + BASE32[:26]],
+                         ids=["HEX", "hex", "base32", "base36", "base62"])
+def test_planted_keys_are_found_by_alphabet_and_setting(alphabet, setting):
+    draw, spans = random.Random(11), scanner(48, 400, 0.8)
+    lines, form = SETTINGS[setting]
+    for length in (20, 40, 64):
+        keys = ["".join(draw.choices(alphabet, k=length)) for _ in range(max(lines, 100))]
+        found = 0
+        for first in range(0, len(keys), lines):
+            text = "\n".join(form.format(k) for k in keys[first:first + lines])
+            covered = spans(text)
+            for key in keys[first:first + lines]:
+                at = text.find(key)
+                found += any(s <= at and at + length <= e for s, _, e in covered)
+        assert found >= 0.9 * len(keys)
+
+
+def test_alphabets():
+    assert [alphabet_bits(t) for t in ("0a9f", "0A9F", "AZ27", "az", "a1")] == [
+        4, 4, 5, math.log2(26), math.log2(36)]
+    assert alphabet_bits("aA1") == math.log2(62) and alphabet_bits("aA1_") == math.log2(69)
+
+
+def test_names_in_code_cost_less_than_keys():
+    spans = scanner(48, 400, 0.8)
+    for line in ("token = base_tokenizer_v2.tokenize_line_2(line)", "password_field_2 = form.password_field_2.value",
+                 "if secret_manager_v1beta.secret_manager_v1beta_client is None:"):
+        assert not any(k == 3 for _, k, _ in spans(f"{line}\n" * 3))
+
+
+@pytest.mark.parametrize("unit", ["token ", "token", "token_a1", "bearer x1x1x1x1x1x1x1x1x1x1 "])
+def test_sensitive_words_all_through_take_time_in_proportion(unit):
+    from time import perf_counter
+
+    spans = scanner(48, 400, 0.8)
+
+    def seconds(size):
+        started = perf_counter()
+        spans(unit * (size // len(unit)))
+        return perf_counter() - started
+
+    seconds(1_000)
+    assert seconds(400_000) < 12 * seconds(100_000) + 0.5
+
+
 def test_secret_query_holds_all_base_spans(spark, sf_dir, texts):
     rows = QUERIES["op5_secret_scan"](spark, sf_dir).collect()
     assert len(rows) == len(texts) and sum(r.n_assign + r.n_access + r.n_hex for r in rows) > 0
@@ -159,6 +226,25 @@ def test_byte_bpe_round_trip(spark, sf_dir, texts, encoding):
     assert decode(encoding, encode(encoding, long)) == long.encode()
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["a", "\u00e9", "!", "1", "'s", " ", "\n", "\x1c", "\x85", " " * 4095, " " * 4096, "\n" * 5000,
+                                 "\u2003" * 4200]), max_size=7))
+def test_long_runs_have_the_ids_of_the_whole(parts):
+    text = "".join(parts)
+    assert encode(load_encoding_once(), text) == load_encoding_once().encode_ordinary(text)
+
+
+@pytest.mark.parametrize("text", [
+    " " * 2_000_000, "\n" * 2_000_000, "a" * 2_000_000, "word" + " " * 2_000_000 + "word", "x\n\n" + "\n" * 2_000_000 + " y",
+    "!" * 2_000_000, "\x85" * 1_000_000,
+], ids=["blanks", "lines", "letters", "middle", "end", "signs", "other white space"])
+def test_bpe_survives_any_long_run(frame, text):
+    rows = byte_bpe(frame([(1, text), (2, "plain")], False), RANKS, public_tokenizers.PATTERN,
+                    derive=lambda ids, back: (hashlib.sha256(back).hexdigest(),), derived="back string").collect()
+    assert {r.doc_id: r.back for r in rows} == {
+        1: hashlib.sha256(text.encode()).hexdigest(), 2: hashlib.sha256(b"plain").hexdigest()}
+
+
 def plain_viterbi(word, scores):
     text = MARK + word
     low = min(scores.values()) - 10.0
