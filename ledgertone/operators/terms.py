@@ -1,21 +1,25 @@
-"""The most frequent words and word pairs, found without shuffling every one of them.
+"""The most frequent words and word pairs, overall or by group, found without shuffling every one of them.
 
-Each task keeps a summary of at most ``tracked`` terms: when more have come together, all counts are lowered by the
-largest one that must go. A term's true count then exceeds what the merged summaries say by no more than the sum of what
-the tasks took off. Terms that can reach the last place by that bound are counted again, exactly, in a second pass. If a
-term in no summary could reach it, all terms are counted instead, so the result is exact in any case.
+Each task keeps for each group a summary of at most ``tracked`` terms: when more have come together, all counts are lowered
+by the largest one that must go. A term's true count then exceeds what the merged summaries say by no more than the sum of
+what the tasks took off. Terms that can reach the last place by that bound are counted again, exactly, in a second pass.
+Where a term in no summary could reach it, all terms of that group are counted instead, so the result is exact in any case.
 """
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgertone.session import BROADCAST_BYTES, cut_lineage, stage
 
-TRACKED = 400_000
+TRACKED, CANDIDATES = 400_000, 1_000_000
 _SLICE_ROWS = 2_000
+_COUNTS = "grp string, term string, total long, df long"
 
 
 def grams(words: pa.ListArray, orders: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -66,89 +70,140 @@ class Summary:
         return table
 
 
-def slices(batches):
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, len(batch), _SLICE_ROWS):
             yield batch.slice(at, _SLICE_ROWS)
 
 
+def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.ListArray]]:
+    for batch in slices(batches):
+        groups, words = batch.column(0), batch.column(1)
+        for group in groups.unique().to_pylist():
+            yield group, words.filter(pc.equal(groups, group))
+
+
 def _summarized(orders: int, tracked: int):
+    """A row per term that a task tracks, and for each group one without a term that tells the error."""
+
     def run(batches):
-        summary = Summary(tracked)
-        for batch in slices(batches):
-            terms, _, index = grams(batch.column(0), orders)
+        kept: dict[str, Summary] = {}
+        for group, words in _by_group(batches):
+            terms, _, index = grams(words, orders)
             if len(terms):
-                summary.add(terms.cast(pa.string()), np.bincount(index, minlength=len(terms)))
-        table = summary.reduce()
-        yield from table.cast(pa.schema([("term", pa.string()), ("n", pa.int64())])).to_batches()
-        yield pa.RecordBatch.from_pydict({"term": pa.array([None], pa.string()), "n": pa.array([summary.error])})
+                kept.setdefault(group, Summary(tracked)).add(
+                    terms.cast(pa.string()), np.bincount(index, minlength=len(terms)))
+        for group, summary in kept.items():
+            table = summary.reduce()
+            terms = table.column("term").combine_chunks().cast(pa.string())
+            terms = pa.concat_arrays([terms, pa.array([None], pa.string())])
+            counts = np.append(table.column("n").to_numpy(), summary.error)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([group] * len(terms)), terms, pa.array(counts, pa.int64())], ["grp", "term", "n"])
 
     return run
 
 
-def _counted(orders: int, candidates: pa.Array | None):
-    """Total and document frequency; of the candidates only, one row each and task, or of all terms, a row each slice."""
+def _counted(orders: int, candidates: dict[str, pa.Array] | None):
+    """Total and document frequency: of the candidates only, one row each and task, or of all terms, a row each slice."""
+
+    def rows(group, terms, total, documents):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([group] * len(terms), pa.string()), terms.cast(pa.string()), pa.array(total), pa.array(documents)],
+            ["grp", "term", "total", "df"],
+        )
 
     def run(batches):
-        known = 0 if candidates is None else len(candidates)
-        total, documents = np.zeros(known, np.int64), np.zeros(known, np.int64)
-        for batch in slices(batches):
-            terms, owner, index = grams(batch.column(0), orders)
+        known = candidates or {}
+        sums = {g: (np.zeros(len(c), np.int64), np.zeros(len(c), np.int64)) for g, c in known.items()}
+        for group, words in _by_group(batches):
+            if candidates is not None and group not in known:
+                continue
+            terms, owner, index = grams(words, orders)
+            size = len(terms)
             if candidates is not None:
-                place = pc.fill_null(pc.index_in(terms.cast(pa.string()), value_set=candidates), -1).to_numpy()[index]
+                size = len(known[group])
+                found = pc.index_in(terms.cast(pa.string()), value_set=known[group])
+                place = pc.fill_null(found, -1).to_numpy()[index]
                 index, owner = place[place >= 0], owner[place >= 0]
-            once = np.unique(index * len(batch) + owner) // max(len(batch), 1)
-            size = known if candidates is not None else len(terms)
+            once = np.unique(index * len(words) + owner) // max(len(words), 1)
             here = np.bincount(index, minlength=size), np.bincount(once, minlength=size)
             if candidates is None:
-                yield pa.RecordBatch.from_arrays([terms.cast(pa.string()), *map(pa.array, here)], ["term", "total", "df"])
+                yield rows(group, terms, *here)
             else:
-                total += here[0]
-                documents += here[1]
-        if candidates is not None:
+                for total, more in zip(sums[group], here):
+                    total += more
+        for group, (total, documents) in sums.items():
             seen = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [candidates.take(pa.array(seen)), pa.array(total[seen]), pa.array(documents[seen])], ["term", "total", "df"]
-            )
+            yield rows(group, known[group].take(pa.array(seen)), total[seen], documents[seen])
 
     return run
 
 
 def top_grams(
-    df: DataFrame, words: Column, size: int, orders: int = 1, tracked: int = TRACKED, most_candidates: int = 1_000_000,
+    df: DataFrame, words: Column, size: int, orders: int = 1, tracked: int = TRACKED, most_candidates: int = CANDIDATES,
+    by: str | None = None,
 ) -> DataFrame:
     """(term, total, df): the ``size`` most frequent terms, equally frequent ones by name, with the number of rows that
-    hold each. ``words`` is an array of strings; ``orders`` 2 adds pairs of neighbours."""
-    lists = df.select(words.alias("words"))
-    shape = "term string, total long, df long"
-
-    def counted(candidates):
-        found = lists.mapInArrow(_counted(orders, candidates), shape)
-        totals = found.groupBy("term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
-        return totals.orderBy(F.col("total").desc(), "term").limit(size)
-
-    candidates, error = candidate_terms(lists, size, orders, tracked, most_candidates)
-    if candidates is not None:
-        top = cut_lineage(counted(candidates))
-        last = top.agg(F.count("*").alias("rows"), F.min("total").alias("total")).first()
-        if error == 0 or (last["rows"] == size and last["total"] > error):
-            return top
-    return counted(None)
+    hold each. ``words`` is an array of strings; ``orders`` 2 adds pairs of neighbours.
+
+    With ``by``, the most frequent ones of each value of that column, which comes first in the result, as a string; there
+    should be few values, since a task keeps a summary for each that it meets. Null is a value of its own.
+    """
+    marked = F.lit("1") if by is None else F.coalesce(F.concat(F.lit("1"), F.col(by).cast("string")), F.lit("0"))
+    lists = df.select(marked.alias("grp"), words.alias("words"))
+
+    def counted(rows, candidates):
+        found = rows.mapInArrow(_counted(orders, candidates), _COUNTS)
+        totals = found.groupBy("grp", "term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
+        if by is None:
+            return totals.orderBy(F.col("total").desc(), "term").limit(size)
+        order = W.partitionBy("grp").orderBy(F.col("total").desc(), "term")
+        return totals.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= size).drop("_rn")
+
+    candidates, errors = candidate_terms(lists, size, orders, tracked, most_candidates)
+    top = cut_lineage(counted(lists, candidates))
+    last = {r["grp"]: r for r in top.groupBy("grp").agg(
+        F.count("*").alias("rows"), F.min("total").alias("total")).collect()}  # a row per group
+    unproved = [
+        g for g, error in errors.items()
+        if g not in candidates or (error and (g not in last or last[g]["rows"] < size or last[g]["total"] <= error))
+    ]
+    if unproved:
+        rest = counted(lists.where(F.col("grp").isin(unproved)), None)
+        top = top.where(~F.col("grp").isin(unproved)).unionByName(rest)
+    if by is None:
+        return top.select("term", "total", "df")
+    return top.select(F.expr("IF(grp = '0', NULL, substr(grp, 2))").alias(by), "term", "total", "df")
 
 
 def candidate_terms(
     lists: DataFrame, size: int, orders: int, tracked: int, most: int
-) -> tuple[pa.Array | None, int]:
-    """Terms that can be among the ``size`` most frequent, and how often a term in no summary can occur at most; None
-    if there are more than ``most`` such terms, or they are too long to send to every task."""
-    summaries = lists.mapInArrow(_summarized(orders, tracked), "term string, n long")
-    merged = summaries.groupBy("term").agg(F.sum("n").alias("n"))
-    held = stage(merged, "summaries")
-    error = held.where("term IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("e")).first()["e"]
+) -> tuple[dict[str, pa.Array], dict[str, int]]:
+    """By group: terms that can be among the ``size`` most frequent, and how often a term in no summary can occur at most.
+    A group for which that cannot be settled has no terms here; if there are more than ``most`` terms in all, or they are
+    too long to send to every task, no group has."""
+    summaries = lists.mapInArrow(_summarized(orders, tracked), "grp string, term string, n long")
+    held = stage(summaries.groupBy("grp", "term").agg(F.sum("n").alias("n")), "summaries")
+    errors = {r["grp"]: r["n"] for r in held.where("term IS NULL").collect()}  # a row per group
     told = held.where("term IS NOT NULL")
-    least = told.orderBy(F.col("n").desc()).limit(size).agg(F.min("n").alias("n"), F.count("*").alias("k")).first()
-    if error and (least["k"] < size or least["n"] <= error):
-        return None, error
-    near = told.where(F.col("n") + error >= (least["n"] if least["k"] == size else 0)).select("term")
-    found = near.limit(most + 1).toArrow().column("term").combine_chunks()
-    return (None, error) if len(found) > most or found.nbytes > BROADCAST_BYTES else (found.cast(pa.string()), error)
+    order = W.partitionBy("grp").orderBy(F.col("n").desc(), "term")
+    best = told.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= size)
+    least = {}
+    for r in best.groupBy("grp").agg(F.min("n").alias("n"), F.count("*").alias("k")).collect():
+        error = errors[r["grp"]]
+        if r["k"] < size:
+            if not error:
+                least[r["grp"]] = 0
+        elif not error or r["n"] > error:
+            least[r["grp"]] = r["n"] - error
+    if not least:
+        return {}, errors
+    bounds = lists.sparkSession.createDataFrame(list(least.items()), "g string, least long")
+    near = told.join(F.broadcast(bounds), F.col("grp") == F.col("g")).where(F.col("n") >= F.col("least"))
+    found = near.select("grp", "term").limit(most + 1).toArrow()
+    if len(found) > most or found.nbytes > BROADCAST_BYTES:
+        return {}, errors
+    return {
+        g: found.filter(pc.equal(found.column("grp"), g)).column("term").combine_chunks().cast(pa.string()) for g in least
+    }, errors

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ledgertone.operators import evaluation as E
 from ledgertone.operators import features as T
 from ledgertone.operators import scoring as G
+from ledgertone.operators.terms import top_grams
 from ledgertone.plans import inputs as I
 from ledgertone.plans.catalog import sql as Q
 from ledgertone.plans.catalog.evaluation import metrics_table
@@ -67,6 +68,20 @@ def tfidf_weights(spark, sf_dir):
     return weights.withColumn("weight", F.round("weight", 6))
 
 
+@query(
+    "terms_by_dataset",
+    f"""WITH {Q.GOLD}, words AS (SELECT source_dataset, source_record_hash, {_TERMS} AS w FROM gold),
+    terms AS (SELECT source_dataset, source_record_hash, unnest(list_concat(w, list_transform(range(1, len(w)),
+      lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM words)
+    SELECT source_dataset, term, count(*) AS total, count(DISTINCT source_record_hash) AS df FROM terms
+    GROUP BY source_dataset, term QUALIFY row_number() OVER (PARTITION BY source_dataset ORDER BY total DESC, term) <= 50""",
+)
+def terms_by_dataset(spark, sf_dir):
+    """The fifty most frequent words and pairs of each dataset."""
+    words = T.term_words(F.col("text_clean"))
+    return top_grams(stage(gold(spark, sf_dir), "gold"), words, 50, orders=2, by="source_dataset")
+
+
 @query("tfidf_logreg_fit")
 def tfidf_logreg_fit(spark, sf_dir):
     """Metrics of the fitted baseline on the held-out rows."""

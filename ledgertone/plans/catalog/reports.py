@@ -2,11 +2,15 @@
 
 from pyspark.sql import functions as F
 
+from ledgertone.operators import overlap as O
 from ledgertone.operators import reports as R
+from ledgertone.operators import sketches as K
 from ledgertone.plans import inputs as I
 from ledgertone.plans.catalog import sql as Q
 from ledgertone.plans.catalog.medallion import gold
 from ledgertone.plans.catalog.registry import query
+from ledgertone.session import scratch_path, stage
+from ledgertone.sinks import tables as W
 
 _TRIMMED = """trimmed AS (SELECT * FROM features
   WHERE word_count <= (SELECT quantile_cont(word_count, 0.99) FROM features))"""
@@ -155,3 +159,52 @@ def word_count_box(spark, sf_dir):
 @query("word_count_box_overall", f"WITH {Q.FEATURES}, {_box('features', 'label_normalized')}")
 def word_count_box_overall(spark, sf_dir):
     return _rounded_box(R.word_count_box(features(spark, sf_dir), by_dataset=False))
+
+
+@query(
+    "dataset_overlap",
+    f"""WITH {Q.VALID}, held AS (SELECT DISTINCT dataset_label AS d, sha256(lower(text)) AS h FROM valid),
+    sizes AS (SELECT d, count(*) AS n FROM held GROUP BY d)
+    SELECT a.d AS dataset_a, b.d AS dataset_b, count(*) AS shared_texts, any_value(sa.n) AS texts_a,
+    any_value(sb.n) AS texts_b, round_even(count(*) / CAST(least(any_value(sa.n), any_value(sb.n)) AS DOUBLE), 6)
+      AS shared_share
+    FROM held a JOIN held b ON a.h = b.h AND a.d < b.d JOIN sizes sa ON sa.d = a.d JOIN sizes sb ON sb.d = b.d
+    GROUP BY a.d, b.d""",
+)
+def dataset_overlap(spark, sf_dir):
+    from ledgertone.sources.specs import canonical_valid
+
+    rows = canonical_valid(I.canonical_records(spark, sf_dir)).select(
+        "dataset_label", F.sha2(F.lower("text"), 256).alias("text_hash")
+    )
+    rows = stage(rows, "hashes")
+    return O.overlap_shares(O.dataset_overlap(rows), rows)
+
+
+@query(
+    "length_sketches",
+    f"""WITH {Q.FEATURES} SELECT dataset_label, label_normalized, count(word_count) AS rows, min(word_count) AS low,
+    max(word_count) AS high, true AS within FROM features GROUP BY dataset_label, label_normalized""",
+)
+def length_sketches(spark, sf_dir):
+    """Sketches of two dates, stored and merged; ``within`` tells whether every quantile has a rank within the error."""
+    base, by = scratch_path(spark, "sketches"), ["dataset_label", "label_normalized"]
+    rows = features(spark, sf_dir).withColumn("date", F.concat(F.lit("2024-01-3"), F.col("record_seq") % 2))
+    sketches = K.length_sketches(rows, "word_count", [*by, "date"])
+    W.overwrite_snapshot_partition(sketches, base, "date")
+    merged = K.merged_sketches(spark.read.schema(sketches.schema).parquet(base), by)
+    told = K.sketch_quantiles(merged, (0.25, 0.5, 0.9))
+    lengths = rows.groupBy(*by, "word_count").agg(F.count("*").alias("n"))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    ranked = lengths.withColumnsRenamed({c: f"_{c}" for c in by}).join(told, same)
+    out = [c for c in told.columns if not c.startswith("p")]
+    below, upto, within = [], [], F.lit(True)
+    for name, fraction in (("p25", 0.25), ("p50", 0.5), ("p90", 0.9)):
+        below.append(F.sum(F.when(F.col("word_count") < F.col(name), F.col("n")).otherwise(0)).alias(f"below_{name}"))
+        upto.append(F.sum(F.when(F.col("word_count") <= F.col(name), F.col("n")).otherwise(0)).alias(f"upto_{name}"))
+        slack = F.greatest(F.lit(3 * K.rank_error()) * F.col("rows"), F.lit(1.0))
+        within = within & (F.col(f"below_{name}") <= fraction * F.col("rows") + slack) & (
+            F.col(f"upto_{name}") >= fraction * F.col("rows") - slack)
+    return ranked.groupBy(*out).agg(*below, *upto).select(*out, within.alias("within"))

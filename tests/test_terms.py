@@ -72,12 +72,28 @@ def test_top_grams_are_exact(spark, sf_dir, tracked, most):
 def test_proof_limits_what_is_counted(spark, sf_dir):
     lists = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.split("text", " ").alias("words"))
     every = len({w for r in lists.collect() for w in r.words})
-    found, error = H.candidate_terms(lists, 10, 1, 300, 1_000_000)
-    assert 10 <= len(found) < 300 < every and error > 0
+    candidates, errors = H.candidate_terms(lists.select(F.lit("1").alias("grp"), "words"), 10, 1, 300, 1_000_000)
+    assert 10 <= len(candidates["1"]) < 300 < every and errors["1"] > 0
     plan = H.top_grams(lists, F.col("words"), 10, 1, 300)._jdf.queryExecution().toString()
     assert "MapInArrow" not in plan  # the counts are checkpointed; nothing is left to count
 
 
+@pytest.mark.parametrize("tracked", [400_000, 100, 4], ids=["all tracked", "some proved", "none proved"])
+def test_top_grams_by_group(spark, sf_dir, tracked):
+    """Groups of very different sizes, one without a name, one smaller than what is asked for."""
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        "text", F.expr("CASE WHEN doc_id % 3 = 0 THEN lang WHEN doc_id % 7 = 0 THEN NULL ELSE 'rest' END AS name"))
+    few = spark.createDataFrame([("x y x", "few"), (None, "none")], df.schema)
+    rows = df.unionByName(few).collect()
+    got = H.top_grams(df.unionByName(few), F.split("text", " "), 20, 2, tracked, by="name").collect()
+    for name in {r.name for r in rows}:
+        want = want_top([r.text.split(" ") for r in rows if r.name == name and r.text], 20, 2)
+        own = [(r.term, r.total, r.df) for r in got if r.name == name]
+        assert sorted(own, key=lambda r: (-r[1], r[0])) == want
+    assert len(got) == sum(len(want_top([r.text.split(" ") for r in rows if r.name == n and r.text], 20, 2))
+                           for n in {r.name for r in rows})
+
+
 def test_top_grams_of_nothing(spark):
     nothing = spark.createDataFrame([(None,), ("",)], "text string")
     assert H.top_grams(nothing, T.term_words(F.col("text")), 5, 2).collect() == []
