@@ -3,12 +3,20 @@
 Results are kept as a log of Parquet files in ``run=/batch=/date=`` folders. A run is a streaming query with its
 checkpoint; its batches are numbered. A retried batch replaces its own folder, whatever dates it had, and a new
 checkpoint is a new run that replaces nothing. A re-delivered request replaces its earlier result when reading, where
-the record that arrived last wins. ``compact_results`` leaves one row per request and few files.
+the record that arrived last wins.
+
+``compact_results`` leaves one row per request and few files. It removes nothing: numbered manifests under ``_commits`` tell
+which folders compacted ones replace, and readers leave those out. A manifest appears whole or not at all, and only one
+writer gets its number. A reader that has listed the store before still finds its files, until ``remove_replaced`` takes
+away what was replaced long enough ago.
 """
 
+import json
+import time
 import uuid
 from collections.abc import Callable, Sequence
 from threading import Event
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,9 +99,60 @@ def stream_result_sink(
     return query
 
 
-def _all_results(spark: SparkSession, path: str, dates: Sequence[str] | None) -> DataFrame:
-    stored = spark.read.schema(STREAM_RESULT).parquet(path)
-    return stored if dates is None else stored.where(F.col("date").isin(*dates))
+def _files(spark: SparkSession, path: str):
+    """The file system of the store, its path there, and a maker of paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    root = make(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files, files.makeQualified(root), make
+
+
+def _manifests(spark: SparkSession, path: str) -> list[dict]:
+    """The store's manifests in order: folders added and replaced, by name below the store, and when."""
+    files, root, make = _files(spark, path)
+    listed = files.globStatus(make(root, "_commits/*.json")) or []
+    if not len(listed):
+        return []
+    rows = spark.read.text([s.getPath().toString() for s in listed], wholetext=True)
+    return sorted((json.loads(r["value"]) for r in rows.toLocalIterator()), key=lambda m: m["number"])
+
+
+def _publish(spark: SparkSession, path: str, number: int, added: list[str], replaced: list[str]) -> None:
+    """Writes a manifest beside its place and moves it there; a number that is taken is an error."""
+    files, root, make = _files(spark, path)
+    folder, target = make(root, "_commits"), make(root, f"_commits/{number:020d}.json")
+    files.mkdirs(folder)
+    draft = make(root, f"_commits/.{uuid.uuid4().hex}.draft")
+    out = files.create(draft, False)
+    out.write(json.dumps(
+        {"number": number, "at": time.time(), "added": added, "replaced": replaced}).encode())
+    out.close()
+    if files.exists(target) or not files.rename(draft, target):
+        files.delete(draft, False)
+        raise RuntimeError(f"another compaction took place; manifest {number} is taken")
+
+
+def _live_folders(spark: SparkSession, path: str, dates: Sequence[str] | None, manifests: list[dict]) -> list[str]:
+    """Date folders that hold the store's present content; compacted ones count once their manifest is there."""
+    files, root, make = _files(spark, path)
+    replaced = {name for m in manifests for name in m["replaced"]}
+    added = {name for m in manifests for name in m["added"]}
+    listed = files.globStatus(make(root, "run=*/batch=*/date=*")) or []
+    names = sorted(s.getPath().toString().removeprefix(root.toString() + "/") for s in listed)
+    wanted = None if dates is None else {str(d) for d in dates}
+    return [
+        n for n in names
+        if n not in replaced and (n in added or not n.startswith("run=compacted-"))
+        and (wanted is None or unquote(n.rsplit("date=", 1)[1]) in wanted)
+    ]
+
+
+def _read_folders(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], STREAM_RESULT)
+    _, root, _ = _files(spark, path)
+    places = [f"{root.toString()}/{n}" for n in folders]
+    return spark.read.schema(STREAM_RESULT).option("basePath", root.toString()).parquet(*places)
 
 
 def _newest(stored: DataFrame) -> DataFrame:
@@ -101,26 +160,40 @@ def _newest(stored: DataFrame) -> DataFrame:
 
 
 def read_results(spark: SparkSession, path: str, dates: Sequence[str] | None = None) -> DataFrame:
-    """Newest result per (date, request); given dates are read alone."""
-    return _newest(_all_results(spark, path, dates))
+    """Newest result per (date, request) as of now; given dates are read alone."""
+    return _newest(_read_folders(spark, path, _live_folders(spark, path, dates, _manifests(spark, path))))
 
 
 def compact_results(spark: SparkSession, path: str, dates: Sequence[str] | None = None) -> int:
-    """Replaces the files of the given dates (default: all) by one row per request; returns the folders removed.
+    """Replaces the files of the given dates (default: all) by one row per request; returns the folders replaced.
 
-    Run it for dates that no running query still writes. The compacted rows are complete before anything is removed,
-    and a reader in between sees both and the same result.
+    Run it for dates that no running query still writes. The compacted rows are complete before the manifest names them,
+    and from then on readers see them alone. Of two compactions at once one fails and leaves nothing behind.
     """
-    stored = _all_results(spark, path, dates)
-    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]+$", "")
-    folders = [r.folder for r in stored.select(folder.alias("folder")).distinct().collect()]  # names, not rows
+    manifests = _manifests(spark, path)
+    folders = _live_folders(spark, path, dates, manifests)
     if not folders:
         return 0
-    kept = _newest(spark.read.schema(STREAM_RESULT).option("basePath", path).parquet(*folders))
+    kept = _newest(_read_folders(spark, path, folders))
+    files, root, make = _files(spark, path)
+    run = f"run=compacted-{uuid.uuid4().hex}"
     # The batch number stays with the rows' order: all that is compacted counts as the oldest batch.
-    kept.drop("run", "batch").hint("rebalance", "date").write.partitionBy("date").parquet(
-        f"{path}/run=compacted-{uuid.uuid4().hex}/batch=-1"
-    )
-    for name in folders:
-        remove_path(spark, name)
+    kept.drop("run", "batch").hint("rebalance", "date").write.partitionBy("date").parquet(f"{root.toString()}/{run}/batch=-1")
+    added = [f"{run}/batch=-1/{s.getPath().getName()}" for s in files.globStatus(make(root, f"{run}/batch=-1/date=*"))]
+    try:
+        _publish(spark, path, manifests[-1]["number"] + 1 if manifests else 0, added, folders)
+    except RuntimeError:
+        remove_path(spark, f"{root.toString()}/{run}")
+        raise
     return len(folders)
+
+
+def remove_replaced(spark: SparkSession, path: str, older_than_seconds: float = 3600.0) -> int:
+    """Removes folders that a manifest replaced longer ago than any reader takes; returns how many there were."""
+    files, root, make = _files(spark, path)
+    removed = 0
+    for manifest in _manifests(spark, path):
+        if time.time() - manifest["at"] >= older_than_seconds:
+            for name in manifest["replaced"]:
+                removed += bool(files.delete(make(root, name), True))
+    return removed

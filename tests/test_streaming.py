@@ -158,11 +158,41 @@ def test_compaction_keeps_the_newest(spark, tmp_path):
     want = sorted(map(str, K.read_results(spark, stored).select(*columns).collect()))
     assert K.compact_results(spark, stored) > 3
     assert sorted(map(str, K.read_results(spark, stored).select(*columns).collect())) == want
+    assert K.remove_replaced(spark, stored, 0) > 3 and K.remove_replaced(spark, stored, 0) == 0
     assert spark.read.parquet(stored).count() == len(want)
     K.write_results(K.score_requests(df, predicted), 9, stored)
     assert sorted(map(str, K.read_results(spark, stored).select(*columns).collect())) == want
 
 
+def test_readers_and_compactions_at_once(spark, tmp_path):
+    stored, columns = str(tmp_path / "out"), ("request_id", "text", "date", "status")
+
+    def told(results):
+        return sorted(map(str, results.select(*columns).collect()))
+
+    for batch in range(3):
+        df = spark.createDataFrame([request(i, f"2026-05-2{i % 3}") for i in range(batch, batch + 6)], "position bigint, data string")
+        K.write_results(K.score_requests(df, predicted), batch, stored)
+    listed = K.read_results(spark, stored)
+    want = told(listed)
+    assert K.compact_results(spark, stored, ["2026-05-20"]) == 3
+    assert K.compact_results(spark, stored) == 7  # what was compacted goes again, with the rest
+    assert told(listed) == want == told(K.read_results(spark, stored))  # also one who had listed the files before
+    assert K.remove_replaced(spark, stored) == 0 and told(listed) == want  # too young
+    one_date = K.read_results(spark, stored, ["2026-05-21"])
+    assert {r.date for r in one_date.collect()} == {"2026-05-21"}
+
+    names = K._live_folders(spark, stored, None, K._manifests(spark, stored))
+    assert names and all(n.startswith("run=compacted-") for n in names)
+    with pytest.raises(RuntimeError, match="another compaction"):
+        K._publish(spark, stored, 1, [], names)
+    half = K._read_folders(spark, stored, names).drop("run", "batch")
+    half.write.partitionBy("date").parquet(f"{stored}/run=compacted-unpublished/batch=-1")
+    assert told(K.read_results(spark, stored)) == want  # no manifest names it
+    assert K.remove_replaced(spark, stored, 0) == 10 and told(K.read_results(spark, stored)) == want
+    assert K.compact_results(spark, str(tmp_path / "nothing")) == 0 == K.read_results(spark, str(tmp_path / "nothing")).count()
+
+
 class Touchy:
     def predict(self, texts):
         import pandas as pd
