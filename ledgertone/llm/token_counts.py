@@ -22,6 +22,7 @@ from ledgertone.llm.batches import id_and_text, id_type, map_slices
 
 MARK = "▁"
 MAX_NODES = 400_000
+LONG_WORD = 256
 
 
 def load_scores(model_file: str) -> dict[str, float]:
@@ -57,6 +58,8 @@ class SharedTrie:
         known = self.terminal.get(word)
         if known is not None:
             return known
+        if len(word) > LONG_WORD:
+            return self.rolling(MARK + word)
         if self.nodes > self.max_nodes:
             self.clear()
         text = MARK + word
@@ -73,7 +76,15 @@ class SharedTrie:
         self.terminal[word] = node[2]
         return node[2]
 
-    def _forward(self, text: str, end: int, path: list) -> tuple[float, int]:
+    def rolling(self, text: str) -> int:
+        """The same for a word that shares no node: only as many prefixes are kept as the longest piece reaches back."""
+        kept: dict[int, tuple] = {0: self.root}
+        for end in range(1, len(text) + 1):
+            kept[end] = (None, *self._forward(text, end, kept))
+            kept.pop(end - self.longest - 1, None)
+        return kept[len(text)][2]
+
+    def _forward(self, text: str, end: int, path) -> tuple[float, int]:
         """Best (score, tokens) of text[:end] from those of its prefixes."""
         self.computed += 1
         size = len(text[end - 1].encode("utf-8", "surrogatepass"))
@@ -111,9 +122,11 @@ class LevelTrie:
         self.longest = min(self.long_words.longest, self.WIDTH)
         pieces = [p for p in scores if len(p) <= self.longest]
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        hashes = self._prefix_hashes(self._characters(pieces))[np.arange(len(pieces)), lengths]
+        spelled = self._characters(pieces)
+        hashes = self._prefix_hashes(spelled)[np.arange(len(pieces)), lengths]
         hashes += lengths.astype(np.uint64)
         order = np.argsort(hashes)
+        self.spelled = spelled[order]
         self.hashes, self.scores = hashes[order], np.fromiter(map(scores.get, pieces), float, len(pieces))[order]
         if len(np.unique(hashes)) < len(hashes):
             raise ValueError("two pieces share a hash")
@@ -179,6 +192,8 @@ class LevelTrie:
                     continue
                 at = np.minimum(np.searchsorted(self.hashes, piece[hit]), len(self.hashes) - 1)
                 good = self.hashes[at] == piece[hit]
+                good[good] = (  # equal hashes only show where to compare
+                    self.spelled[at[good], :k] == characters[first[hit[good]], d - k:d]).all(axis=1)
                 hit, at = hit[good], at[good]
                 begin = node[d - k][first[hit]]
                 total, fewer = best[d - k][begin] + self.scores[at], tokens[d - k][begin] + 1
@@ -206,7 +221,11 @@ class Counter:
         missing = {w for words in lists for w, n in zip(words, map(look, words)) if n is None}
         if missing:
             self.known.update(self.trie.counts(list(missing)))
-        return [sum(map(look, words)) for words in lists]
+        counts = [sum(map(look, words)) for words in lists]
+        for word in missing:
+            if len(word) > LONG_WORD:
+                del self.known[word]
+        return counts
 
 
 _COUNTERS: dict[str, Counter] = {}

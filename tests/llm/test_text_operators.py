@@ -17,7 +17,7 @@ from ledgertone.llm.queries import ORACLES, QUERIES
 from ledgertone.llm.quality_rules import line_rule, quality_rules, repeated_words
 from ledgertone.llm.secret_scan import Novelty, alphabet_bits, base_spans, copies, novel_spans, redact, scanner
 from ledgertone.llm.secret_scan import secret_scan
-from ledgertone.llm.token_counts import MARK, LevelTrie, SharedTrie, load_scores, token_counts
+from ledgertone.llm.token_counts import MARK, Counter, LevelTrie, SharedTrie, load_scores, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -281,6 +281,30 @@ def test_shared_trie_against_plain_viterbi():
     assert roomy.computed - before == 3  # only the new letters
 
 
+def test_long_words_keep_few_prefixes():
+    import tracemalloc
+
+    scores, draw = load_scores(PIECES), random.Random(8)
+    trie = SharedTrie(scores)
+    for word in ("".join(draw.choices("abcdehilnorstu\u00e9\U0001f600", k=400)), "a" * 300, "international" * 30):
+        assert trie.count(word) == plain_viterbi(word, scores)
+    assert trie.nodes == 1 and not trie.terminal
+    word = "".join(draw.choices("abcdehilnorstu", k=300_000))
+    tracemalloc.start()
+    trie.count(word)
+    assert tracemalloc.get_traced_memory()[1] < 3_000_000  # the word itself and a mark in front
+    tracemalloc.stop()
+    counter = Counter(PIECES)
+    assert counter([[word[:5000], "the"]]) == [trie.count(word[:5000]) + trie.count("the")] and list(counter.known) == ["the"]
+
+
+def test_pieces_are_compared_not_only_hashed():
+    levels = LevelTrie(load_scores(PIECES))
+    right = levels.counts(["international"])
+    levels.spelled[:] = 0  # nothing is spelled like this: every hit is a stranger
+    assert levels.counts(["international"])["international"] > right["international"]
+
+
 def test_token_counts_of_documents(documents, texts):
     scores, known = load_scores(PIECES), {}
     for r in token_counts(documents, PIECES).limit(40).collect():
