@@ -32,16 +32,35 @@ bodies AS (
         count(*) FILTER (WHERE regexp_matches(line, '[^\x20\x09-\x0D]')) AS n_full
     FROM c GROUP BY doc_id, chunk
 ),
-placed AS (
-    SELECT doc_id, chunk, n_lines, row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) > 1 AS again
+coarse AS (
+    SELECT doc_id, chunk, row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) > 1 AS again
     FROM bodies WHERE n_full >= 2
 ),
+f AS (
+    SELECT *, lead(line) OVER w AS line2, lead(i) OVER w AS i2, lead(n) OVER w AS n2
+    FROM (SELECT doc_id, i, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l) WHERE n > 0
+    WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+),
+fine AS (
+    SELECT doc_id, i, i2, row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, i) > 1 AS again
+    FROM f WHERE n + n2 >= 10
+),
+long AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) > 1 AS again FROM f WHERE n >= 50
+),
+gone AS (
+    SELECT doc_id, i FROM c JOIN coarse USING (doc_id, chunk) WHERE again
+    UNION SELECT doc_id, i FROM fine WHERE again
+    UNION SELECT doc_id, i2 FROM fine WHERE again
+    UNION SELECT doc_id, i FROM long WHERE again
+),
 kept AS (
     SELECT c.doc_id, count(DISTINCT c.chunk)::BIGINT AS n_chunks,
         count(DISTINCT c.chunk) FILTER (WHERE again)::BIGINT AS n_removed_chunks,
-        count(*) FILTER (WHERE again)::BIGINT AS n_removed_lines,
-        coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE again IS NOT TRUE), '') AS text
-    FROM c LEFT JOIN placed USING (doc_id, chunk) GROUP BY c.doc_id
+        count(gone.i)::BIGINT AS n_removed_lines,
+        coalesce(string_agg(line, chr(10) ORDER BY c.i) FILTER (WHERE gone.i IS NULL), '') AS text
+    FROM c LEFT JOIN coarse USING (doc_id, chunk) LEFT JOIN gone ON gone.doc_id = c.doc_id AND gone.i = c.i
+    GROUP BY c.doc_id
 )
 SELECT d.doc_id, coalesce(n_chunks, 0) AS n_chunks, coalesce(n_removed_chunks, 0) AS n_removed_chunks,
     coalesce(n_removed_lines, 0) AS n_removed_lines,

@@ -1,9 +1,16 @@
-"""Repeated passages of several lines, found as content-defined chunks.
+"""Repeated passages of several lines, found as content-defined chunks at two levels.
 
 A rolling hash over the hashes of the last ``window`` lines ends a chunk where it is divisible by ``spacing``. Where a
 chunk ends depends on the lines just before only, so a passage is cut alike in every document that holds it, wherever
-it stands. A chunk with at least ``min_lines`` lines that hold a word, whose bytes occur before (in a smaller doc_id,
-or earlier in the document), is removed. Chunks of one line are never removed.
+it stands. A chunk counts if at least ``min_lines`` of its lines hold a word.
+
+Chunks of a few lines straddle the ends of a short passage, so there is a finer level, for which each line that holds a
+word is an end: two such lines that follow each other (blank ones aside) are a small chunk if they have ``min_words``
+words together. Small chunks overlap, so every passage of two lines or more is made of them, up to its outermost lines.
+A line of ``long_line`` words is a passage by itself: many texts have a whole paragraph on one line.
+
+Chunks of either level and long lines whose bytes occur before (in a smaller doc_id, or earlier in the document) are
+removed with all their lines that hold a word; a chunk with its blank lines too. The first of equal lines always stays.
 
 Results for unusual rows: a null text stays null, an empty one empty; neither has chunks. Rows that repeat an id and
 its text count as one document and get the same result; rows with the same id and other texts are documents of their
@@ -22,7 +29,9 @@ from ledgertone.llm.components import staged
 from ledgertone.session import small_side
 
 WINDOW, SPACING, MIN_LINES = 2, 3, 2
+MIN_WORDS, LONG_LINE = 10, 50
 BASE, MODULUS = 31, 1 << 32
+COARSE, FINE, LINE = range(3)
 
 
 def line_hash(line: bytes) -> int:
@@ -42,95 +51,157 @@ def chunk_ends(lines: list[bytes], window: int = WINDOW, spacing: int = SPACING)
     return ends
 
 
-def chunks(text: str, window: int = WINDOW, spacing: int = SPACING) -> list[list[bytes]]:
-    lines = text.encode().split(b"\n")
-    ends = chunk_ends(lines, window, spacing)
-    return [lines[a:b] for a, b in zip([0, *ends], ends)]
+class Cutter:
+    """Cuts a text into the passages that may be removed. A passage is numbered by its first line and its kind."""
+
+    def __init__(self, window: int, spacing: int, min_lines: int, min_words: int, long_line: int):
+        self.window, self.spacing, self.min_lines = window, spacing, min_lines
+        self.min_words, self.long_line = min_words, long_line
+
+    def __call__(self, text: str) -> tuple[list[bytes], int, dict[int, tuple[int, ...]]]:
+        """The lines, the number of chunks, and by number the lines of each passage."""
+        lines = text.encode().split(b"\n")
+        ends = chunk_ends(lines, self.window, self.spacing)
+        words = [len(x.split()) for x in lines]
+        found = {}
+        for a, b in zip([0, *ends], ends):
+            if b - a >= self.min_lines and sum(map(bool, words[a:b])) >= self.min_lines:
+                found[3 * a + COARSE] = tuple(range(a, b))
+        full = [i for i, n in enumerate(words) if n]
+        for a, b in zip(full, full[1:]):
+            if words[a] + words[b] >= self.min_words:
+                found[3 * a + FINE] = (a, b)
+        for a in full:
+            if words[a] >= self.long_line:
+                found[3 * a + LINE] = (a,)
+        return lines, len(ends), found
+
 
+def body(lines: list[bytes], kind: int, places: tuple[int, ...]) -> bytes:
+    """What is compared: passages of different kinds are never equal."""
+    return b"%d" % kind + b"\n".join([lines[i] for i in places])
 
-def find_chunks(rows: DataFrame, id_kind: str, window: int, spacing: int, min_lines: int) -> DataFrame:
-    """One row per chunk that may be removed: (doc_id, key, chunk, digest, body)."""
+
+def find_passages(rows: DataFrame, id_kind: str, cut: Cutter) -> DataFrame:
+    """One narrow row per passage: (doc_id, key, number, digest)."""
 
     def start():
         def run(piece):
-            ids, keys, numbers, digests, bodies = [], [], [], [], []
+            ids, keys, numbers, digests = [], [], [], []
             for doc, key, text in zip(*(piece.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
                 if not text:
                     continue
-                for number, lines in enumerate(chunks(text, window, spacing)):
-                    if len(lines) >= min_lines and sum(bool(x.strip()) for x in lines) >= min_lines:
-                        body = b"\n".join(lines)
-                        ids.append(doc)
-                        keys.append(key)
-                        numbers.append(number)
-                        digests.append(hashlib.md5(body, usedforsecurity=False).digest())
-                        bodies.append(body)
-            return [ids, keys, numbers, digests, bodies]
+                lines, _, found = cut(text)
+                ids += [doc] * len(found)
+                keys += [key] * len(found)
+                numbers += found
+                digests += [
+                    hashlib.md5(body(lines, number % 3, places), usedforsecurity=False).digest()
+                    for number, places in found.items()
+                ]
+            return [ids, keys, numbers, digests]
 
         return run
 
-    return map_slices(rows, f"doc_id {id_kind}, key long, chunk long, digest binary, body binary", start)
+    return map_slices(rows, f"doc_id {id_kind}, key long, number long, digest binary", start)
+
+
+def bodies_of(marked: DataFrame, id_kind: str, cut: Cutter) -> DataFrame:
+    """The bytes of the passages that are listed: (doc_id, key, number, digest, is_first, body)."""
+
+    def start():
+        def run(piece):
+            out = [[], [], [], [], [], []]
+            columns = (piece.column(c).to_pylist() for c in ("doc_id", "key", "text", "listed"))
+            for doc, key, text, listed in zip(*columns):
+                lines, _, found = cut(text)
+                for entry in listed:
+                    number = entry["number"]
+                    values = (doc, key, number, entry["digest"], entry["is_first"],
+                              body(lines, number % 3, found[number]))
+                    for column, value in zip(out, values):
+                        column.append(value)
+            return out
+
+        return run
+
+    schema = f"doc_id {id_kind}, key long, number long, digest binary, is_first boolean, body binary"
+    return map_slices(marked, schema, start)
 
 
 def line_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, spacing: int = SPACING,
-    min_lines: int = MIN_LINES, report: bool = False,
+    min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, long_line: int = LONG_LINE, report: bool = False,
 ) -> DataFrame:
-    """The documents without repeated chunks; all columns kept.
+    """The documents without repeated passages; all columns kept.
 
-    With ``report``, returns (doc_id, n_chunks, n_removed_chunks, n_removed_lines, text) instead.
+    With ``report``, returns (doc_id, n_chunks, n_removed_chunks, n_removed_lines, text) instead: chunks of the coarse
+    level, those of them that went, and all lines that went.
 
-    Digests are counted in a narrow shuffle. Only chunks whose digest repeats move with their bytes, which are
-    compared with those of the first occurrence; a chunk that merely shares a digest stays.
+    Digests are counted in a narrow shuffle. Documents move once, to meet the list of their passages whose digest
+    repeats; the bytes of those are compared with those of the first occurrence, and a passage that merely shares a
+    digest stays.
     """
     id_kind = id_type(docs, id_col)
+    cut = Cutter(window, spacing, min_lines, min_words, long_line)
     rows = whole_rows(docs, id_col, text_col).withColumn("key", F.xxhash64("text"))
-    found = staged(find_chunks(rows.select("doc_id", "key", "text"), id_kind, window, spacing, min_lines), "chunks")
+    found = staged(find_passages(rows.select("doc_id", "key", "text"), id_kind, cut), "passages")
 
-    place = F.struct("doc_id", "key", "chunk")
+    place = F.struct("doc_id", "key", "number")
     repeated = (
         found.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
     )
     again = found.join(small_side(repeated), "digest").withColumn("is_first", place.eqNullSafe(F.col("first")))
-    again = staged(again.select("doc_id", "key", "chunk", "digest", "body", "is_first"), "again")
-    first = again.where("is_first").select("digest", F.col("body").alias("first_body")).dropDuplicates(["digest"])
-    first = staged(first, "first")  # so that the join below is one of two plain exchanges, where a hot digest is split
-    removed = (
-        again.where(~F.col("is_first")).join(first, "digest").where(F.col("body") == F.col("first_body"))
-        .groupBy("doc_id", "key").agg(F.collect_set("chunk").alias("removed"))
+    listed = again.groupBy(F.col("doc_id").alias("r_id"), F.col("key").alias("r_key")).agg(
+        F.collect_set(F.struct("number", "digest", "is_first")).alias("listed")
     )
-    removed = removed.select(F.col("doc_id").alias("r_id"), F.col("key").alias("r_key"), "removed")
     marked = rows.join(
-        removed, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")), "left"
+        staged(listed, "listed"), F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")), "left"
+    )
+    marked = staged(marked.drop("r_id", "r_key"), "marked")
+
+    held = marked.where("listed IS NOT NULL").select("doc_id", "key", "text", "listed")
+    bodies = staged(bodies_of(held, id_kind, cut), "bodies")
+    first = bodies.where("is_first").select("digest", F.col("body").alias("first_body")).dropDuplicates(["digest"])
+    first = staged(first, "first")  # so that the join below is one of two plain exchanges, where a hot digest is split
+    # Equal digests of unequal bytes: hardly ever any, and then passages that stay.
+    refused = (
+        bodies.where(~F.col("is_first")).join(first, "digest").where(F.col("body") != F.col("first_body"))
+        .groupBy(F.col("doc_id").alias("r_id"), F.col("key").alias("r_key"))
+        .agg(F.collect_set("number").alias("refused"))
+    )
+    marked = marked.join(
+        small_side(refused), F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")), "left"
     )
 
     def start():
         def run(piece):
             texts, counts = [], []
-            for text, gone in zip(piece.column("text").to_pylist(), piece.column("removed").to_pylist()):
+            for text, listed, refused in zip(*(piece.column(c).to_pylist() for c in ("text", "listed", "refused"))):
                 if not text:
                     texts.append(text)
                     counts.append((0, 0, 0))
                     continue
-                cut = chunks(text, window, spacing)
+                lines, n_chunks, found = cut(text)
+                gone = {e["number"] for e in listed or () if not e["is_first"]}.difference(refused or ())
                 if not gone:
                     texts.append(text)
-                    counts.append((len(cut), 0, 0))
+                    counts.append((n_chunks, 0, 0))
                     continue
-                gone = set(gone)
-                kept = [x for i, lines in enumerate(cut) if i not in gone for x in lines]
-                texts.append(b"\n".join(kept).decode())
-                counts.append((len(cut), len(gone), sum(map(len, cut)) - len(kept)))
-            n, m, lines = map(list, zip(*counts))
+                out = {i for number in gone for i in found[number]}
+                texts.append(b"\n".join([x for i, x in enumerate(lines) if i not in out]).decode())
+                counts.append((n_chunks, sum(number % 3 == COARSE for number in gone), len(out)))
+            n, m, removed = map(list, zip(*counts))
             first_column = piece.column(0)
-            return [first_column, n, m, lines, texts] if report else [first_column, texts]
+            return [first_column, n, m, removed, texts] if report else [first_column, texts]
 
         return run
 
     if report:
         return map_slices(
-            marked.select("doc_id", "text", "removed"), f"doc_id {id_kind}, n_chunks long, n_removed_chunks long, "
-            "n_removed_lines long, text string", start,
+            marked.select("doc_id", "text", "listed", "refused"), f"doc_id {id_kind}, n_chunks long, "
+            "n_removed_chunks long, n_removed_lines long, text string", start,
         )
     schema = row_schema(rows, StructField("new_text", StringType()))
-    return with_new_text(map_slices(marked.select("row", "text", "removed"), schema, start), docs.columns, text_col)
+    done = map_slices(marked.select("row", "text", "listed", "refused"), schema, start)
+    return with_new_text(done, docs.columns, text_col)

@@ -46,16 +46,19 @@ def plain_line_dedup(rows, window=2, spacing=3):
             out[doc] = text
             continue
         lines = text.encode().split(b"\n")
+        words = [len(x.split()) for x in lines]
         ends = chunk_ends(lines, window, spacing)
-        kept = []
-        for a, b in zip([0, *ends], ends):
-            body = b"\n".join(lines[a:b])
-            if b - a >= 2 and sum(bool(x.split()) for x in lines[a:b]) >= 2:
-                if body in seen:
-                    continue
-                seen.add(body)
-            kept += lines[a:b]
-        out[doc] = b"\n".join(kept).decode()
+        passages = [("chunk", range(a, b)) for a, b in zip([0, *ends], ends) if sum(n > 0 for n in words[a:b]) >= 2]
+        full = [i for i, n in enumerate(words) if n]
+        passages += [("two", pair) for pair in zip(full, full[1:]) if sum(words[i] for i in pair) >= 10]
+        passages += [("line", [i]) for i in full if words[i] >= 50]
+        gone = set()
+        for kind, places in passages:
+            body = (kind, *(lines[i] for i in places))
+            if body in seen:
+                gone.update(places)
+            seen.add(body)
+        out[doc] = b"\n".join(x for i, x in enumerate(lines) if i not in gone).decode()
     return out
 
 
@@ -74,6 +77,30 @@ def test_line_dedup_against_plain(frame):
     assert sum(len(t) for t in want.values()) < 0.6 * sum(len(t) for _, t in rows)
 
 
+def test_line_dedup_removes_planted_passages(frame):
+    """Passages of one long line and of 2 to 6 lines, each in two documents with other neighbours, go from the second;
+    so do exact copies. What is a document's own stays, blank lines between paragraphs do not hide a passage."""
+    draw = random.Random(11)
+
+    def line(n):
+        return " ".join(f"w{draw.randrange(10**9)}" for _ in range(n))
+
+    rows, own, passages = [], {}, {}
+    for i in range(120):
+        n = i % 6 + 1
+        passages[i] = [line(60 if n == 1 else 12) for _ in range(n)]
+        for doc in (i, 1000 + i):
+            own[doc] = [line(9) for _ in range(draw.randint(2, 8))]
+            at = draw.randint(0, len(own[doc]))
+            rows.append((doc, ("\n\n" if i % 2 else "\n").join(own[doc][:at] + passages[i] + own[doc][at:])))
+        rows.append((2000 + i, rows[-1][1]))
+    got = {r.doc_id: r.text for r in line_dedup(frame(rows)).collect()}
+    for i in range(120):
+        assert got[i] == dict(rows)[i]
+        assert got[1000 + i].split() == " ".join(own[1000 + i]).split()
+        assert not got[2000 + i].split()
+
+
 def test_line_dedup_odd_rows(odd, empty):
     got = defaultdict(list)
     for r in line_dedup(odd).collect():

@@ -22,9 +22,9 @@ def plain_quality(rows):
         words = text.encode().split()
         lines = text.encode().split(b"\n")
         repeats = int(repeated_words([words])[0])
-        lost = sum(len(w) for x in lines if 0 < line_rule(x) < 4 for w in x.split())
-        left = any(x.split() and not line_rule(x) for x in lines)
-        if left and len(words) >= 20 and 100 * repeats <= 30 * len(words) and 100 * lost <= 60 * sum(map(len, words)):
+        lost = sum(len(w) for x in lines if line_rule(x) for w in x.split())
+        left = sum(len(x.split()) for x in lines if not line_rule(x))
+        if left >= 20 and 100 * repeats <= 30 * len(words) and 100 * lost <= 50 * sum(map(len, words)):
             out.append((i, b"\n".join(x for x in lines if not line_rule(x)).decode()))
     return out
 
