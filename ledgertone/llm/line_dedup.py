@@ -20,13 +20,15 @@ the text; names of other columns do not matter. Documents of any length are cut
 
 import hashlib
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
-from ledgertone.llm.batches import id_type, map_slices, row_schema, whole_rows, with_new_text
+from ledgertone.llm.batches import id_type, map_slices, parsed, row_schema, whole_rows, with_new_text
 from ledgertone.llm.components import staged
-from ledgertone.session import small_side
+from ledgertone.llm.hash_filter import hash_filter, may_hold
 
 WINDOW, SPACING, MIN_LINES = 2, 3, 2
 MIN_WORDS, LONG_LINE = 10, 50
@@ -82,51 +84,56 @@ def body(lines: list[bytes], kind: int, places: tuple[int, ...]) -> bytes:
     return b"%d" % kind + b"\n".join([lines[i] for i in places])
 
 
-def find_passages(rows: DataFrame, id_kind: str, cut: Cutter) -> DataFrame:
-    """One narrow row per passage: (doc_id, key, number, digest)."""
+def digests_of(lines: list[bytes], found: dict[int, tuple[int, ...]]) -> np.ndarray:
+    """Two 64-bit numbers for each passage."""
+    data = b"".join(
+        hashlib.md5(body(lines, number % 3, places), usedforsecurity=False).digest()
+        for number, places in found.items()
+    )
+    return np.frombuffer(data, np.int64).reshape(-1, 2)
+
+
+def all_digests(rows: DataFrame, cut: Cutter) -> DataFrame:
+    """(h1, h2) of each passage of each document."""
 
     def start():
         def run(piece):
-            ids, keys, numbers, digests = [], [], [], []
-            for doc, key, text in zip(*(piece.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
-                if not text:
-                    continue
-                lines, _, found = cut(text)
-                ids += [doc] * len(found)
-                keys += [key] * len(found)
-                numbers += found
-                digests += [
-                    hashlib.md5(body(lines, number % 3, places), usedforsecurity=False).digest()
-                    for number, places in found.items()
-                ]
-            return [ids, keys, numbers, digests]
+            out = [np.zeros((0, 2), np.int64)]
+            for text in piece.column("text").to_pylist():
+                if text:
+                    lines, _, found = cut(text)
+                    out.append(digests_of(lines, found))
+            h = np.concatenate(out)
+            return [np.ascontiguousarray(h[:, 0]), np.ascontiguousarray(h[:, 1])]
 
         return run
 
-    return map_slices(rows, f"doc_id {id_kind}, key long, number long, digest binary", start)
+    return map_slices(rows.select("text"), "h1 long, h2 long", start)
 
 
-def bodies_of(marked: DataFrame, id_kind: str, cut: Cutter) -> DataFrame:
-    """The bytes of the passages that are listed: (doc_id, key, number, digest, is_first, body)."""
+def bodies_of(rows: DataFrame, id_kind: str, cut: Cutter, repeated) -> DataFrame:
+    """The bytes of passages whose digest may repeat: (doc_id, key, number, h1, h2, body)."""
 
     def start():
         def run(piece):
             out = [[], [], [], [], [], []]
-            columns = (piece.column(c).to_pylist() for c in ("doc_id", "key", "text", "listed"))
-            for doc, key, text, listed in zip(*columns):
+            for doc, key, text in zip(*(piece.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
+                if not text:
+                    continue
                 lines, _, found = cut(text)
-                for entry in listed:
-                    number = entry["number"]
-                    values = (doc, key, number, entry["digest"], entry["is_first"],
-                              body(lines, number % 3, found[number]))
-                    for column, value in zip(out, values):
-                        column.append(value)
+                if not found:
+                    continue
+                h = digests_of(lines, found)
+                may = may_hold(repeated.value, np.ascontiguousarray(h[:, 0]))
+                for (number, places), (h1, h2), hit in zip(found.items(), h.tolist(), may.tolist()):
+                    if hit:
+                        for column, value in zip(out, (doc, key, number, h1, h2, body(lines, number % 3, places))):
+                            column.append(value)
             return out
 
         return run
 
-    schema = f"doc_id {id_kind}, key long, number long, digest binary, is_first boolean, body binary"
-    return map_slices(marked, schema, start)
+    return map_slices(rows, f"doc_id {id_kind}, key long, number long, h1 long, h2 long, body binary", start)
 
 
 def line_dedup(
@@ -138,70 +145,89 @@ def line_dedup(
     With ``report``, returns (doc_id, n_chunks, n_removed_chunks, n_removed_lines, text) instead: chunks of the coarse
     level, those of them that went, and all lines that went.
 
-    Digests are counted in a narrow shuffle. Documents move once, to meet the list of their passages whose digest
-    repeats; the bytes of those are compared with those of the first occurrence, and a passage that merely shares a
-    digest stays.
+    Digests are counted in a narrow shuffle that combines map-side. A second scan ships the bytes of passages whose
+    digest may repeat (by a Bloom filter of bounded size; one too many costs bytes only), which are compared with those
+    of the first occurrence; a passage that merely shares a digest stays. Only documents that may lose a passage, by
+    another such filter, move to meet the list of what they lose.
     """
     id_kind = id_type(docs, id_col)
+    share = docs.sparkSession.sparkContext.broadcast
     cut = Cutter(window, spacing, min_lines, min_words, long_line)
     rows = whole_rows(docs, id_col, text_col).withColumn("key", F.xxhash64("text"))
-    found = staged(find_passages(rows.select("doc_id", "key", "text"), id_kind, cut), "passages")
+    narrow = rows.select("doc_id", "key", "text")
 
-    place = F.struct("doc_id", "key", "number")
-    repeated = (
-        found.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
-    )
-    again = found.join(small_side(repeated), "digest").withColumn("is_first", place.eqNullSafe(F.col("first")))
-    listed = again.groupBy(F.col("doc_id").alias("r_id"), F.col("key").alias("r_key")).agg(
-        F.collect_set(F.struct("number", "digest", "is_first")).alias("listed")
+    repeated = all_digests(narrow, cut).groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1")
+    repeated = share(hash_filter(staged(repeated, "repeated"), "h1"))
+    bodies = staged(bodies_of(narrow, id_kind, cut, repeated), "bodies")
+    first = bodies.groupBy("h1", "h2").agg(
+        F.count("*").alias("n"), F.min(F.struct("doc_id", "key", "number", "body")).alias("first")
     )
-    marked = rows.join(
-        staged(listed, "listed"), F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")), "left"
+    # Staged, so that the join below is one of two plain exchanges, where a hot digest is split.
+    first = staged(first.where("n > 1").select("h1", "h2", "first"), "first")
+    is_first = F.struct("doc_id", "key", "number").eqNullSafe(
+        F.struct(*[F.col(f"first.{c}").alias(c) for c in ("doc_id", "key", "number")])
     )
-    marked = staged(marked.drop("r_id", "r_key"), "marked")
-
-    held = marked.where("listed IS NOT NULL").select("doc_id", "key", "text", "listed")
-    bodies = staged(bodies_of(held, id_kind, cut), "bodies")
-    first = bodies.where("is_first").select("digest", F.col("body").alias("first_body")).dropDuplicates(["digest"])
-    first = staged(first, "first")  # so that the join below is one of two plain exchanges, where a hot digest is split
-    # Equal digests of unequal bytes: hardly ever any, and then passages that stay.
-    refused = (
-        bodies.where(~F.col("is_first")).join(first, "digest").where(F.col("body") != F.col("first_body"))
+    removed = (
+        bodies.join(first, ["h1", "h2"]).where((F.col("body") == F.col("first.body")) & ~is_first)
         .groupBy(F.col("doc_id").alias("r_id"), F.col("key").alias("r_key"))
-        .agg(F.collect_set("number").alias("refused"))
-    )
-    marked = marked.join(
-        small_side(refused), F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")), "left"
+        .agg(F.collect_set("number").alias("removed"))
     )
+    removed = staged(removed.withColumn("r_doc", F.xxhash64("r_id", "r_key")), "removed")
+    losing = share(hash_filter(removed.select("r_doc"), "r_doc"))
+    rows = rows.withColumn("doc", F.xxhash64("doc_id", "key"))
+
+    def rewritten(text, gone):
+        if not text:
+            return text, (0, 0, 0)
+        lines, n_chunks, found = cut(text)
+        if not gone:
+            return text, (n_chunks, 0, 0)
+        out = {i for number in set(gone) for i in found[number]}
+        kept = b"\n".join([x for i, x in enumerate(lines) if i not in out]).decode()
+        return kept, (n_chunks, sum(number % 3 == COARSE for number in set(gone)), len(out))
+
+    head = "doc_id" if report else "row"
+    if report:
+        schema = parsed(f"doc_id {id_kind}, n_chunks long, n_removed_chunks long, n_removed_lines long, text string")
+    else:
+        schema = row_schema(rows, StructField("new_text", StringType()))
 
-    def start():
+    def untouched():
         def run(piece):
-            texts, counts = [], []
-            for text, listed, refused in zip(*(piece.column(c).to_pylist() for c in ("text", "listed", "refused"))):
-                if not text:
-                    texts.append(text)
-                    counts.append((0, 0, 0))
-                    continue
-                lines, n_chunks, found = cut(text)
-                gone = {e["number"] for e in listed or () if not e["is_first"]}.difference(refused or ())
-                if not gone:
-                    texts.append(text)
-                    counts.append((n_chunks, 0, 0))
-                    continue
-                out = {i for number in gone for i in found[number]}
-                texts.append(b"\n".join([x for i, x in enumerate(lines) if i not in out]).decode())
-                counts.append((n_chunks, sum(number % 3 == COARSE for number in gone), len(out)))
-            n, m, removed = map(list, zip(*counts))
-            first_column = piece.column(0)
-            return [first_column, n, m, removed, texts] if report else [first_column, texts]
+            piece = piece.filter(pa.array(~may_hold(losing.value, piece.column("doc").to_numpy())))
+            texts = piece.column("text")
+            if not report:
+                return [piece.column(head), texts]
+            counts = [rewritten(t, None)[1] for t in texts.to_pylist()]
+            return [piece.column(head), *([c[i] for c in counts] for i in range(3)), texts]
 
         return run
 
-    if report:
-        return map_slices(
-            marked.select("doc_id", "text", "listed", "refused"), f"doc_id {id_kind}, n_chunks long, "
-            "n_removed_chunks long, n_removed_lines long, text string", start,
-        )
-    schema = row_schema(rows, StructField("new_text", StringType()))
-    done = map_slices(marked.select("row", "text", "listed", "refused"), schema, start)
-    return with_new_text(done, docs.columns, text_col)
+    def touched():
+        def run(piece):
+            piece = piece.filter(pa.array(may_hold(losing.value, piece.column("doc").to_numpy())))
+            return [piece.column(c) for c in moving.names]
+
+        return run
+
+    def rewrite():
+        def run(piece):
+            done = [rewritten(*x) for x in zip(*(piece.column(c).to_pylist() for c in ("text", "removed")))]
+            texts = [t for t, _ in done]
+            counts = [[c[i] for _, c in done] for i in range(3)] if report else []
+            return [piece.column(head), *counts, texts]
+
+        return run
+
+    # A row holds its text, which moves once.
+    moving = rows.select(*(["doc_id", "key", "text"] if report else ["doc_id", "key", "row"])).schema
+    moved = map_slices(rows.select("doc_id", "key", "text", "doc", *([] if report else ["row"])), moving, touched)
+    if not report:
+        moved = moved.withColumn("text", F.col("row")[text_col].cast("string"))
+    met = moved.join(
+        removed, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")), "left"
+    )
+    done = map_slices(rows.select(head, "text", "doc"), schema, untouched).unionByName(
+        map_slices(met.select(head, "text", "removed"), schema, rewrite)
+    )
+    return done if report else with_new_text(done, docs.columns, text_col)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgertone.llm.digest_tree import exact_dedup, merge_runs
+from ledgertone.llm.hash_filter import hash_filter, may_hold
 from ledgertone.llm.language_id import fit_on, predict
 from ledgertone.llm.line_dedup import chunk_ends, line_dedup, line_hash
 from ledgertone.llm.packing import Packer, WordIds, pack
@@ -110,6 +111,16 @@ def test_line_dedup_odd_rows(odd, empty):
     assert line_dedup(empty).columns == empty.columns and line_dedup(empty).count() == 0
 
 
+def test_hash_filter_loses_no_hash(spark):
+    hashes = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 6000)
+    held = spark.createDataFrame([(int(h),) for h in hashes[:3000]], "h long")
+    filled = hash_filter(held, "h")
+    assert may_hold(filled, hashes[:3000]).all() and may_hold(filled, hashes[3000:]).mean() < 0.05
+    full = hash_filter(held, "h", most_bytes=0)  # too small: passes more, still loses none
+    assert may_hold(full, hashes[:3000]).all()
+    assert not may_hold(hash_filter(held.limit(0), "h"), hashes).any()
+
+
 def test_merge_keeps_the_winner_and_counts():
     def run(ids, texts):
         return pa.table({
