@@ -116,20 +116,22 @@ def bodies_of(rows: DataFrame, id_kind: str, cut: Cutter, repeated) -> DataFrame
 
     def start():
         def run(piece):
-            out = [[], [], [], [], [], []]
+            cuts, digests = [], [np.zeros((0, 2), np.int64)]
             for doc, key, text in zip(*(piece.column(c).to_pylist() for c in ("doc_id", "key", "text"))):
-                if not text:
-                    continue
-                lines, _, found = cut(text)
-                if not found:
-                    continue
-                h = digests_of(lines, found)
-                may = may_hold(repeated.value, np.ascontiguousarray(h[:, 0]))
-                for (number, places), (h1, h2), hit in zip(found.items(), h.tolist(), may.tolist()):
-                    if hit:
-                        for column, value in zip(out, (doc, key, number, h1, h2, body(lines, number % 3, places))):
-                            column.append(value)
-            return out
+                if text:
+                    lines, _, found = cut(text)
+                    cuts.append((doc, key, lines, found))
+                    digests.append(digests_of(lines, found))
+            digests = np.concatenate(digests)
+            may = may_hold(repeated.value, np.ascontiguousarray(digests[:, 0]))
+            owners = np.repeat(np.arange(len(cuts)), [len(found) for *_, found in cuts])[may].tolist()
+            numbers = np.fromiter((n for *_, found in cuts for n in found), np.int64, len(may))[may].tolist()
+            bodies = []
+            for owner, number in zip(owners, numbers):
+                _, _, lines, found = cuts[owner]
+                bodies.append(body(lines, number % 3, found[number]))
+            h1, h2 = np.ascontiguousarray(digests[may].T)
+            return [[cuts[o][0] for o in owners], [cuts[o][1] for o in owners], numbers, h1, h2, bodies]
 
         return run
 
