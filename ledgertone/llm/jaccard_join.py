@@ -10,7 +10,7 @@ be heavy enter the lists as well. Shingles that only one document holds are in n
 List lengths are counted exactly but for hash collisions, which only change the order and so the cost. Blocks of
 documents ship their distinct shingle hashes as compressed runs to ranges of the hash space and get the counts back.
 
-Documents with equal sets are one class and need one representative. Only connections are asked for, so the lists are
+Documents with equal sets (by 128-bit hash) are one class and need one representative. Only connections are asked for, so the lists are
 not expanded into all pairs: first each class is compared with one class that comes first in many of its lists; then,
 in the lists that still hold several components, classes of different components are compared. A pair of which neither
 step looks at is inside a component already, so no connection is lost. Each comparison is made on the texts.
@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -151,11 +151,11 @@ def _keys(sets: list[np.ndarray], bits: int) -> np.ndarray:
     return np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]) >> np.uint64(64 - bits))
 
 
-def shipped_runs(blocks: DataFrame, size: int, bits: int, ranges: int) -> DataFrame:
+def shipped_runs(blocks: DataFrame, size: int, bits: int, range_bits: int) -> DataFrame:
     """(span, block, keys, counts): each block's shingle hashes with the number of its documents that hold them, by
-    range of the hash space."""
-    edges = np.array([(i << bits) // ranges for i in range(ranges + 1)], np.uint64)
-    target = parsed("span int, block long, keys binary, counts binary")
+    range of the hash space (its first bits). Ranges of which a block has nothing cost it nothing, so that rows never
+    outnumber the hashes shipped."""
+    target = parsed("span long, block long, keys binary, counts binary")
 
     def run(batches):
         fields = to_arrow_schema(target)
@@ -163,9 +163,10 @@ def shipped_runs(blocks: DataFrame, size: int, bits: int, ranges: int) -> DataFr
             sets = _block_sets(_lower(texts), size)
             every = np.concatenate([*sets, np.zeros(0, np.uint64)]) >> np.uint64(64 - bits)
             keys, counts = np.unique(every, return_counts=True)
-            cuts = np.searchsorted(keys, edges)
-            rows = [(i, block, packed(keys[a:b]), packed_plain(counts[a:b].astype(np.int64)))
-                    for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+            spans, starts = np.unique(keys >> np.uint64(bits - range_bits), return_index=True)
+            ends = np.append(starts[1:], len(keys))
+            rows = [(int(i), block, packed(keys[a:b]), packed_plain(counts[a:b].astype(np.int64)))
+                    for i, a, b in zip(spans, starts, ends)]
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=fields
@@ -179,7 +180,7 @@ def list_lengths(runs: DataFrame) -> DataFrame:
 
     One row of each range also has the sums of the lengths above 1 and of their squares.
     """
-    target = parsed("block long, span int, lengths binary, s1 double, s2 double")
+    target = parsed("block long, span long, lengths binary, s1 double, s2 double")
 
     def count(group: pa.Table) -> pa.Table:
         mine = merged_blocks(group)
@@ -198,14 +199,14 @@ def list_lengths(runs: DataFrame) -> DataFrame:
     return runs.groupBy("span").applyInArrow(count, target)
 
 
-SETS = "kind byte, doc_id long, key long, n int, sig long, text string, token long, place int"
+SETS = "kind byte, doc_id long, key long, n int, sig long, sig2 long, text string, token long, place int"
 
 
 def sets_and_tokens(
     blocks: DataFrame, lengths: DataFrame, size: int, percent: int, bits: int, light: int
 ) -> DataFrame:
-    """Per document a row of kind 0 with its set's size and hash (and the text, if it has tokens), and a row of kind 1
-    for each token."""
+    """Per document a row of kind 0 with its set's size and two hashes (and the text, if it has tokens), and a row of
+    kind 1 for each token."""
     target = parsed(SETS)
 
     def make(mine: pa.Table, answers: pa.Table) -> pa.Table:
@@ -220,10 +221,10 @@ def sets_and_tokens(
         if len(held) != len(keys):
             raise RuntimeError("the counts do not belong to this block")
         sizes = [len(s) for s in sets]
-        sigs = [np.int64(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64)) if len(s) else None
-                for s in sets]
+        halves = [np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), ">i8").tolist() if len(s) else (None, None)
+                  for s in sets]
         bodies, own, n, sig, token, place = [], [], [], [], [], []
-        for doc, text, s, h in zip(ids, texts, sets, sigs):
+        for doc, text, s, h in zip(ids, texts, sets, halves):
             found = []
             if len(s):
                 many = held[np.searchsorted(keys, s >> np.uint64(64 - bits))]
@@ -243,7 +244,8 @@ def sets_and_tokens(
         return pa.Table.from_arrays([
             pa.array([0] * a + [1] * b, pa.int8()), pa.array(ids + own, pa.int64()),
             pa.concat_arrays([*mine.column("key").chunks, pa.nulls(b, pa.int64())]), pa.array(sizes + n, pa.int32()),
-            pa.array(sigs + sig, pa.int64()), pa.array(bodies + [None] * b, pa.string()),
+            *(pa.array([h[i] for h in halves] + [h[i] for h in sig], pa.int64()) for i in (0, 1)),
+            pa.array(bodies + [None] * b, pa.string()),
             pa.concat_arrays([pa.nulls(a, pa.int64()), pa.array(np.array(token, np.uint64).view(np.int64))]),
             pa.array([None] * a + place, pa.int32()),
         ], schema=fields)
@@ -253,6 +255,17 @@ def sets_and_tokens(
     ).applyInArrow(make, target)
 
 
+def told_apart(found: DataFrame) -> DataFrame:
+    """The rows with one ``sig`` for each set. Sets are known by 128 bits; where two share the first 64, the others of
+    them get a hash of both halves instead."""
+    clashes = found.where("kind = 0").groupBy("sig").agg(F.min("sig2").alias("first"), F.max("sig2").alias("last"))
+    clashes = staged(clashes.where("first <> last").select("sig", "first"), "clashes")
+    if clashes.isEmpty():
+        return found
+    own = F.when(F.col("first") != F.col("sig2"), F.xxhash64("sig", "sig2")).otherwise(F.col("sig"))
+    return found.join(clashes, "sig", "left").withColumn("sig", own).select(found.columns)
+
+
 def similar(pairs: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
     """Those pairs (a, b) whose texts have shingle sets that link."""
     of_a = bodies.select(F.col("sig").alias("a"), F.col("text").alias("text_a"))
@@ -293,32 +306,48 @@ def first_pairs(members: DataFrame, percent: int) -> DataFrame:
     return times.groupBy("b").agg(F.max(F.struct("times", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
 
 
+def is_early(percent: int) -> Column:
+    """Whether a set of n, met at this place, can still link with one that is no smaller. Members of a list that are
+    too late for that meet only smaller partners; texts that share a template but are not alike are all too late, so
+    that their lists, however long, make no pairs."""
+    return (F.col("place") < 0) | ((F.col("n") - F.col("place")) * (100 + percent) >= F.col("n") * (2 * percent))
+
+
 def crossing_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes of different components that meet in a list and may still be similar.
 
     In each list the component with most members is not paired with itself. Where a pair first meets, all it has in
     common lies from there on in both sets, so it meets only at places early enough; and its common shingles are at
-    most those met in lists plus what follows the last of them in either set.
+    most those met in lists plus what follows the last of them in either set. The smaller set of a pair, or of equal
+    ones that of the smaller hash, is taken from the early members only.
     """
-    sizes = members.groupBy("token", "comp").agg(F.count("*").alias("k"))
-    main = sizes.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("main"), F.count("*").alias("c"))
-    main = staged(main.where("c > 1").select("token", F.col("main.comp").alias("main")), "main")
+    sizes = members.groupBy("token", "comp").agg(F.count("*").alias("k"), F.max(is_early(percent)).alias("early"))
+    main = sizes.groupBy("token").agg(
+        F.max(F.struct("k", "comp")).alias("main"), F.count("*").alias("c"), F.max("early").alias("early")
+    )
+    main = staged(main.where("c > 1 AND early").select("token", F.col("main.comp").alias("main")), "main")
     open_lists = staged(
         members.join(main, "token").withColumn("is_main", F.col("comp") == F.col("main")).drop("main"), "open_lists"
     )
-    left = open_lists.where(~F.col("is_main")).select(
-        "token", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("comp").alias("ca")
+    small = open_lists.where(is_early(percent)).select(
+        "token", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("comp").alias("ca"),
+        "is_main",
     )
-    right = open_lists.select(
+    large = open_lists.select(
         "token", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("comp").alias("cb"),
-        "is_main",
+        F.col("is_main").alias("b_main"),
     )
     after = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     enough = after * (100 + percent) >= percent * (F.col("na") + F.col("nb"))
-    met = left.join(right, "token").where(
-        (F.col("ca") != F.col("cb")) & (F.col("is_main") | (F.col("a") < F.col("b")))
+    pair = (
+        (F.col("ca") != F.col("cb"))
+        & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
         & _sizes_fit(F.col("na"), F.col("nb"), percent) & ((F.col("pa") < 0) | enough)
     )
+    # Main members meet the others only, from either side.
+    met = small.where("NOT is_main").drop("is_main").join(large.drop("b_main"), "token").where(pair).unionByName(
+        small.where("is_main").drop("is_main").join(large.where("NOT b_main").drop("b_main"), "token").where(pair)
+    )
     met = met.groupBy("a", "b", "na", "nb").agg(
         F.count_if(F.col("pa") >= 0).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb"),
         F.min("pa").alias("least"),
@@ -345,16 +374,19 @@ def jaccard_components(
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(32, min(48, total.bit_length() + 5))
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // RANGE_BYTES)
+    range_bits = min(bits, max(0, ranges - 1).bit_length())
 
     blocks = staged(in_blocks(rows, limit=BLOCK_BYTES), "blocks")
-    lengths = staged(list_lengths(shipped_runs(blocks, size, bits, ranges)), "lengths")
+    lengths = staged(list_lengths(shipped_runs(blocks, size, bits, range_bits)), "lengths")
     s1, s2 = lengths.agg(F.coalesce(F.sum("s1"), F.lit(0.0)), F.coalesce(F.sum("s2"), F.lit(0.0))).first()
     light = boundary(s2 / s1 if s1 else 0.0, percent)
-    found = staged(sets_and_tokens(blocks, lengths, size, percent, bits, light), "sets")
+    found = told_apart(staged(sets_and_tokens(blocks, lengths, size, percent, bits, light), "sets"))
     sets = found.where("kind = 0").select("doc_id", "key", "n", "sig")
 
     members = found.where("kind = 1").select("token", "sig", "n", "place")
-    lists = members.groupBy("token").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi")
+    lists = members.groupBy("token").agg(
+        F.min("sig").alias("lo"), F.max("sig").alias("hi"), F.max(is_early(percent)).alias("early")
+    ).where("lo <> hi AND early")
     lists = staged(lists.select("token"), "lists")
     members = staged(members.join(lists, "token").distinct(), "members")
     # One text of each class; combined map-side first, so that a class with very many copies ships one a task.

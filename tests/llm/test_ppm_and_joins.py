@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ledgertone.llm.batches import packed, unpacked
 from ledgertone.llm.components import components
 from ledgertone.llm.jaccard_join import (
-    boundary, jaccard_components, least_overlap, partners, prefix_length, shingle_sets, tokens,
+    boundary, crossing_pairs, is_early, jaccard_components, least_overlap, partners, prefix_length, shingle_sets, told_apart,
+    tokens,
 )
 from ledgertone.llm.ppm_scoring import END, ORDER, START, SYMBOLS, ppm_scores
 from ledgertone.llm.queries import QUERIES
@@ -168,6 +169,48 @@ def test_join_against_all_pairs(frame, seed):
     assert len({c for _, _, c in got}) < len(rows)
 
 
+def test_texts_of_one_template(frame):
+    """Forty texts share 60 words; with 20 words of their own none are alike, with 8 most are."""
+    draw = random.Random(4)
+    shared = [f"t{i}" for i in range(60)]
+    for own in (20, 8, 7, 6):
+        rows = [(i, " ".join(shared + [f"u{i}x{j}" for j in range(own + i % 3)])) for i in range(40)]
+        draw.shuffle(rows)
+        got = answers(jaccard_components(frame(rows).repartition(3)))
+        assert got == plain_components(rows)
+        assert len({c for _, _, c in got}) == (40 if own > 8 else len({c for _, _, c in plain_components(rows)}))
+
+
+def test_the_smaller_of_a_pair_is_early(spark):
+    places = [(n, p) for n in range(1, 40) for p in range(prefix_length(n, 80))]
+    early = {(r.n, r.place) for r in spark.createDataFrame(places, "n int, place int").where(is_early(80)).collect()}
+    for n, p in places:
+        for m, q in places:
+            if n <= m and min(n - p, m - q) >= least_overlap(n, m, 80):
+                assert (n, p) in early
+    late = [(7, i, 50, 9, i) for i in range(30)]  # met at the tenth shingle: at most 41 of 59 in common
+    members = "token long, sig long, n int, place int, comp long"
+    assert crossing_pairs(spark.createDataFrame(late, members), 80).count() == 0
+    mixed = [*late, (7, 99, 45, 0, 99), (7, 98, 50, 5, 98)]
+    got = {(r.a, r.b) for r in crossing_pairs(spark.createDataFrame(mixed, members), 80).collect()}
+    want = set()
+    for _, a, n, p, _ in mixed:
+        for _, b, m, q, _ in mixed:
+            if (n, a) < (m, b) and 1 + min(n - p - 1, m - q - 1) >= least_overlap(n, m, 80) and 100 * n >= 80 * m:
+                want.add((a, b))
+    assert got == want and want
+
+
+def test_equal_halves_of_a_hash_do_not_merge_sets(spark):
+    rows = [(0, 1, 5, 11), (0, 2, 5, 12), (1, 2, 5, 12), (0, 3, 5, 11), (1, 3, 5, 11), (0, 4, 6, 11), (0, 5, None, None)]
+    found = spark.createDataFrame(rows, "kind byte, doc_id long, sig long, sig2 long")
+    got = {}
+    for r in told_apart(found).collect():
+        got.setdefault(r.doc_id, set()).add(r.sig)
+    assert got[1] == got[3] == {5} and got[4] == {6} and got[5] == {None}
+    assert len(got[2]) == 1 and got[2] != {5}
+
+
 def test_join_odd_rows(odd, empty):
     rows = answers(jaccard_components(odd))
     want = plain_components([
