@@ -120,7 +120,7 @@ def request_producer(spark, sf_dir):
     return R.build_requests(documents, "text", own, F.lit(PROCESSED))
 
 
-def _run_stream(spark, sf_dir, batches):
+def _run_stream(spark, sf_dir, batches, remember=None):
     """Land each batch of records, run the job until nothing is left, keep one checkpoint throughout."""
     landed, stored, checkpoint = (scratch_path(spark, n) for n in ("requests", "results", "checkpoint"))
     records = I.stream_records(spark, sf_dir)
@@ -128,7 +128,7 @@ def _run_stream(spark, sf_dir, batches):
         rows(records).write.mode("append").json(landed)
         job = K.stream_result_sink(
             S.stream_requests(spark, landed), hash_probabilities, stored, checkpoint, available_now=True,
-            processed_at=F.lit(PROCESSED),
+            processed_at=F.lit(PROCESSED), remember=remember,
         )
         job.awaitTermination()
     return K.read_results(spark, stored)
@@ -146,3 +146,13 @@ def stream_result_sink(spark, sf_dir):
 def keyed_upsert(spark, sf_dir):
     """Every second request is delivered twice, in two batches; each keeps one result."""
     return flat(_run_stream(spark, sf_dir, [lambda r: r, lambda r: r.where(F.col("position") % 2 == 0)]))
+
+
+@query(
+    "keyed_upsert_remembered",
+    f"WITH {Q.STREAM}, {_RESULTS} SELECT {_PUBLIC} FROM results",
+)
+def keyed_upsert_remembered(spark, sf_dir):
+    """Every second request is delivered again, after a restart of the job, which knows it and does not score it."""
+    batches = [lambda r: r, lambda r: r.where(F.col("position") % 2 == 0)]
+    return flat(_run_stream(spark, sf_dir, batches, remember="1 day"))

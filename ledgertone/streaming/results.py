@@ -26,9 +26,11 @@ from ledgertone.operators.dedup import keep_first
 from ledgertone.operators.scoring import Scorer, score_texts
 from ledgertone.schemas import STREAM_RESULT
 from ledgertone.session import remove_path
+from ledgertone.streaming.redelivery import drop_redelivered
 from ledgertone.streaming.requests import build_result, decode_request, validate_request
 
 Score = Callable[[DataFrame], DataFrame]
+_EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 def scorer_predictions(load: Callable[[], Scorer], text: str = "text") -> Score:
@@ -49,9 +51,11 @@ def scorer_predictions(load: Callable[[], Scorer], text: str = "text") -> Score:
     return score
 
 
-def score_requests(records: DataFrame, score: Score, processed_at=None) -> DataFrame:
-    """Record to result, one to one; works on batch and streaming frames."""
-    return build_result(score(validate_request(decode_request(records))), processed_at)
+def score_requests(records: DataFrame, score: Score, processed_at=None, remember: str | None = None) -> DataFrame:
+    """Record to result, one to one; works on batch and streaming frames. A stream may ``remember`` requests for some
+    time, and leaves out those that arrive again unchanged before they are scored."""
+    validated = validate_request(decode_request(records))
+    return build_result(score(drop_redelivered(validated, remember) if remember else validated), processed_at)
 
 
 def _newest_first(*more: str) -> list:
@@ -80,9 +84,10 @@ def write_results(results: DataFrame, batch_id: int, path: str, run: str = "sing
 
 def stream_result_sink(
     records: DataFrame, score: Score, path: str, checkpoint: str, available_now: bool = False,
-    interval: str = "10 seconds", processed_at=None, run: str | None = None,
+    interval: str = "10 seconds", processed_at=None, run: str | None = None, remember: str | None = None,
 ) -> StreamingQuery:
-    """Starts the job. Its run is named by the id that the checkpoint gives the query, unless the caller names it."""
+    """Starts the job. Its run is named by the id that the checkpoint gives the query, unless the caller names it. With
+    ``remember``, requests that arrive again unchanged within that time are not scored again."""
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     named, known = {"run": run}, Event()
 
@@ -90,10 +95,22 @@ def stream_result_sink(
         known.wait()
         write_results(batch, number, path, named["run"])
 
-    query = (
-        score_requests(records, score, processed_at).writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    job = (
+        score_requests(records, score, processed_at, remember).writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint).trigger(**trigger)
     )
+    if remember:
+        # Time-outs are looked at with the next records. Batches without records for them alone would follow each other
+        # without end, and a job for what is available would never stop. The query keeps the setting it starts with.
+        conf = records.sparkSession.conf
+        before = conf.get(_EMPTY_BATCHES)
+        conf.set(_EMPTY_BATCHES, "false")
+        try:
+            query = job.start()
+        finally:
+            conf.set(_EMPTY_BATCHES, before)
+    else:
+        query = job.start()
     named["run"] = run or str(query.id)
     known.set()
     return query

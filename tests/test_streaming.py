@@ -234,6 +234,36 @@ def test_redelivery_replaces_the_result(spark, tmp_path):
     assert got == {"2026-05-21": "second", "2026-05-22": "second"}
 
 
+def test_remembered_requests_are_not_scored_again(spark, tmp_path):
+    landed, stored, checkpoint = (str(tmp_path / n) for n in ("in", "out", "c"))
+
+    def body(text, day="2026-05-21", name="r"):
+        return encoded({"request_id": name, "text": text, "submitted_at": f"{day}T01:00:00Z"})
+
+    deliveries = [
+        ([(1, body("a")), (2, body("b")), (3, body("a", "2026-05-22")), (4, body("a", name="s")), (5, "")], 4),
+        ([(6, body("b")), (7, body("a", "2026-05-22"))], 0),  # as passed on before, after a restart
+        ([(8, body("a")), (9, body("c")), (10, body("b")), (12, ""), (11, body("d", name="s"))], 2),
+        ([(13, body("c"))], 1),
+    ]
+    for i, (rows, more) in enumerate(deliveries):
+        land(spark, landed, str(i), rows)
+        before = spark.read.parquet(stored).count() if i else 0
+        stream(spark, landed, stored, checkpoint, remember="1 day")
+        assert spark.read.parquet(stored).count() - before == more
+    got = {(r.request_id, str(r.date)): r.text for r in K.read_results(spark, stored).collect() if r.status == "success"}
+    assert got == {("r", "2026-05-21"): "c", ("r", "2026-05-22"): "a", ("s", "2026-05-21"): "d"}
+
+
+def test_forgotten_requests_pass_again(spark, tmp_path):
+    landed, stored, checkpoint = (str(tmp_path / n) for n in ("in", "out", "c"))
+    for i, asked in enumerate([1, 2, 1]):  # the second batch forgets what the first has told
+        land(spark, landed, str(i), [request(asked, "2026-05-21")])
+        stream(spark, landed, stored, checkpoint, remember="1 millisecond")
+    assert spark.read.parquet(stored).count() == 3
+    assert sorted(r.request_id for r in K.read_results(spark, stored).collect()) == ["r1", "r2"]
+
+
 def test_requests_round_trip(spark):
     texts = spark.createDataFrame([("  hello  ",), ("   ",), ("é",)], "text string")
     made = R.build_requests(texts).collect()
