@@ -13,6 +13,7 @@ from ledgertone.plans.catalog.streaming import PROCESSED, flat, hash_probabiliti
 from ledgertone.sources import readers as S
 from ledgertone.streaming import requests as R
 from ledgertone.streaming import results as K
+from ledgertone.streaming.redelivery import drop_redelivered
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers do not see the test folder
@@ -264,6 +265,48 @@ def test_forgotten_requests_pass_again(spark, tmp_path):
     assert sorted(r.request_id for r in K.read_results(spark, stored).collect()) == ["r1", "r2"]
 
 
+def test_remembered_requests_call_python_by_bucket(spark, tmp_path):
+    """Many requests share the calls into Python; those that share a bucket are still told apart, also by date."""
+    plan = drop_redelivered(
+        spark.readStream.schema("position bigint, request_id string, text string, submitted_at string, "
+                                "error_message string").json(str(tmp_path)), "1 day", buckets=2)
+    assert plan.schema["position"].dataType.simpleString() == "bigint"
+    before = spark.conf.get(K._EMPTY_BATCHES)
+    spark.conf.set(K._EMPTY_BATCHES, "false")
+    landed, checkpoint, n = str(tmp_path / "in"), str(tmp_path / "c"), 40_000
+    big = 1 << 60
+
+    def land_rows(first, text):
+        spark.range(n).selectExpr(
+            f"IF(id % 7 = 0, NULL, {big} + {first} + id) AS position", "CAST(id % 30000 AS string) AS request_id",
+            f"{text} AS text", "concat('2026-05-2', id % 2, 'T01:00:00Z') AS submitted_at",
+            "CAST(NULL AS string) AS error_message",
+        ).write.mode("append").json(landed)
+
+    def passed():
+        got = []
+        records = spark.readStream.schema(plan.schema).json(landed)
+        job = drop_redelivered(records, "1 day").writeStream.foreachBatch(
+            lambda batch, _: got.extend(batch.collect())).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True).start()
+        try:
+            assert job.awaitTermination(120)
+        finally:
+            job.stop()
+        return got
+
+    land_rows(0, "concat('t', id % 30000)")
+    first = passed()
+    assert len(first) == len({(r.request_id, r.submitted_at) for r in first}) == 30_000
+    assert all(r.position is None or r.position >= big and int(r.request_id) == (r.position - big) % 30_000 for r in first)
+    assert {r.position for r in first if int(r.request_id) == 1} == {big + 30_001}
+    land_rows(n, "IF(id % 30000 < 5, 'changed', concat('t', id % 30000))")
+    try:
+        assert sorted((int(r.request_id), r.text) for r in passed()) == [(i, "changed") for i in range(5)]
+    finally:
+        spark.conf.set(K._EMPTY_BATCHES, before)
+
+
 def test_requests_round_trip(spark):
     texts = spark.createDataFrame([("  hello  ",), ("   ",), ("é",)], "text string")
     made = R.build_requests(texts).collect()
