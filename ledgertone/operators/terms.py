@@ -4,6 +4,9 @@ Each task keeps for each group a summary of at most ``tracked`` terms: when more
 by the largest one that must go. A term's true count then exceeds what the merged summaries say by no more than the sum of
 what the tasks took off. Terms that can reach the last place by that bound are counted again, exactly, in a second pass.
 Where a term in no summary could reach it, all terms of that group are counted instead, so the result is exact in any case.
+
+A task's memory does not grow with its rows: texts are taken in slices of bounded words (a longer text is a slice of its
+own), and the groups that a task meets share the terms that it tracks.
 """
 
 from collections.abc import Iterator
@@ -18,7 +21,8 @@ from pyspark.sql import functions as F
 from ledgertone.session import BROADCAST_BYTES, cut_lineage, stage
 
 TRACKED, CANDIDATES = 400_000, 1_000_000
-_SLICE_ROWS = 2_000
+LEAST_TRACKED = 10_000  # of a group, however many share
+_SLICE_ROWS, _SLICE_WORDS, _SENT_ROWS = 2_000, 200_000, 50_000
 _COUNTS = "grp string, term string, total long, df long"
 
 
@@ -71,9 +75,16 @@ class Summary:
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cuts batches, whose second column are lists of words, after so many rows or words."""
     for batch in batches:
-        for at in range(0, len(batch), _SLICE_ROWS):
-            yield batch.slice(at, _SLICE_ROWS)
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(), dtype=np.int64)
+        start = 0
+        while start < len(batch):
+            before = ends[start - 1] if start else 0
+            stop = int(np.searchsorted(ends, before + _SLICE_WORDS, side="right"))
+            stop = min(max(stop, start + 1), start + _SLICE_ROWS)
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.ListArray]]:
@@ -86,20 +97,32 @@ def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.ListA
 def _summarized(orders: int, tracked: int):
     """A row per term that a task tracks, and for each group one without a term that tells the error."""
 
+    nothing = pa.array([], pa.string()), np.array([], np.int64)
+
     def run(batches):
         kept: dict[str, Summary] = {}
         for group, words in _by_group(batches):
             terms, _, index = grams(words, orders)
-            if len(terms):
-                kept.setdefault(group, Summary(tracked)).add(
-                    terms.cast(pa.string()), np.bincount(index, minlength=len(terms)))
-        for group, summary in kept.items():
+            if not len(terms):
+                continue
+            if group not in kept:
+                kept[group] = Summary(tracked)
+                for summary in kept.values():
+                    summary.size = max(tracked // len(kept), min(tracked, LEAST_TRACKED))
+                    summary.add(*nothing)
+            kept[group].add(terms.cast(pa.string()), np.bincount(index, minlength=len(terms)))
+        for group in list(kept):
+            summary = kept.pop(group)
             table = summary.reduce()
             terms = table.column("term").combine_chunks().cast(pa.string())
             terms = pa.concat_arrays([terms, pa.array([None], pa.string())])
             counts = np.append(table.column("n").to_numpy(), summary.error)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([group] * len(terms)), terms, pa.array(counts, pa.int64())], ["grp", "term", "n"])
+            for at in range(0, len(terms), _SENT_ROWS):
+                part = terms.slice(at, _SENT_ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([group] * len(part)), part, pa.array(counts[at:at + _SENT_ROWS], pa.int64())],
+                    ["grp", "term", "n"])
+        pa.default_memory_pool().release_unused()
 
     return run
 

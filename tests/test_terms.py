@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -154,3 +155,23 @@ def test_the_table_is_not_shuffled(spark, tmp_path):
     assert "SortMergeJoin" not in plan and plan.index("BroadcastHashJoin") < plan.index("Scan parquet")
     passed = B.bloom_passed(table, "k", B.bloom_filter(keys, "k", 100))
     assert "Exchange" not in passed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_slices_hold_bounded_words():
+    lists = [["w"] * n for n in (150_000, 40_000, 20_000, 0, 450_000, 10)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(lists, pa.list_(pa.string()))], ["grp", "words"])
+    got = [s.column(0).to_pylist() for s in H.slices([batch])]
+    assert got == [[0, 1], [2, 3], [4], [5, 6]]
+
+
+def test_groups_share_what_a_task_tracks():
+    """A task's memory is bounded, however many groups it meets; the counts taken off are told for each."""
+    words = [[f"{g}_{i}" for i in range(30_000)] for g in range(4)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", "b", "c", "d"]), pa.array(words)], ["grp", "words"])
+    rows = pa.Table.from_batches(H._summarized(1, 80_000)([batch, batch]))
+    kept = {g: rows.filter(pc.equal(rows.column("grp"), g)) for g in "abcd"}
+    assert all(len(t) <= 20_001 for t in kept.values())
+    for t in kept.values():
+        told = dict(zip(t.column("term").to_pylist(), t.column("n").to_pylist()))
+        error = told.pop(None)
+        assert all(told.get(w, 0) <= 2 <= told.get(w, 0) + error for w in words["abcd".index(t.column("grp")[0].as_py())])
