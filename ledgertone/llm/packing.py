@@ -15,7 +15,6 @@ import re
 import struct
 
 import numpy as np
-import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +27,8 @@ OPEN_WINDOWS = 16
 LEAST_CUT = 64
 MERGED_RUNS = 16
 ID_BYTES = 4
+# Words of a slice lie in memory one by one, at over ten times their text.
+SLICE_BYTES = 1 << 20
 
 
 def _spelling() -> dict[int, int]:
@@ -119,22 +120,9 @@ class WordIds:
         if len(self._known) > self._most:
             self._known.clear()
         lists = [self.words(t) if t else [] for t in texts]
-        flat = np.empty(sum(map(len, lists)), object)
-        at = 0
-        for words in lists:
-            flat[at:at + len(words)] = words
-            at += len(words)
-        codes, distinct = pd.factorize(flat)
-        self._learn([w for w in distinct if w not in self._known])
-        ids = [self._known[w] for w in distinct]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // ID_BYTES
-        data, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
-        each = sizes[codes]
-        ends = np.cumsum(each)
-        out = data[np.arange(int(each.sum())) + np.repeat(starts[codes] - (ends - each), each)]
-        word_ends = np.cumsum([len(words) for words in lists], dtype=np.int64)
-        cuts = np.concatenate([[0], ends])[np.concatenate([[0], word_ends])].tolist()
-        return [out[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        self._learn(list(set().union(*lists).difference(self._known)))
+        ids_of = self._known.__getitem__
+        return [b"".join(map(ids_of, words)) for words in lists]
 
 
 _TABLES: dict[str, WordIds] = {}
@@ -272,7 +260,9 @@ def pack(
             yield _columns(left, [owner] * len(left))
 
     path = scratch_path(spark, "packed")
-    first = map_slices(id_and_text(docs, id_col, text_col), f"{body}, owner long", start_online, finish=leftovers)
+    first = map_slices(
+        id_and_text(docs, id_col, text_col), f"{body}, owner long", start_online, limit=SLICE_BYTES, finish=leftovers
+    )
     first.write.option("compression", "zstd").parquet(path)
     packed = spark.read.schema(first.schema).parquet(path)
 

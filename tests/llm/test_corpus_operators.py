@@ -279,3 +279,17 @@ def test_packer_emits_the_fullest():
     assert [p[0] for p in packer.taken()] == ["b"]
     packer.add("d", b"\0\0\0\0" * 4, 4)
     assert [p[0] for p in packer.taken()] == ["a", "d"]
+
+
+def test_packing_reads_small_slices(monkeypatch):
+    """The words of a slice lie in memory one by one, so no slice holds more than a megabyte of texts, but for one text."""
+    from ledgertone.llm import packing
+
+    seen = {}
+    monkeypatch.setattr(packing, "map_slices", lambda *_, **options: seen.update(options) or 1 / 0)
+    monkeypatch.setattr(packing, "scratch_path", lambda *_: "")
+    monkeypatch.setattr(packing, "id_and_text", lambda *_: None)
+    monkeypatch.setattr(packing, "id_type", lambda *_: "bigint")
+    with pytest.raises(ZeroDivisionError):
+        pack(type("Docs", (), {"sparkSession": None})(), WORDS, 1)
+    assert seen["limit"] <= 1 << 20
