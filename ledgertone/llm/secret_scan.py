@@ -12,6 +12,7 @@ through; other columns are not read. Texts are scanned whole. Ties in start are
 """
 
 import math
+import random
 import re
 from bisect import bisect_left, bisect_right
 
@@ -39,6 +40,7 @@ _SENSITIVE_BYTES = tuple(w.encode() for w in SENSITIVE)
 _LEAST = 16
 _TOKEN = re.compile(rf"[A-Za-z0-9+/_=.~-]{{{_LEAST},}}")
 _MARKS, _PREFIX = "+/_=.~-", 12
+_CHEAP = 0.5  # a share that is no secret's in any surroundings
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _ALPHABETS = [set("0123456789abcdef"), set("0123456789ABCDEF"), set(_LETTERS.upper() + "234567")]
 _CLASSES = [set("0123456789"), set(_LETTERS), set(_LETTERS.upper()), set(_MARKS)]
@@ -78,14 +80,18 @@ def base_spans(text: str, low: bytes) -> list[tuple[int, int, int]]:
     return found
 
 
-def alphabet_bits(token: str) -> float:
-    """Bits of a random character of the smallest usual alphabet that holds the token: hexadecimal, base 32, or the
-    classes of characters that occur."""
+def alphabet_of(token: str) -> set[str]:
+    """The smallest usual alphabet that holds the token: hexadecimal, base 32, or the classes of characters that occur."""
     used = set(token)
     for alphabet in _ALPHABETS:
         if used <= alphabet:
-            return math.log2(len(alphabet))
-    return math.log2(sum(len(kind) for kind in _CLASSES if used & kind))
+            return alphabet
+    return set().union(*(kind for kind in _CLASSES if used & kind))
+
+
+def alphabet_bits(token: str) -> float:
+    """Bits of a random character of the token's alphabet."""
+    return math.log2(len(alphabet_of(token)))
 
 
 class Novelty:
@@ -99,10 +105,16 @@ class Novelty:
         ).compress
 
     def share(self, around: str, candidate: str) -> float:
-        """Marginal bytes over those of random characters of the candidate's alphabet."""
-        alone = around.encode("utf-8", "surrogatepass")
-        more = len(self._compress(alone + b" " + candidate.encode())) - len(self._compress(alone + b" "))
-        return 8 * more / (len(candidate) * alphabet_bits(candidate))
+        """Marginal bytes over those of random characters of the candidate's alphabet. Next to few surroundings the
+        compressor spends a byte on each character, so a random token of that alphabet is measured there as well."""
+        alone = around.encode("utf-8", "surrogatepass") + b" "
+        before = len(self._compress(alone))
+        more = len(self._compress(alone + candidate.encode())) - before
+        usual = len(candidate) * alphabet_bits(candidate) / 8
+        if more > usual * _CHEAP:
+            drawn = random.Random(candidate).choices(sorted(alphabet_of(candidate)), k=len(candidate))
+            usual = max(usual, len(self._compress(alone + "".join(drawn).encode())) - before)
+        return more / usual
 
 
 def merged(taken: list[tuple[int, int, int]]) -> list[list[int]]:
