@@ -15,6 +15,8 @@ import re
 import struct
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,15 +42,18 @@ def _spelling() -> dict[int, int]:
 class WordIds:
     """Ids of a tokenizer that drops white space, looked up by word.
 
-    A word's ids do not depend on its neighbours, so each distinct word is encoded once and texts are joined from the
-    known ones. The table is emptied when it holds ``most`` words, which costs time only.
+    A word's ids do not depend on its neighbours, so each distinct word of some texts is looked up once and texts are
+    joined from what was found. The table is in two halves of ``most`` words together: when the newer one is full, the
+    older one goes, with the words that have not come up since. That costs time only.
     """
 
     _FENCE = "<|startoftext|>"  # a special token: its id stands for nothing else
+    # Printable ASCII but letters, digits and the apostrophe, which may begin an ending.
+    _MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
     # A full stop or comma after a letter (a-z, or Latin-1 beyond ASCII) and before white space.
     _STOP = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,])(?=[ \t-\r]|\Z)")
     # One that follows anything else: other marks may belong to its run.
-    _OTHER_STOP = re.compile(rb"(?<![a-z])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,](?=[ \n]|\Z)")
+    _OTHER_STOP = re.compile(rb"[.,](?=[ \n]|\Z)(?<![a-z].)(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].)")
     _STOPS = tuple((c + s, b" " + c + s) for c in (b".", b",") for s in (b" ", b"\n"))
 
     def __init__(self, tokenizer_file: str, most: int = 900_000):
@@ -60,26 +65,29 @@ class WordIds:
         self._special = [t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._most = most
         self._known: dict[bytes, bytes] = {}
+        self._before: dict[bytes, bytes] = {}
 
     def _encode(self, text: str) -> np.ndarray:
         found = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.asarray(found, "<u4")
 
     def _learn(self, words: list[bytes]) -> None:
-        """Lower-case Latin words are one token run that normalisation leaves alone: the model gets them as they are
-        spelt. All else goes through the whole tokenizer, many words at once with fences between them."""
+        """Lower-case Latin words are one token run that normalisation leaves alone, and so are the marks that follow
+        one: the model gets each as it is spelt. All else goes through the whole tokenizer, many words at once with
+        fences between them."""
         tokenize, spelling, others = self._tokenizer.model.tokenize, _spelling(), []
         known, pack_ids = self._known, {n: struct.Struct(f"<{n}I").pack for n in range(33)}
         for word in words:
-            if word.isalpha() and word.islower():  # of bytes: ASCII letters
-                spelt = word.decode()
+            stem = word.rstrip(self._MARKS)
+            if not stem or stem.isalpha() and stem.islower():  # of bytes: ASCII letters
+                spelt = stem.decode()
             else:
-                text = word.decode()
+                text = stem.decode()
                 if not (text.isalpha() and text.islower() and text == text.lower() and max(text) < "\u0250"):
                     others.append(word)
                     continue
-                spelt = word.decode("latin-1").translate(spelling)
-            ids = [t.id for t in tokenize(spelt)]
+                spelt = stem.decode("latin-1").translate(spelling)
+            ids = [t.id for run in (spelt, word[len(stem):].decode()) if run for t in tokenize(run)]
             known[word] = pack_ids[len(ids)](*ids) if len(ids) <= 32 else np.array(ids, "<u4").tobytes()
         plain = [w for w in others if self._FENCE.encode() not in w]
         for at in range(0, len(plain), 20_000):
@@ -94,8 +102,8 @@ class WordIds:
             if word not in self._known:
                 self._known[word] = self._encode(word.decode()).tobytes()
 
-    def words(self, text: str) -> list[bytes]:
-        """Parts of the text whose ids, joined, are those of the text.
+    def parted(self, text: str) -> bytes:
+        """The text with white space between parts whose ids, joined, are those of the text.
 
         The tokenizer lower-cases after composing accents. Lower-casing ASCII letters first changes nothing unless a
         combining accent (U+0300 to U+036F) follows one, or the text has a special token in other letters, as those are
@@ -113,16 +121,33 @@ class WordIds:
                     data = data.replace(before, after)
                 if data.endswith((b".", b",")):
                     data = data[:-1] + b" " + data[-1:]
-        return data.split()
+        return data
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words, of which those not seen for long are learnt."""
+        if len(self._known) > self._most // 2:
+            self._before, self._known = self._known, {}
+        found = list(map(self._known.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        again = [(words[i], self._before.get(words[i])) for i in missing]
+        self._known.update((word, ids) for word, ids in again if ids is not None)
+        self._learn([word for word, ids in again if ids is None])
+        for i in missing:
+            found[i] = self._known[words[i]]
+        return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        if len(self._known) > self._most:
-            self._known.clear()
-        lists = [self.words(t) if t else [] for t in texts]
-        self._learn(list(set().union(*lists).difference(self._known)))
-        ids_of = self._known.__getitem__
-        return [b"".join(map(ids_of, words)) for words in lists]
+        parted = pa.array([self.parted(t) if t else b"" for t in texts], pa.large_string())
+        lists = pc.ascii_split_whitespace(parted)
+        words = lists.flatten().dictionary_encode()
+        if not len(words):
+            return [b""] * len(texts)
+        distinct = words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(self._ids(distinct), pa.large_binary()).take(words.indices)
+        _, ends, data = ids.buffers()
+        cuts = np.frombuffer(ends, np.int64)[lists.offsets.to_numpy()].tolist()
+        return [data[a:b].to_pybytes() for a, b in zip(cuts, cuts[1:])]
 
 
 _TABLES: dict[str, WordIds] = {}
@@ -267,8 +292,6 @@ def pack(
     packed = spark.read.schema(first.schema).parquet(path)
 
     def merge_task(batches):
-        import pyarrow as pa
-
         packer = Packer(_first_sequence(1), size, windows, least_cut)
         schema = None
         for batch in batches:

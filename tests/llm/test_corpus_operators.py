@@ -232,6 +232,40 @@ def test_special_tokens_in_capitals_are_ordinary_words(tokenizer):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_in_use_stay_in_a_full_table():
+    table, learnt = WordIds(WORDS, most=200), defaultdict(int)
+    learn = table._learn
+
+    def counted(words):
+        for word in words:
+            learnt[word] += 1
+        learn(words)
+
+    table._learn = counted
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for a in letters:
+        table.encode([" ".join(["always", *(f"q{a}{b}" for b in letters)])])
+        assert len(table._known) + len(table._before) <= 200 + 2 * 27
+    assert learnt[b"always"] == 1 and len(learnt) == 1 + 26 * 26
+
+
+def test_marks_after_words_need_no_whole_tokenizer(tokenizer):
+    table = WordIds(WORDS)
+    table._encode = lambda text: 1 / 0
+    made = ["word### \u00fcber$$$ wort... | && x_, y; (", "", None, " \n ", "word###"]
+    for text, ids in zip(made, table.encode(made), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
+def test_word_ids_of_marks_in_any_order(tokenizer):
+    draw = random.Random(9)
+    parts = ["word", "\u00fcber", "\u00c9", "'s", "'", "###", "<|", "|>", "startoftext", ".", "...", " ", "\t", "\x0b", "\x1c", "\u2003",
+             "1", "\u0301", "\u2014", "_", "\\", "\x7f", "\x00", "\u0130"]
+    made = ["".join(draw.choices(parts, k=draw.randint(1, 10))) for _ in range(3000)]
+    for text, ids in zip(made, WordIds(WORDS).encode(made), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def check_packing(rows, texts, tokenizer, size, most_padding):
     ids = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in texts.items()}
     docs, sequences = defaultdict(list), defaultdict(list)
