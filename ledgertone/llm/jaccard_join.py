@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgertone.llm.batches import (
-    block_runs, in_blocks, map_slices, merged_blocks, packed, packed_plain, parsed, summed, whole_rows, with_new_text,
+    block_runs, handing_back, in_blocks, map_slices, merged_blocks, packed, packed_plain, parsed, return_memory, summed,
+    whole_rows, with_new_text,
 )
 from ledgertone.llm.components import components, staged
 
@@ -172,7 +173,7 @@ def shipped_runs(blocks: DataFrame, size: int, bits: int, range_bits: int) -> Da
                     [pa.array(c, f.type) for c, f in zip(zip(*rows), fields)], schema=fields
                 )
 
-    return blocks.select("block", "text").mapInArrow(run, target)
+    return blocks.select("block", "text").mapInArrow(handing_back(run), target)
 
 
 def list_lengths(runs: DataFrame) -> DataFrame:
@@ -250,9 +251,14 @@ def sets_and_tokens(
             pa.array([None] * a + place, pa.int32()),
         ], schema=fields)
 
+    def made(mine: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = make(mine, answers)
+        return_memory()
+        return rows
+
     return blocks.select("block", "doc_id", "key", "text").groupBy("block").cogroup(
         lengths.select("block", "span", "lengths").groupBy("block")
-    ).applyInArrow(make, target)
+    ).applyInArrow(made, target)
 
 
 def told_apart(found: DataFrame) -> DataFrame:

@@ -221,11 +221,8 @@ def line_dedup(
 
         return run
 
-    # A row holds its text, which moves once.
-    moving = rows.select(*(["doc_id", "key", "text"] if report else ["doc_id", "key", "row"])).schema
+    moving = rows.select("doc_id", "key", "text", *([] if report else ["row"])).schema
     moved = map_slices(rows.select("doc_id", "key", "text", "doc", *([] if report else ["row"])), moving, touched)
-    if not report:
-        moved = moved.withColumn("text", F.col("row")[text_col].cast("string"))
     met = moved.join(
         removed, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")), "left"
     )

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgertone.llm.batches import id_and_text, id_type, map_slices
+from ledgertone.llm.batches import handing_back, id_and_text, id_type, kept_table, map_slices
 from ledgertone.session import scratch_path
 
 SIZE = 2048
@@ -150,14 +150,9 @@ class WordIds:
         return [data[a:b].to_pybytes() for a, b in zip(cuts, cuts[1:])]
 
 
-_TABLES: dict[str, WordIds] = {}
-
-
 def word_ids(tokenizer_file: str) -> WordIds:
-    """One table for each Python worker: tasks that follow one another in a worker share what it knows."""
-    if tokenizer_file not in _TABLES:
-        _TABLES[tokenizer_file] = WordIds(tokenizer_file)
-    return _TABLES[tokenizer_file]
+    """One table for each Python worker while its tasks ask for it."""
+    return kept_table(("word_ids", tokenizer_file), lambda: WordIds(tokenizer_file))
 
 
 class Packer:
@@ -305,6 +300,6 @@ def pack(
     left = packed.where(F.col("owner").isNotNull()).withColumn("_run", F.expr(f"owner div {MERGED_RUNS}"))
     merged = (
         left.repartition("_run").sortWithinPartitions("_run", "sequence_id", "offset").drop("_run")
-        .mapInArrow(merge_task, body)
+        .mapInArrow(handing_back(merge_task), body)
     )
     return packed.where(F.col("owner").isNull()).drop("owner").unionByName(merged)
